@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 from rosterlake.functions.clean import BIGINT, BOOL, TEXT, TIME
+from rosterlake.schema import columns
 
 # ---- Fixed values: column names, their order, keys and feeds of the tracking tables.
 
@@ -58,10 +59,10 @@ class Entity:
         return {c: column_type(c) for c in self.columns}
 
     def schema(self, audit: bool = True) -> T.StructType:
-        columns = [f"{c} {t}" for c, t in self.types.items()]
+        listed = [f"{c} {t}" for c, t in self.types.items()]
         if audit:
-            columns = ["load_id string", *columns, "load_ts timestamp"]
-        return T.StructType.fromDDL(", ".join(columns))
+            listed = ["load_id string", *listed, "load_ts timestamp"]
+        return columns(", ".join(listed))
 
 
 _ENTITIES = (
