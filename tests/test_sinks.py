@@ -1,0 +1,105 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from rosterlake.plans.document_load import load_path
+from rosterlake.schema import columns
+from rosterlake.sinks import json_load as J
+from rosterlake.sinks import ledger as L
+from rosterlake.sinks import tables as S
+from rosterlake.sources import dictionary as X
+from rosterlake.sources import json_documents as D
+
+
+def test_publish_swaps_versions(spark, tmp_path, rows):
+    root = str(tmp_path)
+    S.publish(spark.range(3), "published_one", root, "1")
+    S.publish(spark.range(5), "published_one", root, "2")
+    assert spark.table("published_one").count() == 5
+    # The earlier version is still there for its readers.
+    assert spark.read.parquet(f"{root}/published_one/version=1").count() == 3
+    S.publish(spark.range(2).withColumn("x", F.lit("a")), "published_one", root, "3")
+    assert rows(spark.table("published_one")) == [(0, "a"), (1, "a")]
+
+
+def test_recreate(spark, tmp_path):
+    root = str(tmp_path)
+    assert S.recreate_if_changed(spark, "rec_one", columns("a bigint, b string"), root, "1") == (True, False)
+    S.insert_by_name(spark.createDataFrame([("x", 1)], "b string, a bigint"), "rec_one")
+    # Types do not count; order and names do.
+    assert S.recreate_if_changed(spark, "rec_one", columns("a string, b string"), root, "2") == (False, False)
+    assert spark.table("rec_one").count() == 1
+    assert S.recreate_if_changed(spark, "rec_one", columns("b string, a bigint"), root, "3") == (False, True)
+    assert spark.table("rec_one").count() == 0 and spark.table("rec_one").columns == ["b", "a"]
+    assert [r["column_name"] for r in X.existing_columns(spark, "rec_one", "b").collect()] == ["a"]
+
+
+def test_snapshots(spark, tmp_path, rows):
+    path = str(tmp_path / "s")
+    S.snapshot(spark.range(1), path, F.lit("2024-03-01").cast("date"))
+    S.snapshot(spark.range(2), path, F.lit("2024-03-02").cast("date"))
+    S.snapshot(spark.range(3), path, F.lit("2024-03-02").cast("date"))
+    got = spark.read.parquet(path).groupBy(F.col("snapshot_date").cast("string")).count()
+    assert rows(got) == [("2024-02-29", 1), ("2024-03-01", 3)]
+    assert spark.range(1).select(S.snapshot_name(F.lit("t"), F.lit("2024-03-01").cast("date"))).head()[0] == "t_20240229"
+
+
+def test_modes(spark, tmp_path):
+    path = str(tmp_path / "m")
+    S.load(spark.range(2), path, "append")
+    S.load(spark.range(2), path, "append")
+    assert spark.read.parquet(path).count() == 4
+    S.load(spark.range(1), path)
+    assert spark.read.parquet(path).count() == 1
+    S.copy_table(spark, path, str(tmp_path / "n"))
+    assert spark.read.parquet(str(tmp_path / "n")).count() == 1
+
+
+def test_ledger(spark, rows):
+    runs = spark.createDataFrame([("2024-01-01", "a"), ("2024-01-01", "a"), ("2024-01-02", "a"), (None, "a")], "dt string, pipeline string")
+    known = runs.where("dt = '2024-01-02'")
+    assert rows(L.new_runs(runs)) == [("2024-01-01", "a"), ("2024-01-02", "a")]
+    assert rows(L.new_runs(runs, known)) == [("2024-01-01", "a")]
+
+
+def document(*results):
+    return json.dumps({"status": "OK", "results": list(results)}, indent=2)
+
+
+def test_objects_and_missing_keys(spark, tmp_path):
+    (tmp_path / "d.json").write_text(document({"a": 1, "m": {"x": 1}}, {"a": 2, "l": [1, 2]}))
+    rows = D.result_rows(D.read_documents(spark, str(tmp_path)))
+    assert sorted(rows.columns) == ["a", "l", "m"]
+    text = D.objects_to_text(rows)
+    assert dict(text.dtypes)["l"].startswith("array")
+    assert sorted((r["a"], r["m"]) for r in text.collect()) == [(1, '{"x":1}'), (2, None)]
+    assert dict(D.text_to_variant(text, ["m"]).dtypes)["m"] == "variant"
+
+
+def test_document_load(spark, tmp_path):
+    landing, location = str(tmp_path / "landing"), str(tmp_path / "reviews")
+    docs = spark.createDataFrame([("reviews", "20240101", document({"display_title": "One", "critics_pick": 1, "publication_date": "2024-01-01",
+                                                                    "multimedia": {"src": "x"}}, {"display_title": "Two"}))], "path string, ds string, value string")
+    J.land_documents(docs, landing)
+    # Text lands line by line, so a document spread over lines is read whole again.
+    load_path(spark, landing, "reviews", "20240101", "reviews_test", location)
+    load_path(spark, landing, "reviews", "20240101", "reviews_test", location)
+    table = spark.table("reviews_test")
+    assert table.columns[:2] == ["id", "ingested_at"]
+    assert table.count() == 4 and table.select("id").distinct().count() == 4
+    r = table.where("display_title = 'One'").head()
+    assert (str(r["publication_date"]), r["multimedia"], r["byline"]) == ("2024-01-01", '{"src":"x"}', None)
+    J.land_documents(docs.withColumn("value", F.lit(document({"display_title": "x" * 51}))), landing)
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        load_path(spark, landing, "reviews", "20240101", "reviews_test", location)
+    with pytest.raises(ValueError, match="does not have"):
+        J.typed_documents(spark.createDataFrame([(1,)], "other int"), J.CRITICS)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        load_path(spark, landing, "reviews", "20240102", "reviews_test", location)
+
+
+def test_long_texts_are_told(spark):
+    df = spark.createDataFrame([("x" * 50,), ("x" * 51,), (None,)], "sort_name string")
+    df = J.typed_documents(df, J.CRITICS)
+    assert [r[0] for r in df.select(J.too_long(J.CRITICS)).collect()] == [False, True, False]
