@@ -154,9 +154,9 @@ for _name, _people, _column in (
 
 def _resolved(spark, sf_dir):
     tables = lookups(spark, sf_dir)
-    index = I.person_index(*[tables[n] for n in ("pim_open", "pim_restricted", "crm_open", "crm_restricted")])
-    return I.resolve_keys(tables["subscribers"], tables["contacts"], tables["accounts"],
-                          tables["enrollees"], index)
+    return I.resolve_keys(tables["subscribers"], tables["contacts"], tables["accounts"], tables["enrollees"],
+                          I.person_index(tables["pim_open"], tables["pim_restricted"], I.ENROLLEE_LABEL),
+                          I.person_index(tables["crm_open"], tables["crm_restricted"], I.CANDIDATE_LABEL))
 
 
 _PER_ACCOUNT = CROSSWALK + """

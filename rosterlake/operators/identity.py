@@ -129,56 +129,36 @@ def source_lookup(keys: DataFrame, people: DataFrame, label: str) -> DataFrame:
     return lookup_join(keys, best, ["lookup_key"], "left")
 
 
-def _tagged(people: DataFrame, label: str, chain: str, restricted: bool) -> DataFrame:
-    return people.where((F.col("key_label") == label) & F.col("source_key").isNotNull()).select(
-        F.col("source_key").alias("lookup_key"), *IDS,
-        F.lit(chain).alias("chain"), F.lit(restricted).alias("restricted"),
-    )
-
-
-def _pair(chain: str, i: str) -> list[Column]:
+def _pair(i: str) -> list[Column]:
     """best and gap of "open, else restricted" for one id."""
-    in_chain = F.col("chain") == chain
     best, gap = {}, {}
-    for side, flag in (("open", False), ("restricted", True)):
-        mine = in_chain & (F.col("restricted") == F.lit(flag))
+    for side, mine in (("open", ~F.col("restricted")), ("restricted", F.col("restricted"))):
         best[side] = F.max(F.when(mine, F.col(i)))
-        some_row = F.coalesce(F.max(mine), F.lit(False))
-        some_null = F.coalesce(F.max(mine & F.col(i).isNull()), F.lit(False))
+        some_row = F.max(mine)
+        some_null = F.max(mine & F.col(i).isNull())
         gap[side] = ~some_row | some_null
     return [
-        F.greatest(best["open"], F.when(gap["open"], best["restricted"])).alias(f"{chain}_best_{i}"),
-        (gap["open"] & gap["restricted"]).alias(f"{chain}_gap_{i}"),
+        F.greatest(best["open"], F.when(gap["open"], best["restricted"])).alias(f"best_{i}"),
+        (gap["open"] & gap["restricted"]).alias(f"gap_{i}"),
     ]
 
 
-def person_index(pim_open: DataFrame, pim_restricted: DataFrame, crm_open: DataFrame,
-                 crm_restricted: DataFrame) -> DataFrame:
-    """One row per source key over all four person tables; a single aggregation whose
-    map side already folds a key's copies."""
-    rows = (
-        _tagged(pim_open, ENROLLEE_LABEL, "pim", False)
-        .unionByName(_tagged(pim_restricted, ENROLLEE_LABEL, "pim", True))
-        .unionByName(_tagged(crm_open, CANDIDATE_LABEL, "crm", False))
-        .unionByName(_tagged(crm_restricted, CANDIDATE_LABEL, "crm", True))
-    )
-    columns = []
-    for chain in ("pim", "crm"):
-        for i in IDS:
-            columns += _pair(chain, i)
-        hit = (F.col("chain") == chain) & F.col("restricted") & F.col("person_id").isNotNull()
-        columns.append(F.max(hit).alias(f"{chain}_restricted"))
-    return rows.groupBy("lookup_key").agg(*columns)
-
-
-def _of(index: DataFrame, chain: str, key: str, tag: str) -> DataFrame:
-    """The index columns of one chain, renamed for one lookup."""
-    return index.select(
-        F.col("lookup_key").alias(key),
-        *[F.col(f"{chain}_best_{i}").alias(f"{tag}_best_{i}") for i in IDS],
-        *[F.col(f"{chain}_gap_{i}").alias(f"{tag}_gap_{i}") for i in IDS],
-        F.col(f"{chain}_restricted").alias(f"{tag}_restricted"),
-    )
+def person_index(opened: DataFrame, restricted: DataFrame, label: str) -> DataFrame:
+    """One row per source key over an open and a restricted person table; a single
+    aggregation whose map side already folds a key's copies."""
+    def tagged(people: DataFrame, flag: bool) -> DataFrame:
+        return people.where((F.col("key_label") == label) & F.col("source_key").isNotNull()).select(
+            F.col("source_key").alias("lookup_key"), *IDS, F.lit(flag).alias("restricted"))
+    hit = F.col("restricted") & F.col("person_id").isNotNull()
+    return tagged(opened, False).unionByName(tagged(restricted, True)).groupBy("lookup_key").agg(
+        *[c for i in IDS for c in _pair(i)], F.max(hit).alias("restricted"))
+
+
+def _of(index: DataFrame, key: str, tag: str) -> DataFrame:
+    """The index under the names of one lookup. All its columns are kept wherever it is
+    used, so that its aggregation is planned alike each time and runs once."""
+    return index.select(F.col("lookup_key").alias(key),
+                        *[F.col(c).alias(f"{tag}_{c}") for c in index.columns if c != "lookup_key"])
 
 
 def _best(tag: str, i: str) -> Column:
@@ -205,13 +185,13 @@ def _chain(steps: list[tuple[Column, Column]]) -> Column:
 
 # ---------------------------------------------------------------- resolution
 
-def account_people(enrollees: DataFrame, index: DataFrame, salt: bool = True) -> DataFrame:
+def account_people(enrollees: DataFrame, pim: DataFrame, salt: bool = True) -> DataFrame:
     """One row per account: what its enrollees' source keys yield."""
     pairs = enrollee_keys(enrollees)
     # A hot key shows in the raw table, so the sketch needs no second distinct.
     raw = enrollees.select(blank_to_null("source_key").alias("enrollee_key"))
     hot = hot_keys(raw, ["enrollee_key"]) if salt else None
-    found = lookup_join(pairs, _of(index, "pim", "enrollee_key", "e"), ["enrollee_key"], "left", hot)
+    found = lookup_join(pairs, _of(pim, "enrollee_key", "e"), ["enrollee_key"], "left", hot)
     keyed = F.col("enrollee_key").isNotNull()
     return found.groupBy("account_id").agg(
         *[F.max(F.when(keyed, _best("e", i))).alias(f"a_best_{i}") for i in IDS],
@@ -222,28 +202,25 @@ def account_people(enrollees: DataFrame, index: DataFrame, salt: bool = True) ->
 
 
 def resolve_keys(subscribers: DataFrame, contacts: DataFrame, accounts: DataFrame,
-                 enrollees: DataFrame, index: DataFrame, salt: bool = True) -> DataFrame:
+                 enrollees: DataFrame, pim: DataFrame, crm: DataFrame, salt: bool = True) -> DataFrame:
     """One row per subscriber key and account with the resolved person. Null keys are
-    left out: they match nothing."""
+    left out: they match nothing. ``pim`` and ``crm`` come from ``person_index``."""
     keys = account_ids(distinct_keys(subscribers), contacts, accounts).withColumn(
         "possible_pim", key_prefix("subscriber_key"))
 
     # On the key itself: keys are distinct, so nothing can be hot here.
-    crm = _of(index, "crm", "s_key", "s")
-    keys = keys.join(crm, keys["subscriber_key"] == crm["s_key"], "left").drop("s_key")
+    candidates = _of(crm, "s_key", "s")
+    keys = keys.join(candidates, keys["subscriber_key"] == candidates["s_key"], "left").drop("s_key")
 
-    # On the prefix: many keys may share one.
+    # On the prefix: many keys may share one. The two indexes lie partitioned by their
+    # key, so putting them side by side shuffles nothing.
     prefixes = subscribers.select(key_prefix("subscriber_key").alias("possible_pim"))
-    both = index.select(
-        F.col("lookup_key").alias("possible_pim"),
-        *[F.col(c).alias("p" + c.removeprefix("pim")) for c in index.columns if c.startswith("pim")],
-        *[F.col(c).alias("q" + c.removeprefix("crm")) for c in index.columns if c.startswith("crm")],
-    )
+    both = _of(pim, "possible_pim", "p").join(_of(crm, "possible_pim", "q"), "possible_pim", "full")
     keys = lookup_join(keys, both, ["possible_pim"], "left",
                        hot_keys(prefixes, ["possible_pim"]) if salt else None)
 
     # On the account: many contacts may share one.
-    people = account_people(enrollees, index, salt).withColumn("a_found", F.lit(True))
+    people = account_people(enrollees, pim, salt).withColumn("a_found", F.lit(True))
     keys = lookup_join(keys, people, ["account_id"], "left",
                        hot_keys(contacts, ["account_id"]) if salt else None)
 
@@ -276,8 +253,9 @@ def identity_crosswalk(subscribers: DataFrame, contacts: DataFrame, accounts: Da
 
     The person is resolved once per key and then handed to each of the key's ids.
     """
-    index = person_index(pim_open, pim_restricted, crm_open, crm_restricted)
-    resolved = resolve_keys(subscribers, contacts, accounts, enrollees, index, salt)
+    resolved = resolve_keys(subscribers, contacts, accounts, enrollees,
+                            person_index(pim_open, pim_restricted, ENROLLEE_LABEL),
+                            person_index(crm_open, crm_restricted, CANDIDATE_LABEL), salt)
     pairs = subscriber_keys(subscribers)
     hot = hot_keys(subscribers, ["subscriber_key"]) if salt else None
     rows = lookup_join(pairs, resolved, ["subscriber_key"], "left", hot)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlake.session import shuffle_partitions
@@ -16,8 +16,12 @@ MAX_HOT_KEYS = 1000
 TRACKED_KEYS = 10_000
 
 
-def _present(keys: list[str]) -> Column:
-    return reduce(and_, [F.col(k).isNotNull() for k in keys])
+def _listed(columns: list[str]) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
+
+
+def _present(keys: list[str]) -> str:
+    return " and ".join(f"`{k}` is not null" for k in keys)
 
 
 def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -28,20 +32,13 @@ def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """
     parts = shuffle_partitions(df.sparkSession)
     sketch = (
-        df.where(_present(keys))
-        .select(F.xxhash64(*keys).alias("h"))
-        .agg(
-            F.expr(f"approx_top_k(h, {MAX_HOT_KEYS}, {TRACKED_KEYS})").alias("top"),
-            F.count(F.lit(1)).alias("n"),
-        )
+        df.where(_present(keys)).selectExpr(f"xxhash64({_listed(keys)}) as h")
+        .selectExpr(f"approx_top_k(h, {MAX_HOT_KEYS}, {TRACKED_KEYS}) as top", "count(*) as n")
     )
     return (
-        sketch.select(F.explode("top").alias("t"), "n")
-        .select(
-            F.col("t.item").alias("_hot"),
-            F.ceil(F.col("t.count") * F.lit(float(parts)) / F.col("n")).alias("_pieces"),
-        )
-        .where(F.col("_pieces") > 1)
+        sketch.selectExpr("inline(top)", "n")
+        .selectExpr("item as _hot", f"ceil(count * {parts}D / n) as _pieces")
+        .where("_pieces > 1")
     )
 
 
@@ -54,41 +51,28 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     the left rows of a hot key are spread over its pieces and its right rows are
     repeated once per piece. Keys must have the same type on both sides.
     """
+    left_types, right_types = dict(left.dtypes), dict(right.dtypes)
     for k in keys:
-        if left.schema[k].dataType != right.schema[k].dataType:
-            raise TypeError(f"join key {k}: {left.schema[k].dataType} and {right.schema[k].dataType}")
-    parts = shuffle_partitions(left.sparkSession)
-    left_columns = left.columns
-    payload = [c for c in right.columns if c not in keys]
-    spread = F.pmod(F.xxhash64(*left_columns), F.lit(parts))
-    right_keys = [F.col(k).alias(f"_r_{k}") for k in keys]
+        if left_types[k] != right_types[k]:
+            raise TypeError(f"join key {k}: {left_types[k]} and {right_types[k]}")
+    spread = f"pmod(xxhash64({_listed(left.columns)}), {{}})"
+    everywhere = spread.format(shuffle_partitions(left.sparkSession))
+    renamed = [f"`{k}` as `_r_{k}`" for k in keys] + [f"`{c}`" for c in right.columns if c not in keys]
+    lookup = right.where(_present(keys))
 
     if hot is None:
-        salted = left.withColumn("_salt", F.when(_present(keys), F.lit(0).cast("bigint")).otherwise(spread))
+        salted = left.withColumn("_salt", F.expr(f"if({_present(keys)}, 0L, {everywhere})"))
         # Always 0, but not a literal: a literal would be folded away and with it
         # the salt as a join key.
-        zero = F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint"))
-        lookup = right.where(_present(keys)).select(*right_keys, *payload, zero.alias("_r_salt"))
+        lookup = lookup.selectExpr(*renamed, f"pmod(xxhash64({_listed(keys)}), 1L) as _r_salt")
     else:
         # At most MAX_HOT_KEYS rows, hence the broadcast.
         hot = F.broadcast(hot)
-        piece = F.pmod(F.xxhash64(*left_columns), F.coalesce("_pieces", F.lit(1).cast("bigint")))
-        salted = (
-            left.withColumn("_h", F.when(_present(keys), F.xxhash64(*keys)))
-            .join(hot, F.col("_h") == F.col("_hot"), "left")
-            .withColumn("_salt", F.when(_present(keys), piece).otherwise(spread))
-            .select(*left_columns, "_salt")
-        )
-        last = F.coalesce("_pieces", F.lit(1).cast("bigint")) - F.lit(1)
-        lookup = (
-            right.where(_present(keys))
-            .withColumn("_h", F.xxhash64(*keys))
-            .join(hot, F.col("_h") == F.col("_hot"), "left")
-            .select(*right_keys, *payload,
-                    F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_r_salt"))
-        )
-    on = reduce(and_, [F.col(k) == F.col(f"_r_{k}") for k in keys]) & (F.col("_salt") == F.col("_r_salt"))
-    joined = salted.join(lookup, on, how)
-    if how in ("left_semi", "left_anti"):
-        return joined.select(*left_columns)
-    return joined.select(*left_columns, *payload)
+        is_hot = F.expr(f"if({_present(keys)}, xxhash64({_listed(keys)}), null) = _hot")
+        pieces = spread.format("coalesce(_pieces, 1L)")
+        salted = left.join(hot, is_hot, "left").withColumn(
+            "_salt", F.expr(f"if({_present(keys)}, {pieces}, {everywhere})")).drop("_hot", "_pieces")
+        lookup = lookup.join(hot, F.expr(f"xxhash64({_listed(keys)}) = _hot"), "left").selectExpr(
+            *renamed, "explode(sequence(0L, coalesce(_pieces, 1L) - 1L)) as _r_salt")
+    on = [F.expr(f"`{k}` = `_r_{k}`") for k in keys] + [F.expr("_salt = _r_salt")]
+    return salted.join(lookup, reduce(and_, on), how).drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])
