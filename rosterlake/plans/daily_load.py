@@ -1,15 +1,17 @@
 """One day's run: zipped drops -> landed records -> text tables -> typed tables ->
 crosswalk -> staged tables -> published tables.
 
-Every stage is written before the next one reads it. A run is named by ``run_id`` and
-replaces what an earlier attempt of the same run wrote, so it can be started again after
-a loss at any point. Typed tables only ever gain one ``load_run`` partition per run, so
-their state after an earlier run is a partition filter (``typed_as_of``), not a copy.
+Every stage is written before the next one reads it, and no file a reader may hold is
+overwritten: text and staged tables get a folder per attempt, typed tables a partition
+per run that a repeated run replaces. So a run can be started again after a loss at any
+point, publishing moves a pointer, and a snapshot is a name for files that already are
+there. None of them copies a table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -31,20 +33,23 @@ from rosterlake.sinks.ledger import processed_entries
 from rosterlake.sources import archive as zips
 from rosterlake.sources.delimited import Dialect, accepted_rows, parse_records, require_few_bad_rows
 from rosterlake.sources.dictionary import dictionary_from_headers
-from rosterlake.sources.manifest import not_yet_processed
+from rosterlake.sources.manifest import list_files, not_yet_processed
 
 RUN = "load_run"
+LANDED = columns("archive string, member string, record_no bigint, record string, feed string, file_stem string")
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Where the layers lie, and the database of the published tables."""
+    """Where the layers lie, and the databases of the published and the archived tables."""
 
     root: str
     database: str = "default"
+    archive: str = "archive"
 
-    def path(self, layer: str, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{layer}/{name}"
+    def path(self, layer: str, name: str, version: str | None = None) -> str:
+        path = f"{self.root.rstrip('/')}/{layer}/{name}"
+        return path if version is None else f"{path}/version={version}"
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -73,18 +78,24 @@ def typed_as_of(spark: SparkSession, house: Warehouse, entity: Entity, run_id: s
 
 def land_archives(spark: SparkSession, drop_root: str, house: Warehouse, run_id: str,
                   dialect: Dialect = Dialect()) -> DataFrame:
-    """Records of the archives no earlier run took, written once; (path) of those archives."""
+    """Records of the archives no earlier run took, written once; (path) of those archives.
+
+    Paths alone are set against the ledger; only then are the files opened.
+    """
     ledger = read_or_empty(spark, house.path("ledger", "files"), columns("path string, run_date string"))
-    archives = not_yet_processed(zips.read_archives(spark, drop_root), ledger.where(F.col("run_date") != run_id))
-    records = zips.with_feed(zips.expand_archives(archives, sep=dialect.sep, quote=dialect.quote))
+    fresh = not_yet_processed(list_files(spark, drop_root, "*.zip"), ledger.where(F.col("run_date") != run_id))
+    paths = [r["path"] for r in fresh.select("path").collect()]
+    taken = spark.createDataFrame([(p,) for p in paths], "path string")
+    if paths:
+        records = zips.with_feed(zips.expand_archives(zips.read_archives(spark, paths), sep=dialect.sep, quote=dialect.quote))
+    else:
+        records = spark.createDataFrame([], LANDED)
     tables.overwrite(records, house.path("landing", run_id), "feed", "file_stem")
-    return archives.select("path")
+    return taken
 
 
 def landing(spark: SparkSession, house: Warehouse, run_id: str) -> DataFrame:
-    return read_or_empty(spark, house.path("landing", run_id),
-                         columns("archive string, member string, record_no bigint, record string, "
-                                 "feed string, file_stem string"))
+    return read_or_empty(spark, house.path("landing", run_id), LANDED)
 
 
 def text_rows(records: DataFrame, entity: Entity, dialect: Dialect) -> DataFrame:
@@ -122,21 +133,21 @@ def text_rows(records: DataFrame, entity: Entity, dialect: Dialect) -> DataFrame
     return out
 
 
-def load_text(spark: SparkSession, house: Warehouse, run_id: str, entity: Entity,
+def load_text(spark: SparkSession, house: Warehouse, run_id: str, version: str, entity: Entity,
               dialect: Dialect = Dialect()) -> None:
-    """Truncates the entity's text table: a feed that did not come has no rows in it."""
+    """The entity's text table of this run: a feed that did not come has no rows in it."""
     rows = text_rows(landing(spark, house, run_id), entity, dialect)
     rows = rows.where(F.col("feed").isin(*entity.feeds))
     require_few_bad_rows(rows.withColumn("_file", F.concat_ws("#", "archive", "member")))
-    tables.overwrite(accepted_rows(rows).select("feed", *entity.columns), house.path("text", entity.name))
+    tables.overwrite(accepted_rows(rows).select("feed", *entity.columns), house.path("text", entity.name, version))
 
 
 # ---------------------------------------------------------------- typed, crosswalk, staged
 
-def load_typed(spark: SparkSession, house: Warehouse, run_id: str, entity: Entity) -> None:
+def load_typed(spark: SparkSession, house: Warehouse, run_id: str, version: str, entity: Entity) -> None:
     """Adds this run's partition, or replaces it when the run is repeated."""
     text = spark.read.schema(columns(", ".join(f"{c} string" for c in ("feed", *entity.columns)))).parquet(
-        house.path("text", entity.name))
+        house.path("text", entity.name, version))
     before = typed_table(spark, house, entity).where(F.col(RUN) != run_id).drop(RUN)
     rows = with_audit(build_rows(entity, [text.drop("feed")], before)).withColumn(RUN, F.lit(run_id))
     tables.replace_partitions(rows, house.path("typed", entity.name), RUN)
@@ -151,43 +162,52 @@ def load_crosswalk(spark: SparkSession, house: Warehouse, lookups: dict[str, Dat
     tables.overwrite(identities_by_key(crosswalk), house.path("identity", "by_key"))
 
 
-def load_staged(spark: SparkSession, house: Warehouse, entity: Entity) -> None:
+def load_staged(spark: SparkSession, house: Warehouse, version: str, entity: Entity) -> None:
     rows = typed_table(spark, house, entity).drop(RUN)
     if entity.enriched:
         identities = spark.read.parquet(house.path("identity", "by_key"))
         rows = enrich(rows, identities, hot_keys(rows, ["subscriber_key"]))
-    tables.overwrite(rows, house.path("staged", entity.name))
-
-
-def publish_staged(spark: SparkSession, house: Warehouse, run_id: str, entity: Entity) -> None:
-    tables.publish(spark.read.parquet(house.path("staged", entity.name)), f"{house.database}.{entity.name}",
-                   house.path("final", ""), run_id)
-
-
-def snapshot_layers(spark: SparkSession, house: Warehouse, run_date: str, entity: Entity) -> None:
-    """Copies of the text and the published table before the run changes them."""
-    day = F.lit(run_date).cast("date")
-    for layer, path in (("text", house.path("text", entity.name)), ("final", None)):
-        name = f"{house.database}.{entity.name}"
-        if path is None:
-            if not spark.catalog.tableExists(name):
-                continue
-            rows = spark.table(name)
-        else:
-            try:
-                rows = spark.read.parquet(path)
-            except AnalysisException as missing:
-                if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                    raise
-                continue
-        tables.snapshot(rows, house.path(f"archive/{layer}", entity.name), day)
-
-
-def for_each(entities: Iterable[Entity], step: Callable[[Entity], None], at_once: int) -> None:
+    tables.overwrite(rows, house.path("staged", entity.name, version))
+
+
+def publish_staged(spark: SparkSession, house: Warehouse, version: str, entity: Entity) -> None:
+    tables.point_at(spark, f"{house.database}.{entity.name}", house.path("staged", entity.name, version))
+
+
+# ---------------------------------------------------------------- runs and snapshots
+
+def finished_runs(spark: SparkSession, house: Warehouse) -> DataFrame:
+    return read_or_empty(spark, house.path("ledger", "runs"), columns("dt date, version string, pipeline string"))
+
+
+def previous_run(spark: SparkSession, house: Warehouse, run_id: str) -> tuple[str, str] | None:
+    """(run_id, version) of the last finished run before this one; run ids sort by time."""
+    last = finished_runs(spark, house).where(F.col("pipeline") < run_id).agg(
+        F.max(F.struct("pipeline", "version")).alias("r")).head()["r"]
+    return None if last is None else (last["pipeline"], last["version"])
+
+
+def snapshot_layers(spark: SparkSession, house: Warehouse, run_id: str, run_date: str) -> None:
+    """Names the state before this run in the archive database, dated the day before:
+    text and published tables by their folder, typed tables by their partitions."""
+    last = previous_run(spark, house, run_id)
+    if last is None:
+        return
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {house.archive}")
+    day = spark.range(1).select(F.date_format(tables.snapshot_day(F.lit(run_date).cast("date")), "yyyyMMdd")).head()[0]
+    for e in ENTITIES.values():
+        tables.point_at(spark, f"{house.archive}.text_{e.name}_{day}", house.path("text", e.name, last[1]))
+        tables.point_at(spark, f"{house.archive}.final_{e.name}_{day}", house.path("staged", e.name, last[1]))
+        listed = ", ".join(e.schema().names)
+        spark.sql(f"CREATE OR REPLACE VIEW {house.archive}.typed_{e.name}_{day} AS SELECT {listed} "
+                  f"FROM parquet.`{house.path('typed', e.name)}` WHERE cast({RUN} as string) <= '{last[0]}'")
+
+
+def for_each(step: Callable[[Entity], None], at_once: int) -> None:
     """The tables of a stage do not depend on each other; a few jobs run side by side so
     that a small table does not leave the cluster idle."""
     with ThreadPoolExecutor(max_workers=at_once) as pool:
-        for done in [pool.submit(step, e) for e in entities]:
+        for done in [pool.submit(step, e) for e in ENTITIES.values()]:
             done.result()
 
 
@@ -195,14 +215,16 @@ def run_day(spark: SparkSession, drop_root: str, house: Warehouse, lookups: dict
             run_id: str, run_date: str, dialect: Dialect = Dialect(), snapshots: bool = True,
             at_once: int = 4) -> None:
     """``lookups``: contacts, accounts, enrollees and the four person tables."""
-    entities = list(ENTITIES.values())
+    version = f"{run_id}-{uuid.uuid4().hex[:8]}"
     if snapshots:
-        for_each(entities, lambda e: snapshot_layers(spark, house, run_date, e), at_once)
+        snapshot_layers(spark, house, run_id, run_date)
     taken = land_archives(spark, drop_root, house, run_id, dialect)
-    for_each(entities, lambda e: load_text(spark, house, run_id, e, dialect), at_once)
-    for_each(entities, lambda e: load_typed(spark, house, run_id, e), at_once)
+    for_each(lambda e: load_text(spark, house, run_id, version, e, dialect), at_once)
+    for_each(lambda e: load_typed(spark, house, run_id, version, e), at_once)
     load_crosswalk(spark, house, lookups)
-    for_each(entities, lambda e: load_staged(spark, house, e), at_once)
-    for_each(entities, lambda e: publish_staged(spark, house, run_id, e), at_once)
+    for_each(lambda e: load_staged(spark, house, version, e), at_once)
+    for_each(lambda e: publish_staged(spark, house, version, e), at_once)
     # Last, so that a run that died takes its archives again.
     tables.replace_partitions(processed_entries(taken, F.lit(run_id)), house.path("ledger", "files"), "run_date")
+    run = spark.createDataFrame([(run_date, run_id, version)], "dt string, pipeline string, version string")
+    tables.replace_partitions(run.withColumn("dt", F.col("dt").cast("date")), house.path("ledger", "runs"), "pipeline")

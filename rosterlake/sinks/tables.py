@@ -47,19 +47,25 @@ def copy_table(spark: SparkSession, source: str, target: str) -> None:
     overwrite(spark.read.parquet(source), target)
 
 
-def publish(rows: DataFrame, table: str, root: str, version: str) -> None:
-    """Writes a new version beside the old one and then points the table at it, so that
-    readers see either the old rows or the new ones, also when the run dies midway."""
-    spark = rows.sparkSession
-    location = f"{root.rstrip('/')}/{table.split('.')[-1]}/version={version}"
-    overwrite(rows, location)
-    if spark.catalog.tableExists(table) and _columns(spark.table(table).schema) == _columns(rows.schema):
+def point_at(spark: SparkSession, table: str, location: str) -> None:
+    """Makes a table read the Parquet files at a location, written before. Readers see
+    either the files it pointed at so far or the new ones; no byte is copied."""
+    schema = spark.read.parquet(location).schema
+    if spark.catalog.tableExists(table) and _columns(spark.table(table).schema) == _columns(schema):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
         spark.catalog.refreshTable(table)
     else:
-        # External: dropping it removes the entry, not the earlier versions.
+        # External: dropping it removes the entry, not the files.
         spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.catalog.createTable(table, path=location, source="parquet")
+        spark.catalog.createTable(table, path=location, source="parquet", schema=schema)
+
+
+def publish(rows: DataFrame, table: str, root: str, version: str) -> None:
+    """Writes a new version beside the old one and then points the table at it, so a run
+    that dies midway leaves the old rows in place."""
+    location = f"{root.rstrip('/')}/{table.split('.')[-1]}/version={version}"
+    overwrite(rows, location)
+    point_at(rows.sparkSession, table, location)
 
 
 def _columns(schema: T.StructType) -> list[tuple[str, str]]:

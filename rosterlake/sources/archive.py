@@ -16,9 +16,10 @@ RECORDS = "archive string, member string, record_no bigint, record string"
 BATCH_ROWS = 10_000
 
 
-def read_archives(spark: SparkSession, root: str) -> DataFrame:
+def read_archives(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Zip files with their bytes, from a folder or a list of files."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
-            .option("recursiveFileLookup", "true").load(root))
+            .option("recursiveFileLookup", "true").load(paths))
 
 
 def ends_quoted(line: str, quoted: bool, sep: str, quote: str) -> bool:
