@@ -18,6 +18,7 @@ from rosterlake.session import scratch_dir
 from rosterlake.sources import archive as A
 from rosterlake.sources import delimited as D
 from rosterlake.sources.feeds import feed_counts, landed_files, read_landed
+from rosterlake.sources.quoted_lines import read_files
 
 TURNS = ["conv_id", "turn", "role", "text"]
 # Turns per archive: an archive is one task's work, so the number of archives grows instead.
@@ -87,6 +88,19 @@ def _(spark, sf_dir):
     return rows.select(*[blank_to_null(c).alias(c) for c in columns])
 
 
+@check("csv_quoted_line_ends", """
+select doc_id, replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) as text, lang from documents
+union all select page_id, null, url from pages""")
+def _(spark, sf_dir):
+    root = scratch_dir(spark, "quoted")
+    documents, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    # Whole texts with their line ends in quotes, and files that hold none.
+    documents.select(F.concat_ws("|", F.col("doc_id").cast("string"), _quoted("text"), "lang").alias("value")).write.text(f"{root}/quoted")
+    pages.select(F.concat_ws("|", F.col("page_id").cast("string"), F.lit(""), "url").alias("value")).write.text(f"{root}/plain")
+    rows = D.accepted_rows(read_files(spark, [f"{root}/quoted", f"{root}/plain"], ["doc_id", "text", "lang"], header=False))
+    return rows.select(F.col("doc_id").cast("bigint"), F.regexp_replace("text", "\r\n?", "\n").alias("text"), "lang")
+
+
 # Whole, surplus (also with an empty surplus field) and short rows.
 LINE = ("concat(cast(o_orderkey as string), '|', case when o_orderpriority = '2-HIGH' then concat('\"', o_orderstatus, '|\"') "
         "else o_orderstatus end, case when o_orderpriority = '5-LOW' and o_orderstatus = 'F' then '' else concat('|', o_orderpriority) end, "

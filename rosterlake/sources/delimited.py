@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -138,6 +139,29 @@ def read_inferred(spark: SparkSession, paths: str | list[str], dialect: Dialect
             .option("inferSchema", True).csv(paths))
 
 
+def opens_quote(line: Column, dialect: Dialect) -> Column:
+    """Whether a line that starts outside quotes ends inside."""
+    return F.contains(line, F.lit(dialect.quote)) & line.rlike("^" + _open(dialect))
+
+
+def stays_quoted(line: Column, dialect: Dialect) -> Column:
+    """Whether a line that starts inside quotes ends inside: it never closes the field, or
+    closes it and opens another."""
+    body, q, s = _parts(dialect)
+    return ~F.contains(line, F.lit(dialect.quote)) | line.rlike(f"^{body}(?:{q}[^{s}]*+{s}{_open(dialect)})?$")
+
+
+def _parts(dialect: Dialect) -> tuple[str, str, str]:
+    q, s = re.escape(dialect.quote), re.escape(dialect.sep)
+    # Possessive: a doubled quote is never taken for the end of a field.
+    return f"(?:[^{q}]|{q}{q})*+", q, s
+
+
+def _open(dialect: Dialect) -> str:
+    body, q, s = _parts(dialect)
+    return f"(?:(?:{q}{body}{q}[^{s}]*+|[^{q}{s}][^{s}]*+)?{s})*+{q}{body}$"
+
+
 def file_profiles(lines: DataFrame, configured: Dialect = Dialect(), by: str = "_file") -> DataFrame:
     """Delimiter and quote each file seems to use, and whether it holds quoted line ends.
 
@@ -153,7 +177,7 @@ def file_profiles(lines: DataFrame, configured: Dialect = Dialect(), by: str = "
         *[F.regexp_count(plain, F.lit(_literal(d))).alias(f"_d{i}") for i, d in enumerate(candidates)],
         *[F.regexp_count("value", F.lit(f"(?:^|[{_class(candidates)}]){q}")).alias(f"_q{i}")
           for i, q in enumerate(QUOTES)],
-        (F.regexp_count("value", F.lit(_literal(configured.quote))) % 2 == 1).alias("_odd"),
+        opens_quote(F.col("value"), configured).alias("_open"),
     )
     stats = counted.groupBy(by).agg(
         F.count(F.lit(1)).alias("lines"),
@@ -164,7 +188,7 @@ def file_profiles(lines: DataFrame, configured: Dialect = Dialect(), by: str = "
         ).alias(f"_s{i}") for i, d in enumerate(candidates)],
         *[F.struct(F.sum(f"_q{i}").alias("hits"), F.lit(q).alias("quote")).alias(f"_t{i}")
           for i, q in enumerate(QUOTES)],
-        F.max("_odd").alias("quoted_line_ends"),
+        F.max("_open").alias("quoted_line_ends"),
     )
     best = F.greatest(*[F.col(f"_s{i}") for i in range(len(candidates))])
     mark = F.greatest(*[F.col(f"_t{i}") for i in range(len(QUOTES))])

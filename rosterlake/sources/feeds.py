@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.functions.names import feed_of
-from rosterlake.sources.delimited import Dialect, read_delimited
+from rosterlake.sources.delimited import Dialect
 from rosterlake.sources.manifest import list_files, relative_to
+from rosterlake.sources.quoted_lines import read_files
 
 
 def landed_files(spark: SparkSession, root: str) -> DataFrame:
@@ -23,7 +24,7 @@ def landed_files(spark: SparkSession, root: str) -> DataFrame:
 
 def read_landed(spark: SparkSession, files: DataFrame, columns: Sequence[str],
                 dialect: Dialect = Dialect()) -> DataFrame:
-    """One scan over the files of all feeds; rows carry their feed.
+    """The files of all feeds read together; rows carry their feed.
 
     The list of a day's files goes through the driver, as every Spark scan's does.
     """
@@ -32,7 +33,7 @@ def read_landed(spark: SparkSession, files: DataFrame, columns: Sequence[str],
         names = [*columns]
         return spark.createDataFrame([], ", ".join(f"{c} string" for c in [*names, "feed"]))
     folder_of = {r["path"]: r["feed"] for r in listed}
-    rows = read_delimited(spark, sorted(folder_of), columns, dialect)
+    rows = read_files(spark, sorted(folder_of), columns, dialect)
     feeds = sorted(set(folder_of.values()))
     folder = F.coalesce(*[F.when(F.contains("_file", F.lit(f"_{f}/")), F.lit(f)) for f in feeds])
     return rows.withColumn("feed", folder)
