@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks.registry import check, table
 from rosterlake.functions.clean import blank_to_null, to_bigint
 from rosterlake.operators import incremental as G
+from rosterlake.operators.skew import lookup_join
 
 # Three feeds of orders with different column order; together they hold every row, some more than once.
 FEEDS = (("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"),
@@ -104,4 +105,4 @@ def _(spark, sf_dir):
         "when o_orderpriority = '5-LOW' then ' ' else cast(o_custkey as string) end as t")
     keyed = orders.select("o_orderkey", to_bigint(blank_to_null("t")).alias("c_custkey"))
     names = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return G.lookup_join(keyed, names, ["c_custkey"], "left").drop("c_custkey")
+    return lookup_join(keyed, names, ["c_custkey"], "left").drop("c_custkey")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterlake.functions.clean import blank_to_null
-from rosterlake.operators.skew import hot_keys, lookup_join
+from rosterlake.operators.skew import hot_keys, lookup_join, unique_lookup_join
 
 # Key labels in the person tables, and the ids and flag of an unknown person.
 ENROLLEE_LABEL = "pim_id"
@@ -114,7 +114,7 @@ def enrollee_match(accounts_of_keys: DataFrame, enrollees: DataFrame,
         F.count("enrollee_key").alias("enrollee_keys"),
         F.max(F.col("enrollee_key").isNull()).alias("keyless"),
     )
-    return lookup_join(accounts_of_keys, per_account, ["account_id"], "left", hot)
+    return unique_lookup_join(accounts_of_keys, per_account, ["account_id"], "left", hot)
 
 
 # ---------------------------------------------------------------- person tables
@@ -126,7 +126,7 @@ def source_lookup(keys: DataFrame, people: DataFrame, label: str) -> DataFrame:
         .groupBy(F.col("source_key").alias("lookup_key"))
         .agg(*[F.max(i).alias(i) for i in IDS])
     )
-    return lookup_join(keys, best, ["lookup_key"], "left")
+    return unique_lookup_join(keys, best, ["lookup_key"], "left")
 
 
 def _pair(i: str) -> list[Column]:
@@ -191,7 +191,7 @@ def account_people(enrollees: DataFrame, pim: DataFrame, salt: bool = True) -> D
     # A hot key shows in the raw table, so the sketch needs no second distinct.
     raw = enrollees.select(blank_to_null("source_key").alias("enrollee_key"))
     hot = hot_keys(raw, ["enrollee_key"]) if salt else None
-    found = lookup_join(pairs, _of(pim, "enrollee_key", "e"), ["enrollee_key"], "left", hot)
+    found = unique_lookup_join(pairs, _of(pim, "enrollee_key", "e"), ["enrollee_key"], "left", hot)
     keyed = F.col("enrollee_key").isNotNull()
     return found.groupBy("account_id").agg(
         *[F.max(F.when(keyed, _best("e", i))).alias(f"a_best_{i}") for i in IDS],
@@ -216,12 +216,12 @@ def resolve_keys(subscribers: DataFrame, contacts: DataFrame, accounts: DataFram
     # key, so putting them side by side shuffles nothing.
     prefixes = subscribers.select(key_prefix("subscriber_key").alias("possible_pim"))
     both = _of(pim, "possible_pim", "p").join(_of(crm, "possible_pim", "q"), "possible_pim", "full")
-    keys = lookup_join(keys, both, ["possible_pim"], "left",
+    keys = unique_lookup_join(keys, both, ["possible_pim"], "left",
                        hot_keys(prefixes, ["possible_pim"]) if salt else None)
 
     # On the account: many contacts may share one.
     people = account_people(enrollees, pim, salt).withColumn("a_found", F.lit(True))
-    keys = lookup_join(keys, people, ["account_id"], "left",
+    keys = unique_lookup_join(keys, people, ["account_id"], "left",
                        hot_keys(contacts, ["account_id"]) if salt else None)
 
     in_crm = F.col("in_crm")

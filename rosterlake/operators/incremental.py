@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlake.operators.skew import hot_keys, lookup_join
+from rosterlake.operators.skew import hot_keys, unique_lookup_join
 
 
 def union_feeds(feeds: Sequence[DataFrame], distinct: bool = False) -> DataFrame:
@@ -35,7 +35,7 @@ def new_rows(incoming: DataFrame, existing: DataFrame, incoming_keys: Sequence[C
     left = _with_keys(incoming, dict(zip(names, incoming_keys)))
     right = existing.select(*[k.alias(n) for n, k in zip(names, existing_keys)]).distinct()
     hot = hot_keys(left, names) if salt else None
-    return lookup_join(left, right, names, "left_anti", hot).select(*incoming.columns)
+    return unique_lookup_join(left, right, names, "left_anti", hot).select(*incoming.columns)
 
 
 def key_ranges(existing: DataFrame, keys: dict[str, Column], compare: dict[str, Column]) -> DataFrame:
@@ -72,7 +72,7 @@ def _against_history(incoming, existing, incoming_keys, existing_keys, incoming_
     )
     ranges = key_ranges(existing, dict(zip(names, existing_keys)), dict(zip(labels, existing_values)))
     hot = hot_keys(left, names) if salt else None
-    return lookup_join(left, ranges.withColumn("_loaded", F.lit(True)), names, how, hot), labels
+    return unique_lookup_join(left, ranges.withColumn("_loaded", F.lit(True)), names, how, hot), labels
 
 
 def changed_rows(incoming: DataFrame, existing: DataFrame, incoming_keys: Sequence[Column],

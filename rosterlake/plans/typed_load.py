@@ -12,31 +12,25 @@ from rosterlake.operators.incremental import new_or_changed, new_rows, union_fee
 from rosterlake.plans.catalog import APPEND, NEW_ONLY, Entity
 
 
-def typed_rows(entity: Entity, raw: DataFrame) -> DataFrame:
-    """Cleaned and typed. Text that does not fit its type fails the job."""
-    return raw.select(*[typed(c, t).alias(c) for c, t in entity.types.items()])
-
-
-def incoming_key(entity: Entity, name: str) -> Column:
-    return F.col(name) if name in entity.raw_keys else typed(name, entity.types[name])
+def _raw(name: str) -> str:
+    return f"_raw_{name}"
 
 
-def stored_key(entity: Entity, name: str) -> Column:
-    return blank_to_null(name) if name in entity.raw_keys else F.col(name)
+def typed_rows(entity: Entity, raw: DataFrame) -> DataFrame:
+    """Cleaned and typed. Text that does not fit its type fails the job. Keys that are
+    compared as they came stay beside the typed columns."""
+    return raw.select(*[typed(c, t).alias(c) for c, t in entity.types.items()],
+                      *[F.col(c).alias(_raw(c)) for c in entity.raw_keys])
 
 
-def pending_rows(entity: Entity, raw: DataFrame, existing: DataFrame | None,
-                 salt: bool = True) -> DataFrame:
-    """The raw rows the entity's rule lets through."""
-    if entity.rule == APPEND or existing is None:
-        return raw
-    keys = [incoming_key(entity, k) for k in entity.keys]
-    stored = [stored_key(entity, k) for k in entity.keys]
+def pending_rows(entity: Entity, rows: DataFrame, existing: DataFrame, salt: bool = True) -> DataFrame:
+    """The typed rows the entity's rule lets through."""
+    keys = [F.col(_raw(k)) if k in entity.raw_keys else F.col(k) for k in entity.keys]
+    stored = [blank_to_null(k) if k in entity.raw_keys else F.col(k) for k in entity.keys]
     if entity.rule == NEW_ONLY:
-        return new_rows(raw, existing, keys, stored, salt)
-    values = [typed(c, entity.types[c]) for c in entity.compare]
-    return new_or_changed(raw, existing, keys, stored, values,
-                          [F.col(c) for c in entity.compare], salt=salt)
+        return new_rows(rows, existing, keys, stored, salt)
+    values = [F.col(c) for c in entity.compare]
+    return new_or_changed(rows, existing, keys, stored, values, values, salt=salt)
 
 
 def build_rows(entity: Entity, feeds: Sequence[DataFrame], existing: DataFrame | None = None,
@@ -44,10 +38,16 @@ def build_rows(entity: Entity, feeds: Sequence[DataFrame], existing: DataFrame |
     """Distinct typed rows to append, without audit columns.
 
     Feeds are not made distinct before typing: the distinct that follows covers it and
-    saves a shuffle. What is already loaded goes before that widest shuffle.
+    saves a shuffle. It comes before the join with the history, so that copies, however
+    many, collapse on the map side and only single rows are joined.
     """
-    raw = union_feeds([f.select(*entity.columns) for f in feeds])
-    return typed_rows(entity, pending_rows(entity, raw, existing, salt)).distinct()
+    rows = typed_rows(entity, union_feeds([f.select(*entity.columns) for f in feeds])).distinct()
+    if entity.rule == APPEND or existing is None:
+        rows = rows.select(*entity.columns)
+        return rows.distinct() if entity.raw_keys else rows
+    rows = pending_rows(entity, rows, existing, salt).select(*entity.columns)
+    # Rows that differ in the padding of a key only are one row now.
+    return rows.distinct() if entity.raw_keys else rows
 
 
 def build_load(entity: Entity, feeds: Sequence[DataFrame], existing: DataFrame | None = None,

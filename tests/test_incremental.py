@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rosterlake.operators import incremental as G
-from rosterlake.operators.skew import hot_keys, lookup_join
+from rosterlake.operators.skew import hot_keys, lookup_join, unique_lookup_join
 from rosterlake.plans.catalog import ENTITIES
 from rosterlake.plans.typed_load import build_rows
 
@@ -56,15 +56,26 @@ def test_hot_and_null_keys_are_spread_and_nothing_is_lost(spark):
         truth = {"hot": 1, **{f"k{i}": i for i in range(150)}}
         joined = {x["i"]: x["v"] for x in lookup_join(left, right, ["k"], "left", hot).collect()}
         assert joined == {i: truth.get(k) for i, k in enumerate(keys)}
-        for how, keep in (("left_anti", lambda k: k not in truth), ("left_semi", lambda k: k in truth), ("inner", lambda k: k in truth)):
-            for h in (hot, None):
-                got = sorted(x["i"] for x in lookup_join(left, right, ["k"], how, h).collect())
-                assert got == [i for i, k in enumerate(keys) if keep(k)], how
+        unhit = {k: v for k, v in truth.items() if k != "hot"}
+        for join in (lookup_join, unique_lookup_join):
+            for how, keep in (("left", lambda k, t: True), ("left_anti", lambda k, t: k not in t),
+                              ("left_semi", lambda k, t: k in t), ("inner", lambda k, t: k in t)):
+                if how == "left_semi" and join is unique_lookup_join:
+                    continue
+                for h in (hot, None):
+                    # Also when the hot key is not in the lookup.
+                    for table, known in ((right, truth), (right.where("k <> 'hot'"), unhit)):
+                        out = join(left, table, ["k"], how, h)
+                        assert out.columns == (["i", "k", "v"] if how in ("left", "inner") else ["i", "k"])
+                        got = sorted((x["i"], x["v"] if "v" in out.columns else None) for x in out.collect())
+                        assert got == [(i, known.get(k) if "v" in out.columns else None)
+                                       for i, k in enumerate(keys) if keep(k, known)], (join, how)
         # The hot key and the null key both reach more than one partition.
         spark.conf.set("spark.sql.adaptive.enabled", "false")
-        parts = lookup_join(left, right, ["k"], "left", hot).withColumn("p", F.spark_partition_id())
-        spread = {x["k"]: x["n"] for x in parts.groupBy("k").agg(F.countDistinct("p").alias("n")).collect()}
-        assert spread["hot"] > 1 and spread[None] > 1
+        for join in (lookup_join, unique_lookup_join):
+            parts = join(left, right, ["k"], "left", hot).withColumn("p", F.spark_partition_id())
+            spread = {x["k"]: x["n"] for x in parts.groupBy("k").agg(F.countDistinct("p").alias("n")).collect()}
+            assert spread["hot"] > 1 and spread[None] > 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
