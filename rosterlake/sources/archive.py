@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import io
+import itertools
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,9 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.functions.names import feed_folder, feed_of, file_stem
+from rosterlake.session import shuffle_partitions
 
+PACKED = "archive string, member string, method int, crc bigint, packed binary"
 RECORDS = "archive string, member string, record_no bigint, record string"
 BATCH_ROWS = 10_000
+# Fixed value: length of the fixed part of a zip entry's header.
+ENTRY_HEADER = 30
 
 
 def read_archives(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -64,30 +71,69 @@ def records_of(stream: io.TextIOBase, sep: str, quote: str) -> Iterator[str]:
         yield "\n".join(held)
 
 
+def packed_members(path: str, content: bytes, extension: str) -> Iterator[tuple]:
+    """The members of an archive, still compressed."""
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        for info in archive.infolist():
+            if info.is_dir() or not info.filename.lower().endswith("." + extension):
+                continue
+            if info.flag_bits & 1 or info.compress_type not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+                raise ValueError(f"{path}: {info.filename} is encrypted or packed in an unknown way")
+            name_length, extra_length = struct.unpack_from("<HH", content, info.header_offset + ENTRY_HEADER - 4)
+            start = info.header_offset + ENTRY_HEADER + name_length + extra_length
+            yield path, info.filename, info.compress_type, info.CRC, content[start:start + info.compress_size]
+
+
+class Unpacked(io.RawIOBase):
+    """A packed member as a stream; reading its end checks its checksum."""
+
+    def __init__(self, name: str, method: int, crc: int, packed: bytes):
+        self._name, self._crc, self._seen = name, crc, 0
+        self._rest = packed
+        self._inflate = zlib.decompressobj(-zlib.MAX_WBITS) if method == zipfile.ZIP_DEFLATED else None
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        if self._inflate is None:
+            data, self._rest = self._rest[:len(buffer)], self._rest[len(buffer):]
+        else:
+            data = self._inflate.decompress(self._rest, len(buffer))
+            self._rest = self._inflate.unconsumed_tail
+        buffer[:len(data)] = data
+        self._seen = zlib.crc32(data, self._seen)
+        if not data and self._seen != self._crc:
+            raise ValueError(f"{self._name} is damaged")
+        return len(data)
+
+
 def expand_archives(archives: DataFrame, extension: str = "csv", sep: str = "|", quote: str = '"') -> DataFrame:
     """binaryFile rows -> one row per record of every member. Record 0 is the header.
 
-    Zip is no splittable codec, so an archive is one task's work; members are streamed,
-    only the compressed bytes are held. Records leave as text and are parsed by Spark.
+    One task opens an archive but only hands its members on, compressed as they are; they
+    are unpacked and cut into records in parallel, a member being one stream. Records
+    leave as text and are parsed by Spark.
     """
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for info in archive.infolist():
-                        if info.is_dir() or not info.filename.lower().endswith("." + extension):
-                            continue
-                        with archive.open(info) as raw:
-                            text = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="\n")
-                            rows: list[tuple] = []
-                            for n, record in enumerate(records_of(text, sep, quote)):
-                                rows.append((path, info.filename, n, record))
-                                if len(rows) == BATCH_ROWS:
-                                    yield pd.DataFrame(rows, columns=["archive", "member", "record_no", "record"])
-                                    rows = []
-                            if rows:
-                                yield pd.DataFrame(rows, columns=["archive", "member", "record_no", "record"])
-    return archives.select("path", "content").mapInPandas(expand, RECORDS)
+                for member in packed_members(path, content, extension):
+                    yield pd.DataFrame([member], columns=["archive", "member", "method", "crc", "packed"])
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for m in batch.itertuples():
+                stream = io.BufferedReader(Unpacked(f"{m.archive}#{m.member}", m.method, m.crc, m.packed), 1 << 20)
+                text = io.TextIOWrapper(stream, encoding="utf-8-sig", newline="\n")
+                numbered = enumerate(records_of(text, sep, quote))
+                while rows := [(m.archive, m.member, n, r) for n, r in itertools.islice(numbered, BATCH_ROWS)]:
+                    yield pd.DataFrame(rows, columns=["archive", "member", "record_no", "record"])
+
+    # A fixed number: sized by bytes, a few compressed members would end up in one task.
+    tasks = shuffle_partitions(archives.sparkSession)
+    members = archives.select("path", "content").mapInPandas(split, PACKED)
+    return members.repartition(tasks, "archive", "member").mapInPandas(unpack, RECORDS)
 
 
 def with_feed(records: DataFrame) -> DataFrame:

@@ -98,6 +98,19 @@ def test_zip_members(spark, tmp_path):
         ["a|b", '1|"two\nlines ""q"""', '2|5" pipe', "3|x"])]
 
 
+def test_packed_members():
+    members = {"a.csv": "x|y\n" * 5000, "b.csv": "short\n", "c.csv": ""}
+    for method in (zipfile.ZIP_DEFLATED, zipfile.ZIP_STORED):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", method) as z:
+            for name, text in members.items():
+                z.writestr(name, text)
+        packed = list(A.packed_members("p", buffer.getvalue(), "csv"))
+        assert {m[1]: io.BufferedReader(A.Unpacked(m[1], *m[2:])).read().decode() for m in packed} == members
+        with pytest.raises(ValueError, match="damaged"):
+            io.BufferedReader(A.Unpacked("b", packed[1][2], packed[1][3] ^ 1, packed[1][4])).read()
+
+
 def test_landed_feeds(spark, tmp_path):
     for feed in ("level2", "all_bu"):
         (tmp_path / f"drop_{feed}").mkdir()
