@@ -26,7 +26,7 @@ _TABLES: dict[tuple, DataFrame] = {}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A bundled table. Its footer is read once per session, its rows by each query."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, name)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return _TABLES[key]

@@ -130,7 +130,9 @@ def require_few_bad_rows(rows: DataFrame, by: str = "_file", limit: int = MAX_BA
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Whole lines in one column, for text of no fixed width."""
-    return spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("_file"))
+    return spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("_file"),
+        F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line")).alias("_at"))
 
 
 def read_inferred(spark: SparkSession, paths: str | list[str], dialect: Dialect = Dialect()) -> DataFrame:
@@ -168,8 +170,10 @@ def file_profiles(lines: DataFrame, configured: Dialect = Dialect(), by: str = "
     One scan over whole files and one row per file and task in the shuffle. A delimiter
     wins by the share of lines that hold it, then by how even its count per line is.
     Where nothing is found the defaults apply; with an unusual configured quote nothing
-    is sniffed. The dialect columns are null where they equal the configured values.
+    is sniffed. The dialect columns are null where they equal the configured values. Lines
+    that know their place (see ``read_lines``) also give each file's first line.
     """
+    placed = "_at" in lines.columns
     candidates = [*DELIMITERS, *([configured.sep] if configured.sep not in DELIMITERS else [])]
     plain = F.regexp_replace("value", '"[^"]*"', "")
     counted = lines.select(
@@ -178,6 +182,7 @@ def file_profiles(lines: DataFrame, configured: Dialect = Dialect(), by: str = "
         *[F.regexp_count("value", F.lit(f"(?:^|[{_class(candidates)}]){q}")).alias(f"_q{i}")
           for i, q in enumerate(QUOTES)],
         opens_quote(F.col("value"), configured).alias("_open"),
+        *([F.when(F.col("_at.split") == 0, F.struct("_at", "value")).alias("_line")] if placed else []),
     )
     stats = counted.groupBy(by).agg(
         F.count(F.lit(1)).alias("lines"),
@@ -189,6 +194,7 @@ def file_profiles(lines: DataFrame, configured: Dialect = Dialect(), by: str = "
         *[F.struct(F.sum(f"_q{i}").alias("hits"), F.lit(q).alias("quote")).alias(f"_t{i}")
           for i, q in enumerate(QUOTES)],
         F.max("_open").alias("quoted_line_ends"),
+        *([F.min("_line").alias("_line")] if placed else []),
     )
     best = F.greatest(*[F.col(f"_s{i}") for i in range(len(candidates))])
     mark = F.greatest(*[F.col(f"_t{i}") for i in range(len(QUOTES))])
@@ -202,6 +208,7 @@ def file_profiles(lines: DataFrame, configured: Dialect = Dialect(), by: str = "
         delimiter.alias("field_delimiter"), quote.alias("quote_delimiter"),
         F.nullif(delimiter, F.lit(configured.sep)).alias("dialect_field_delimiter"),
         F.nullif(quote, F.lit(configured.quote)).alias("dialect_quote_delimiter"),
+        *([F.col("_line.value").alias("first_line")] if placed else []),
     )
 
 

@@ -52,8 +52,15 @@ def named_files(files: DataFrame, wanted: DataFrame) -> DataFrame:
     return files.join(wanted, "file_name")
 
 
-def wanted_files(spark: SparkSession, only: list | tuple | Mapping) -> DataFrame:
-    pairs = only.items() if isinstance(only, Mapping) else [(f, None) for f in only]
+def wanted_files(spark: SparkSession, only) -> DataFrame | None:
+    """A list of files, or a mapping of files to tables. An empty one names no restriction;
+    anything of another kind names no file."""
+    if isinstance(only, Mapping):
+        pairs = only.items()
+    else:
+        pairs = [(f, None) for f in only] if isinstance(only, (list, tuple)) else []
+    if not only:
+        return None
     return spark.createDataFrame([(f, t or None) for f, t in pairs], "file_name string, given_table string")
 
 
@@ -97,6 +104,15 @@ def with_load_results(manifest: DataFrame, loaded: DataFrame) -> DataFrame:
         for c in MANIFEST.names])
 
 
+def with_file_facts(manifest: DataFrame, facts: DataFrame) -> DataFrame:
+    """What was found out about files and their tables, on their manifest records: facts
+    has blob_name and any of the manifest's other columns. A null fact changes nothing."""
+    found = facts.select("blob_name", *[F.col(c).alias(f"_{c}") for c in facts.columns if c != "blob_name"])
+    return manifest.join(found, "blob_name", "left").select(*[
+        F.coalesce(f"_{c}", c).alias(c) if c != "blob_name" and c in facts.columns else F.col(c)
+        for c in MANIFEST.names])
+
+
 def not_yet_processed(files: DataFrame, processed: DataFrame) -> DataFrame:
     """Files the ledger of processed paths does not hold."""
     return files.join(processed.select("path"), "path", "left_anti")

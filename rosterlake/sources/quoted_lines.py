@@ -83,6 +83,22 @@ def read_records(spark: SparkSession, paths: str | list[str], dialect: Dialect =
         "_file", "record_no", F.array_join("_l.line", "\n").alias("record"))
 
 
+def read_profiled(spark: SparkSession, files: Sequence[tuple[str, bool]], columns: Sequence[str],
+                  dialect: Dialect = Dialect(), header: bool = True) -> DataFrame:
+    """All-string rows of (file, holds quoted line ends) pairs, with file and row status."""
+    plain = sorted(f for f, quoted in files if not quoted)
+    quoted = sorted(f for f, quoted in files if quoted)
+    parts = []
+    if plain:
+        parts.append(read_delimited(spark, plain, columns, dialect, header))
+    if quoted:
+        records = read_records(spark, quoted, dialect)
+        if header:
+            records = records.where(F.col("record_no") > 0)
+        parts.append(parse_records(records.where(F.col("record") != ""), "record", columns, dialect).drop("record_no"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def read_files(spark: SparkSession, paths: str | list[str], columns: Sequence[str],
                dialect: Dialect = Dialect(), header: bool = True) -> DataFrame:
     """All-string rows with their file and a row status, whatever line ends the files hold.
@@ -91,14 +107,6 @@ def read_files(spark: SparkSession, paths: str | list[str], columns: Sequence[st
     All others are read by Spark's own splittable reader.
     """
     profiles = file_profiles(read_lines(spark, paths), dialect).select("_file", "quoted_line_ends").collect()
-    plain = sorted(r["_file"] for r in profiles if not r["quoted_line_ends"])
-    quoted = sorted(r["_file"] for r in profiles if r["quoted_line_ends"])
-    parts = []
-    if plain or not quoted:
-        parts.append(read_delimited(spark, plain or paths, columns, dialect, header))
-    if quoted:
-        records = read_records(spark, quoted, dialect)
-        if header:
-            records = records.where(F.col("record_no") > 0)
-        parts.append(parse_records(records.where(F.col("record") != ""), "record", columns, dialect).drop("record_no"))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if not profiles:
+        return read_delimited(spark, paths, columns, dialect, header)
+    return read_profiled(spark, [(r["_file"], r["quoted_line_ends"]) for r in profiles], columns, dialect, header)
