@@ -12,6 +12,12 @@ from rosterlake.functions.clean import strip
 # Length of "_yyyymmdd.zip", and of the prefix in front of a feed's name.
 DATED_ZIP_SUFFIX = 13
 FEED_PREFIX = 5
+# Marks that part words, where a word begins inside a run of letters, and
+# what no column name may hold.
+PARTING_MARKS = "/ -"
+WORD_AFTER_ANY = "(.)([A-Z][a-z]+)"
+CAPITAL_AFTER_SMALL = "([a-z0-9])([A-Z])"
+NOT_IN_NAMES = r"(?U)(^[^a-zA-Z])|(\W)"
 
 
 def _col(c: Column | str) -> Column:
@@ -62,8 +68,8 @@ def affixed(name: Column | str, prefix: str = "", suffix: str = "") -> Column:
 
 def column_name(header: Column | str) -> Column:
     """Header text -> snake-case column name."""
-    flat = F.translate(strip(header), "/ -", "___")
-    words = F.regexp_replace(flat, "(.)([A-Z][a-z]+)", "$1_$2")
-    words = F.regexp_replace(words, "([a-z0-9])([A-Z])", "$1_$2")
+    words = F.translate(strip(header), PARTING_MARKS, "_" * len(PARTING_MARKS))
+    for begin in (WORD_AFTER_ANY, CAPITAL_AFTER_SMALL):
+        words = F.regexp_replace(words, begin, "$1_$2")
     single = F.replace(F.lower(words), F.lit("__"), F.lit("_"))
-    return F.regexp_replace(single, r"(?U)(^[^a-zA-Z])|(\W)", "_")
+    return F.regexp_replace(single, NOT_IN_NAMES, "_")

@@ -14,6 +14,8 @@ from rosterlake.session import shuffle_partitions
 # whatever the data holds.
 MAX_HOT_KEYS = 1000
 TRACKED_KEYS = 10_000
+# Pieces per average partition: several small ones fall more evenly than one large.
+FINENESS = 4
 
 
 def _listed(columns: list[str]) -> str:
@@ -37,8 +39,8 @@ def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     )
     return (
         sketch.selectExpr("inline(top)", "n")
-        .selectExpr("item as _hot", f"ceil(count * {parts}D / n) as _pieces")
-        .where("_pieces > 1")
+        .where(f"count * {parts}D / n > 1")
+        .selectExpr("item as _hot", f"ceil(count * {FINENESS * parts}D / n) as _pieces")
     )
 
 

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A task that lands files holds few of them: several open writers spare the sort by partition.
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
 }
 
 
