@@ -16,7 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +31,8 @@ from rosterlake.schema import columns
 from rosterlake.sinks import tables
 from rosterlake.sinks.ledger import processed_entries
 from rosterlake.sources import archive as zips
-from rosterlake.sources.delimited import Dialect, accepted_rows, parse_records, require_few_bad_rows
+from rosterlake.sources.delimited import (MAX_BAD_ROWS, SHORT, STATUS, Dialect, accepted_rows, parse_records,
+                                          require_few_bad_rows)
 from rosterlake.sources.dictionary import dictionary_from_headers
 from rosterlake.sources.manifest import list_files, not_yet_processed
 
@@ -65,25 +66,28 @@ def typed_schema(entity: Entity) -> T.StructType:
     return T.StructType([*entity.schema(), T.StructField(RUN, T.StringType())])
 
 
-def typed_table(spark: SparkSession, house: Warehouse, entity: Entity) -> DataFrame:
-    return read_or_empty(spark, house.path("typed", entity.name), typed_schema(entity))
+def typed_table(spark: SparkSession, house: Warehouse, entity: Entity, runs: list[str]) -> DataFrame:
+    """The rows of the given runs. What a run left that never finished belongs to none, and
+    the archives it took are taken again by the next."""
+    return read_or_empty(spark, house.path("typed", entity.name), typed_schema(entity)).where(
+        F.col(RUN).isin(*runs)).drop(RUN)
 
 
 def typed_as_of(spark: SparkSession, house: Warehouse, entity: Entity, run_id: str) -> DataFrame:
     """The table as it stood after a run; run ids sort by time."""
-    return typed_table(spark, house, entity).where(F.col(RUN) <= run_id).drop(RUN)
+    return typed_table(spark, house, entity, runs_until(spark, house, run_id))
 
 
 # ---------------------------------------------------------------- landing
 
-def land_archives(spark: SparkSession, drop_root: str, house: Warehouse, run_id: str,
+def land_archives(spark: SparkSession, drop_root: str, house: Warehouse, runs: list[str], run_id: str,
                   dialect: Dialect = Dialect()) -> DataFrame:
-    """Records of the archives no earlier run took, written once; (path) of those archives.
+    """Records of the archives no finished run took, written once; (path) of those archives.
 
     Paths alone are set against the ledger; only then are the files opened.
     """
     ledger = read_or_empty(spark, house.path("ledger", "files"), columns("path string, run_date string"))
-    fresh = not_yet_processed(list_files(spark, drop_root, "*.zip"), ledger.where(F.col("run_date") != run_id))
+    fresh = not_yet_processed(list_files(spark, drop_root, "*.zip"), ledger.where(F.col("run_date").isin(*runs)))
     paths = [r["path"] for r in fresh.select("path").collect()]
     taken = spark.createDataFrame([(p,) for p in paths], "path string")
     if paths:
@@ -123,9 +127,9 @@ def text_rows(records: DataFrame, entity: Entity, dialect: Dialect) -> DataFrame
         if len(names) > 1:
             body = body.join(files, ["archive", "member"], "left_semi")
         parts.append(parse_records(body, "record", found, dialect)
-                     .select("feed", "archive", "member", "_row_status", *entity.columns))
+                     .select("feed", "archive", "member", STATUS, *entity.columns))
     if not parts:
-        empty = ", ".join(f"{c} string" for c in ("feed", "archive", "member", "_row_status", *entity.columns))
+        empty = ", ".join(f"{c} string" for c in ("feed", "archive", "member", STATUS, *entity.columns))
         return records.sparkSession.createDataFrame([], empty)
     out = parts[0]
     for part in parts[1:]:
@@ -138,32 +142,39 @@ def load_text(spark: SparkSession, house: Warehouse, run_id: str, version: str,
     """The entity's text table of this run: a feed that did not come has no rows in it."""
     rows = text_rows(landing(spark, house, run_id), entity, dialect)
     rows = rows.where(F.col("feed").isin(*entity.feeds))
-    require_few_bad_rows(rows.withColumn("_file", F.concat_ws("#", "archive", "member")))
-    tables.overwrite(accepted_rows(rows).select("feed", *entity.columns), house.path("text", entity.name, version))
+    # Counted while the rows are written. Only more bad rows in all files together than
+    # one file may have call for the scan that counts them by file.
+    seen = Observation()
+    counted = rows.observe(seen, F.count_if(F.col(STATUS) == SHORT).alias("bad"))
+    tables.overwrite(accepted_rows(counted).select("feed", *entity.columns), house.path("text", entity.name, version))
+    if seen.get["bad"] > MAX_BAD_ROWS:
+        require_few_bad_rows(rows.withColumn("_file", F.concat_ws("#", "archive", "member")))
 
 
 # ---------------------------------------------------------------- typed, crosswalk, staged
 
-def load_typed(spark: SparkSession, house: Warehouse, run_id: str, version: str, entity: Entity) -> None:
-    """Adds this run's partition, or replaces it when the run is repeated."""
+def load_typed(spark: SparkSession, house: Warehouse, runs: list[str], run_id: str, version: str,
+               entity: Entity) -> None:
+    """Adds this run's partition, or replaces it when the run is repeated. ``runs`` are the
+    finished ones without this."""
     text = spark.read.schema(columns(", ".join(f"{c} string" for c in ("feed", *entity.columns)))).parquet(
         house.path("text", entity.name, version))
-    before = typed_table(spark, house, entity).where(F.col(RUN) != run_id).drop(RUN)
+    before = typed_table(spark, house, entity, runs)
     rows = with_audit(build_rows(entity, [text.drop("feed")], before)).withColumn(RUN, F.lit(run_id))
     tables.replace_partitions(rows, house.path("typed", entity.name), RUN)
 
 
-def load_crosswalk(spark: SparkSession, house: Warehouse, lookups: dict[str, DataFrame]) -> None:
+def load_crosswalk(spark: SparkSession, house: Warehouse, runs: list[str], lookups: dict[str, DataFrame]) -> None:
     """From the whole history of subscribers. The key lookup is kept beside the crosswalk,
     for fifteen tables are enriched from it."""
-    subscribers = typed_table(spark, house, ENTITIES["subscribers"])
+    subscribers = typed_table(spark, house, ENTITIES["subscribers"], runs)
     tables.overwrite(identity_crosswalk(subscribers, **lookups), house.path("identity", "crosswalk"))
     crosswalk = spark.read.parquet(house.path("identity", "crosswalk"))
     tables.overwrite(identities_by_key(crosswalk), house.path("identity", "by_key"))
 
 
-def load_staged(spark: SparkSession, house: Warehouse, version: str, entity: Entity) -> None:
-    rows = typed_table(spark, house, entity).drop(RUN)
+def load_staged(spark: SparkSession, house: Warehouse, runs: list[str], version: str, entity: Entity) -> None:
+    rows = typed_table(spark, house, entity, runs)
     if entity.enriched:
         identities = spark.read.parquet(house.path("identity", "by_key"))
         rows = enrich(rows, identities, hot_keys(rows, ["subscriber_key"]))
@@ -180,6 +191,12 @@ def finished_runs(spark: SparkSession, house: Warehouse) -> DataFrame:
     return read_or_empty(spark, house.path("ledger", "runs"), columns("dt date, version string, pipeline string"))
 
 
+def runs_until(spark: SparkSession, house: Warehouse, run_id: str) -> list[str]:
+    """Ids of the finished runs up to one; a handful per day."""
+    rows = finished_runs(spark, house).where(F.col("pipeline") <= run_id).select("pipeline").distinct().collect()
+    return sorted(r["pipeline"] for r in rows)
+
+
 def previous_run(spark: SparkSession, house: Warehouse, run_id: str) -> tuple[str, str] | None:
     """(run_id, version) of the last finished run before this one; run ids sort by time."""
     last = finished_runs(spark, house).where(F.col("pipeline") < run_id).agg(
@@ -195,12 +212,13 @@ def snapshot_layers(spark: SparkSession, house: Warehouse, run_id: str, run_date
         return
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {house.archive}")
     day = spark.range(1).select(F.date_format(tables.snapshot_day(F.lit(run_date).cast("date")), "yyyyMMdd")).head()[0]
+    finished = ", ".join(f"'{r}'" for r in runs_until(spark, house, last[0]))
     for e in ENTITIES.values():
         tables.point_at(spark, f"{house.archive}.text_{e.name}_{day}", house.path("text", e.name, last[1]))
         tables.point_at(spark, f"{house.archive}.final_{e.name}_{day}", house.path("staged", e.name, last[1]))
         listed = ", ".join(e.schema().names)
         spark.sql(f"CREATE OR REPLACE VIEW {house.archive}.typed_{e.name}_{day} AS SELECT {listed} "
-                  f"FROM parquet.`{house.path('typed', e.name)}` WHERE cast({RUN} as string) <= '{last[0]}'")
+                  f"FROM parquet.`{house.path('typed', e.name)}` WHERE cast({RUN} as string) IN ({finished})")
 
 
 def for_each(step: Callable[[Entity], None], at_once: int) -> None:
@@ -218,13 +236,14 @@ def run_day(spark: SparkSession, drop_root: str, house: Warehouse, lookups: dict
     version = f"{run_id}-{uuid.uuid4().hex[:8]}"
     if snapshots:
         snapshot_layers(spark, house, run_id, run_date)
-    taken = land_archives(spark, drop_root, house, run_id, dialect)
+    before = [r for r in runs_until(spark, house, run_id) if r != run_id]
+    taken = land_archives(spark, drop_root, house, before, run_id, dialect)
     for_each(lambda e: load_text(spark, house, run_id, version, e, dialect), at_once)
-    for_each(lambda e: load_typed(spark, house, run_id, version, e), at_once)
-    load_crosswalk(spark, house, lookups)
-    for_each(lambda e: load_staged(spark, house, version, e), at_once)
+    for_each(lambda e: load_typed(spark, house, before, run_id, version, e), at_once)
+    load_crosswalk(spark, house, [*before, run_id], lookups)
+    for_each(lambda e: load_staged(spark, house, [*before, run_id], version, e), at_once)
     for_each(lambda e: publish_staged(spark, house, version, e), at_once)
-    # Last, so that a run that died takes its archives again.
+    # The run's own entry comes last: until it is there, nothing above counts.
     tables.replace_partitions(processed_entries(taken, F.lit(run_id)), house.path("ledger", "files"), "run_date")
     run = spark.createDataFrame([(run_date, run_id, version)], "dt string, pipeline string, version string")
     tables.replace_partitions(run.withColumn("dt", F.col("dt").cast("date")), house.path("ledger", "runs"), "pipeline")

@@ -2,8 +2,13 @@
 
 import zipfile
 
+import pytest
+
+from pyspark.sql import functions as F
+
 from rosterlake.plans import daily_load as P
 from rosterlake.plans.catalog import ALL_FEEDS, ENTITIES
+from rosterlake.sinks import tables
 
 T1 = "01/02/2021 03:04:05 PM"
 
@@ -76,6 +81,19 @@ def test_two_days(spark, tmp_path, rows):
     for layer, n in (("final", 2), ("typed", 2), ("text", 4)):
         assert spark.table(f"daily_test_archive.{layer}_clicks_20210103").count() == n, layer
 
+    # More bad rows in one file than a load puts up with stop it before anything is published.
+    def day_bad(entity, feed):
+        yield from ["1|short"] * (101 if entity.name == "opens" and feed == "level2" else 0)
+
+    drop(tmp_path / "bad", "20210104", day_bad)
+    with pytest.raises(ValueError, match="101 bad rows"):
+        P.run_day(spark, str(tmp_path / "bad"), house, lookups, "20210104x", "2021-01-04", snapshots=False)
+    assert spark.table("daily_test.clicks").count() == 3
+
+    # What a run typed before it died counts for nobody; the next run takes the archives.
+    died = spark.read.parquet(house.path("typed", "clicks") + "/load_run=20210104").withColumn("load_run", F.lit("20210104z"))
+    tables.replace_partitions(died, house.path("typed", "clicks"), "load_run")
+
     # Nothing new has come: no event is added.
     P.run_day(spark, str(tmp_path / "in"), house, lookups, "20210105", "2021-01-05", snapshots=False)
     assert spark.table("daily_test.clicks").count() == 3
