@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.feeds import HISTORY, history, history_sql, raw_feeds, raw_sql
+from checks.feeds import history, history_sql, raw_feeds, raw_sql
 from checks.registry import check
 from rosterlake.plans.catalog import APPEND, ENTITIES, NEW_ONLY, Entity
 from rosterlake.plans.typed_load import build_rows

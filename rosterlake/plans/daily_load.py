@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterlake.functions.clean import blank_to_null
 from rosterlake.operators.enrich import enrich
 from rosterlake.operators.identity import identities_by_key, identity_crosswalk
 from rosterlake.operators.incremental import with_audit

@@ -1,7 +1,6 @@
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from rosterlake.functions import clean as C
 from rosterlake.functions import names as N
