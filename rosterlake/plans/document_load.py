@@ -13,10 +13,10 @@ TABLES = {"critics": J.CRITICS, "reviews": J.REVIEWS}
 
 
 def load_path(spark: SparkSession, landing_root: str, path: str, ds: str, table: str, location: str,
-              schema: T.StructType | None = None, multi_line: bool = True) -> None:
+              schema: T.StructType | None = None) -> None:
     """Appends the day's rows; a missing document or a text too long stops the load."""
     listed = TABLES[path]
     create_if_missing(spark, table, J.AUDIT + listed, location)
-    documents = read_documents(spark, f"{landing_root.rstrip('/')}/path={path}/ds={ds}", schema, multi_line)
+    documents = read_documents(spark, f"{landing_root.rstrip('/')}/path={path}/ds={ds}", schema, multi_line=False)
     rows = objects_to_text(result_rows(documents))
     insert_by_name(J.with_identity(J.typed_documents(rows, listed)), table)

@@ -35,8 +35,13 @@ def spark_schema(listed: str) -> T.StructType:
 
 
 def land_documents(documents: DataFrame, root: str) -> None:
-    """(path, ds, value): one partition per path and day, replaced when landed again."""
-    (documents.select("value", "path", "ds").write.mode("overwrite")
+    """(path, ds, value): one partition per path and day, replaced when landed again.
+
+    A document becomes one line, so that files can be split and several documents in one
+    file are all read. Line ends in JSON are mere spacing; in texts they are escaped.
+    """
+    one_line = F.regexp_replace("value", "[\\r\\n]+", " ").alias("value")
+    (documents.select(one_line, "path", "ds").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("path", "ds").text(root))
 
 

@@ -82,7 +82,6 @@ def test_document_load(spark, tmp_path):
     docs = spark.createDataFrame([("reviews", "20240101", document({"display_title": "One", "critics_pick": 1, "publication_date": "2024-01-01",
                                                                     "multimedia": {"src": "x"}}, {"display_title": "Two"}))], "path string, ds string, value string")
     J.land_documents(docs, landing)
-    # Text lands line by line, so a document spread over lines is read whole again.
     load_path(spark, landing, "reviews", "20240101", "reviews_test", location)
     load_path(spark, landing, "reviews", "20240101", "reviews_test", location)
     table = spark.table("reviews_test")
@@ -99,6 +98,13 @@ def test_document_load(spark, tmp_path):
         load_path(spark, landing, "reviews", "20240102", "reviews_test", location)
 
 
+def test_documents_of_one_file_are_all_read(spark, tmp_path):
+    docs = [("critics", "20240101", document({"bio": f"line one\nline two {i}"})) for i in range(5)]
+    J.land_documents(spark.createDataFrame(docs, "path string, ds string, value string").coalesce(1), str(tmp_path))
+    rows = D.result_rows(D.read_documents(spark, str(tmp_path), multi_line=False))
+    assert sorted(r["bio"] for r in rows.collect()) == [f"line one\nline two {i}" for i in range(5)]
+
+
 def test_long_texts_are_told(spark):
     df = spark.createDataFrame([("x" * 50,), ("x" * 51,), (None,)], "sort_name string")
     df = J.typed_documents(df, J.CRITICS)
