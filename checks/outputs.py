@@ -100,13 +100,16 @@ def _(spark, sf_dir):
 @check("publish_final", "select 'part' as source, count(*) as n, sum(p_partkey)::bigint as keys from part where p_size > 10 "
        "union all select 'supplier', count(*), sum(s_suppkey)::bigint from supplier")
 def _(spark, sf_dir):
-    root, out = scratch_dir(spark, "final"), []
-    for name, key, where in (("part", "p_partkey", "p_size > 10"), ("supplier", "s_suppkey", "true")):
-        rows, target = table(spark, sf_dir, name), _fresh_name(name)
-        S.publish(rows.limit(0), target, root, "1")
-        S.publish(rows.where(where), target, root, "2")
-        published = spark.table(target)
-        out.append(published.agg(F.lit(name).alias("source"), F.count(F.lit(1)).alias("n"), F.sum(key).alias("keys")))
+    root, stage, final = scratch_dir(spark, "final"), _fresh_name("stage"), _fresh_name("final")
+    spark.sql(f"CREATE DATABASE {stage}")
+    keys = {"part": "p_partkey", "supplier": "s_suppkey"}
+    for name, where in (("part", "p_size > 10"), ("supplier", "true")):
+        S.publish(table(spark, sf_dir, name).where(where), f"{stage}.{name}", f"{root}/stage", "1")
+    # Published twice: the second version takes the place of the first.
+    for version in ("1", "2"):
+        S.copy_database(spark, stage, final, f"{root}/final", version)
+    out = [spark.table(f"{final}.{n}").agg(F.lit(n).alias("source"), F.count(F.lit(1)).alias("n"), F.sum(k).alias("keys"))
+           for n, k in keys.items()]
     return out[0].unionByName(out[1])
 
 

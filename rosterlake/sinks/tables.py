@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,6 +71,23 @@ def publish(rows: DataFrame, table: str, root: str, version: str) -> None:
     point_at(rows.sparkSession, table, location)
 
 
+def copy_database(spark: SparkSession, source: str, target: str, root: str, version: str,
+                  suffix: str = "") -> list[str]:
+    """Publishes every table of one database in another under its name plus a suffix.
+    Views are left out; the names copied are returned."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {target}")
+    names = sorted(t.name for t in spark.catalog.listTables(source) if t.tableType != "VIEW" and not t.isTemporary)
+    for name in names:
+        publish(spark.table(f"{source}.{name}"), f"{target}.{name}{suffix}", root, version)
+    return names
+
+
+def archive_database(spark: SparkSession, source: str, target: str, root: str, run_date: date) -> list[str]:
+    """Every table of a database as ``<name>_<day before>``, replaced when taken again."""
+    day = (run_date - timedelta(days=1)).strftime("%Y%m%d")
+    return copy_database(spark, source, target, root, uuid.uuid4().hex, f"_{day}")
+
+
 def _columns(schema: T.StructType) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in schema]
 

@@ -1,4 +1,5 @@
 import json
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +46,20 @@ def test_snapshots(spark, tmp_path, rows):
     assert spark.range(1).select(S.snapshot_name(F.lit("t"), F.lit("2024-03-01").cast("date"))).head()[0] == "t_20240229"
 
 
+def test_whole_databases(spark, tmp_path):
+    for db in ("sinks_stage", "sinks_final", "sinks_archive"):
+        spark.sql(f"create database if not exists {db}")
+    for name, n in (("one", 3), ("two", 5)):
+        S.publish(spark.range(n), f"sinks_stage.{name}", str(tmp_path / "stage"), "1")
+    assert S.copy_database(spark, "sinks_stage", "sinks_final", str(tmp_path / "final"), "1") == ["one", "two"]
+    assert spark.table("sinks_final.two").count() == 5
+    for n in (4, 6):
+        S.publish(spark.range(n), "sinks_final.one", str(tmp_path / "final"), str(n))
+        S.archive_database(spark, "sinks_final", "sinks_archive", str(tmp_path / "archive"), date(2024, 3, 1))
+    assert {t.name for t in spark.catalog.listTables("sinks_archive")} == {"one_20240229", "two_20240229"}
+    assert spark.table("sinks_archive.one_20240229").count() == 6
+
+
 def test_modes(spark, tmp_path):
     path = str(tmp_path / "m")
     S.load(spark.range(2), path, "append")
