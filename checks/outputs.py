@@ -101,7 +101,7 @@ def _(spark, sf_dir):
        "union all select 'supplier', count(*), sum(s_suppkey)::bigint from supplier")
 def _(spark, sf_dir):
     root, stage, final = scratch_dir(spark, "final"), _fresh_name("stage"), _fresh_name("final")
-    spark.sql(f"CREATE DATABASE {stage}")
+    spark.sql(f"CREATE DATABASE {stage} LOCATION '{root}/stage'")
     keys = {"part": "p_partkey", "supplier": "s_suppkey"}
     for name, where in (("part", "p_size > 10"), ("supplier", "true")):
         S.publish(table(spark, sf_dir, name).where(where), f"{stage}.{name}", f"{root}/stage", "1")

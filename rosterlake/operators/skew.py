@@ -14,6 +14,7 @@ from rosterlake.session import shuffle_partitions
 # whatever the data holds.
 MAX_HOT_KEYS = 1000
 TRACKED_KEYS = 10_000
+SKETCH_GROUPS = 256
 # Pieces per average partition: several small ones fall more evenly than one large.
 FINENESS = 4
 
@@ -29,16 +30,21 @@ def _present(keys: list[str]) -> str:
 def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that alone exceed an average shuffle partition, with the pieces to cut them into.
 
-    One scan of the key columns and one single-row sketch; nothing is shuffled by key.
-    The sketch may misjudge a share, which changes balance only, never a result.
+    One scan of the key columns and one sketch per task; nothing is shuffled by key. The
+    sketches of very many tasks are merged in two steps, so that no task gets them all.
+    A sketch may misjudge a share, which changes balance only, never a result.
     """
     parts = shuffle_partitions(df.sparkSession)
-    sketch = (
-        df.where(_present(keys)).selectExpr(f"xxhash64({_listed(keys)}) as h")
-        .selectExpr(f"approx_top_k(h, {MAX_HOT_KEYS}, {TRACKED_KEYS}) as top", "count(*) as n")
+    sketches = (
+        df.where(_present(keys))
+        .selectExpr(f"xxhash64({_listed(keys)}) as h", f"pmod(spark_partition_id(), {SKETCH_GROUPS}) as g")
+        .groupBy("g").agg(F.expr(f"approx_top_k_accumulate(h, {TRACKED_KEYS}) as s"), F.expr("count(*) as n"))
+        # Grouped, so that without any key there is no group: combining nothing fails.
+        .groupBy((F.col("g") * 0).alias("all"))
+        .agg(F.expr(f"approx_top_k_combine(s, {TRACKED_KEYS}) as s"), F.expr("sum(n) as n"))
     )
     return (
-        sketch.selectExpr("inline(top)", "n")
+        sketches.selectExpr(f"inline(approx_top_k_estimate(s, {MAX_HOT_KEYS}))", "n")
         .where(f"count * {parts}D / n > 1")
         .selectExpr("item as _hot", f"ceil(count * {FINENESS * parts}D / n) as _pieces")
     )

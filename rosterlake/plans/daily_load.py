@@ -209,7 +209,7 @@ def snapshot_layers(spark: SparkSession, house: Warehouse, run_id: str, run_date
     last = previous_run(spark, house, run_id)
     if last is None:
         return
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {house.archive}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {house.archive} LOCATION '{house.path('archive', '')}'")
     day = spark.range(1).select(F.date_format(tables.snapshot_day(F.lit(run_date).cast("date")), "yyyyMMdd")).head()[0]
     finished = ", ".join(f"'{r}'" for r in runs_until(spark, house, last[0]))
     for e in ENTITIES.values():

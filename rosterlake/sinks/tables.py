@@ -75,7 +75,7 @@ def copy_database(spark: SparkSession, source: str, target: str, root: str, vers
                   suffix: str = "") -> list[str]:
     """Publishes every table of one database in another under its name plus a suffix.
     Views are left out; the names copied are returned."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {target}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {target} LOCATION '{root}'")
     names = sorted(t.name for t in spark.catalog.listTables(source) if t.tableType != "VIEW" and not t.isTemporary)
     for name in names:
         publish(spark.table(f"{source}.{name}"), f"{target}.{name}{suffix}", root, version)
