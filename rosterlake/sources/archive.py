@@ -5,17 +5,22 @@ from __future__ import annotations
 import io
 import itertools
 import struct
+import sys
 import zipfile
 import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.functions.names import feed_folder, feed_of, file_stem
 from rosterlake.session import shuffle_partitions
 
+# Workers need not have this package: what they run travels with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PACKED = "archive string, member string, method int, crc bigint, packed binary"
 RECORDS = "archive string, member string, record_no bigint, record string"
 BATCH_ROWS = 10_000
