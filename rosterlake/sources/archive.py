@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.functions.names import feed_folder, feed_of, file_stem
-from rosterlake.session import shuffle_partitions
 
 # Workers need not have this package: what they run travels with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -135,8 +134,8 @@ def expand_archives(archives: DataFrame, extension: str = "csv", sep: str = "|",
                 while rows := [(m.archive, m.member, n, r) for n, r in itertools.islice(numbered, BATCH_ROWS)]:
                     yield pd.DataFrame(rows, columns=["archive", "member", "record_no", "record"])
 
-    # A fixed number: sized by bytes, a few compressed members would end up in one task.
-    tasks = shuffle_partitions(archives.sparkSession)
+    # One task per core: sized by bytes, a few compressed members would end up in one task.
+    tasks = archives.sparkSession.sparkContext.defaultParallelism
     members = archives.select("path", "content").mapInPandas(split, PACKED)
     return members.repartition(tasks, "archive", "member").mapInPandas(unpack, RECORDS)
 
