@@ -9,7 +9,7 @@ from rosterlake.sources import dictionary as D
 
 FILE = "concat('Part_', cast(p_partkey as string), '.csv')"
 TABLE = "concat('part_', cast(p_partkey as string))"
-FIRST, SECOND, THIRD = "concat('ID ', p_brand)", "concat(p_name, '|Name')", "concat('uhg', p_type, 'Size')"
+FIRST, SECOND, THIRD = "concat('ID ', p_brand)", "concat(p_name, '|Name')", "concat('sys', p_type, 'Size')"
 # The second field holds the separator and is quoted.
 HEADER = f"concat({FIRST}, '|\"', {SECOND}, '\"|', {THIRD})"
 
@@ -58,9 +58,9 @@ def _(spark, sf_dir):
 
 @check("schema_existing", f"""
 select tgt_col_ord as ordinal_position, table_name, tgt_col_name as column_name from ({HEADERS})
-where tgt_col_name not like 'uhg%'""")
+where tgt_col_name not like 'sys%'""")
 def _(spark, sf_dir):
-    return D.unmanaged_columns(D.as_columns(dictionary(spark, sf_dir)), "uhg")
+    return D.unmanaged_columns(D.as_columns(dictionary(spark, sf_dir)), "sys")
 
 
 # The table as it stands: large parts lost their third column, small ones have another first.
