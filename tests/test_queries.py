@@ -1,4 +1,4 @@
-"""Every registered query on the smallest tables, against its SQL in DuckDB."""
+"""Every query of the checks on the smallest tables, against its SQL in DuckDB."""
 
 import os
 from datetime import date, datetime
@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry_points
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = entry_points.QUERIES, entry_points.SQL
 
 
 @pytest.fixture(scope="module")
