@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rosterlake.llm.packing import pack
+from rosterlake.llm.simhash import simhash_components
 from rosterlake.llm.tables import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -17,8 +18,13 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op8_simhash": op8_simhash,
 }
 
 SQL: dict[str, str] = {}

@@ -28,17 +28,20 @@ class _Cache:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def get(self, word: str) -> bytes | None:
-        found = self.young.get(word)
-        if found is None and (found := self.old.get(word)) is not None:
-            self.put(word, found)
-        return found
-
-    def put(self, word: str, ids: bytes) -> None:
-        if len(word) <= LONGEST_KEPT:
-            if len(self.young) >= KEPT_WORDS:
-                self.old, self.young = self.young, {}
-            self.young[word] = ids
+    def missing(self, words: set[str]) -> list[str]:
+        """Words that neither generation has; those of the old one move to the young."""
+        unknown = []
+        for word in words - self.young.keys():
+            if (ids := self.old.get(word)) is None:
+                unknown.append(word)
+            else:
+                self.young[word] = ids
+        return unknown
+
+    def turn(self) -> None:
+        """Between batches only, so that what a batch has looked up stays for it."""
+        if len(self.young) >= KEPT_WORDS:
+            self.old, self.young = self.young, {}
 
 
 class WordTokenizer:
@@ -58,48 +61,30 @@ class WordTokenizer:
         self._words, self._parts = _Cache(), _Cache()
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        split: list[list[str] | None] = []
-        unknown: dict[str, None] = {}
-        for text in texts:
-            if _SPECIAL in text or _UNUSUAL.search(text):
-                split.append(None)
-                continue
-            words = text.lower().split()
-            split.append(words)
-            young, old = self._words.young, self._words.old
-            unknown.update(dict.fromkeys(w for w in words if w not in young and w not in old))
-        new = self._encode_words(list(unknown))
+        split = [None if _SPECIAL in t or _UNUSUAL.search(t) else t.lower().split() for t in texts]
+        words = set().union(*[w for w in split if w is not None])
+        long = self._encode_words(self._words.missing(words))
         whole = iter(self._tokenizer.encode_batch_fast([t for t, w in zip(texts, split) if w is None],
                                                        add_special_tokens=False))
-        result = []
+        young, result = self._words.young, []
         for words in split:
             if words is None:
                 result.append(np.array(next(whole).ids, self._dtype))
                 continue
-            young, old = self._words.young, self._words.old
             try:
                 ids = b"".join([young[w] for w in words])
             except KeyError:
-                get = self._words.get
-                ids = b"".join([new[w] if w in new else get(w) for w in words])
+                ids = b"".join([young[w] if w in young else long[w] for w in words])
             result.append(np.frombuffer(ids, self._dtype))
-        for word, ids in new.items():
-            self._words.put(word, ids)
+        self._words.turn()
+        self._parts.turn()
         return result
 
     def _encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Puts the words into the cache; those too long for it are returned."""
         parts_of = {w: self._pieces(w) for w in words}
-        known: dict[str, bytes] = {}
-        missing: dict[str, None] = {}
-        for parts in parts_of.values():
-            for part in parts:
-                if part not in known and part not in missing:
-                    if (ids := self._parts.get(part)) is None:
-                        missing[part] = None
-                    else:
-                        known[part] = ids
-        if missing:
-            fresh = list(missing)
+        known = self._parts.young
+        if fresh := self._parts.missing(set().union(*parts_of.values())):
             # Each piece is encoded alone, and its last token alone has a word end.
             ids = np.array(self._tokenizer.encode_batch_fast([" ".join(fresh)], add_special_tokens=False)[0].ids, self._dtype)
             ends = (np.flatnonzero(self._ends[ids]) + 1).tolist()
@@ -108,9 +93,14 @@ class WordTokenizer:
             size, data, start = self._dtype.itemsize, ids.tobytes(), 0
             for part, end in zip(fresh, ends):
                 known[part] = data[start * size:end * size]
-                self._parts.put(part, known[part])
                 start = end
-        return {w: known[p[0]] if len(p) == 1 else b"".join([known[x] for x in p]) for w, p in parts_of.items()}
+        long = {}
+        for word, parts in parts_of.items():
+            ids = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
+            (self._words.young if len(word) <= LONGEST_KEPT else long)[word] = ids
+        for part in [p for p in fresh if len(p) > LONGEST_KEPT]:
+            del known[part]
+        return long
 
 
 _BY_PATH: dict[str, WordTokenizer] = {}
