@@ -87,21 +87,23 @@ def _link(labelled: DataFrame, max_bits: int) -> DataFrame:
     differing bit, with this bit blanked (the segment's lowest, if none differs).
     """
     parts = max_bits // 2 + 1
-    starts = [64 * k // parts for k in range(parts + 1)]
-    segments = [(s, ((1 << (e - s)) - 1)) for s, e in zip(starts, starts[1:])]
-    first_bit = "case " + " ".join(f"when bit < {e} then {s}" for s, e in zip(starts, starts[1:])) + " end"
-    mask = "case " + " ".join(f"when bit < {e} then {m}L" for e, (_, m) in zip(starts[1:], segments)) + " end"
-    # The blanked segment and the bit in one number, or in two columns where they need more than 63 bits.
+    edges = [64 * k // parts for k in range(parts + 1)]
+    segments = list(zip(edges, edges[1:]))
+    first_bit = "case " + " ".join(f"when bit < {e} then {s}" for s, e in segments) + " end"
+    mask = "case " + " ".join(f"when bit < {e} then {_signed((1 << (e - s)) - 1)}L" for s, e in segments) + " end"
     index = (labelled.select("fp", "label", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bit"))
              .selectExpr("fp", "label", "bit", f"shiftrightunsigned(fp, {first_bit}) & {mask} & ~shiftleft(1L, bit - {first_bit}) as rest"))
     group = Window.partitionBy("bit", "rest")
     shared = written(index.withColumns({"lo": F.min("label").over(group), "hi": F.max("label").over(group)})
                      .where("lo < hi").drop("lo", "hi"), "shared")
-    taken = " ".join(f"when bit_count(x & {_signed(m << s)}L) <= 1 then a.bit = case when x & {_signed(m << s)}L = 0 then {s} "
-                     f"else {s} + bit_count((shiftrightunsigned(x, {s}) & {m}L) - 1) end" for s, m in segments)
+    x = "(a.fp ^ b.fp)"
+    taken = ""
+    for s, e in segments:
+        own = f"({x} & {_signed(((1 << (e - s)) - 1) << s)}L)"
+        taken += (f" when bit_count({own}) <= 1 then a.bit >= {s} and a.bit < {e} and "
+                  f"case when {own} = 0 then a.bit = {s} else {own} = shiftleft(1L, a.bit) end")
     pairs = shared.alias("a").join(shared.alias("b"), F.expr(
-        "a.bit = b.bit and a.rest = b.rest and a.label < b.label and bit_count(a.fp ^ b.fp) <= "
-        f"{max_bits} and case {taken} end".replace("x &", "(a.fp ^ b.fp) &").replace("(x,", "(a.fp ^ b.fp,")))
+        f"a.bit = b.bit and a.rest = b.rest and a.label < b.label and bit_count({x}) <= {max_bits} and case{taken} end"))
     return pairs.select(F.col("a.label").alias("src"), F.col("b.label").alias("dst")).distinct()
 
 

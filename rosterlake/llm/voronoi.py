@@ -2,17 +2,17 @@
 
 Pivots cut the vectors, queries among them, into cells. Each cell is summed up by its
 count and by the largest distance r of a member to its pivot p. A query q scores at most
-q.p + |q| r and at least q.p - |q| r in a cell; so cells whose counts add up to k + 1 give
-a score that the k-th best of a query surely reaches, and cells that cannot reach it are
-not visited. Queries first meet their own cell, which sharpens that score, and then go,
+q.p + |q| r and at least q.p - |q| r in a cell; so cells whose counts add up to k and the
+query's own rows give a score that the k-th best of a query surely reaches, and cells that
+cannot reach it are not visited. Queries first meet their own cell, which sharpens that score, and then go,
 grouped by cell, to the other cells that may still hold a better one. Cells are dealt out
 in blocks of bounded size, and what is left of each block is at most k rows per query.
 
 Defined results: vectors that are null or hold a null or a number that is not finite take
 no part; of vectors of different length the shorter is filled up with zeros; queries are
 ids divisible by ``every``; a null id takes no part; of rows that repeat an id, each is a
-candidate of its own, none is one for its own id, and the least vector is the query; equal scores
-go to the smaller id. Scores are exact as long as they fit 53 bits, and rounded to double
+candidate of its own, none is one for its own id, and the least vector is the query; equal
+scores go to the smaller id. Scores are exact as long as they fit 53 bits, and rounded to double
 precision beyond. No rows give none.
 """
 
@@ -122,9 +122,9 @@ def voronoi_top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_column: st
                 if own_cell:
                     go = own
                 else:
-                    # The k-th score so far, or what cells with k + 1 members (the query may be one) ensure.
+                    # The k-th score so far, or what cells with k members and the id's own rows ensure.
                     order = np.argsort(-least, axis=1)
-                    enough = (np.cumsum(counts[order], axis=1) >= k + 1)
+                    enough = np.cumsum(counts[order], axis=1) >= k + rows["copies"].to_numpy()[:, None]
                     ensured = np.where(enough.any(1), least[np.arange(len(q)), order[np.arange(len(q)), enough.argmax(1)]], -np.inf)
                     go = ~own & (most >= np.maximum(ensured, rows["reached"].fillna(-np.inf).to_numpy())[:, None])
                 r, c = np.nonzero(go)
@@ -135,7 +135,8 @@ def voronoi_top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_column: st
         to = rows.mapInPandas(visited(own_cell), "query_id long, q array<double>, cell int")
         return to.withColumn("block", F.explode(F.sequence(F.lit(0), block_count - 1)))
 
-    asked = queries.groupBy("id").agg(F.min(F.struct("v", "cell")).alias("of")).select("id", "of.v", "of.cell")
+    asked = queries.groupBy("id").agg(F.min(F.struct("v", "cell")).alias("of"), F.count("*").alias("copies")).select(
+        "id", "of.v", "of.cell", "copies")
     own = written(_top(_solve(data, visits(asked, True), k, dim), k), "own")
     reached = own.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("reached"))
     others = visits(asked.join(reached, "id", "left"), False)
