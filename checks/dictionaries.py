@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import check, table
+from rosterlake.session import scratch_dir
 from rosterlake.sources import dictionary as D
 
 FILE = "concat('Part_', cast(p_partkey as string), '.csv')"
@@ -53,7 +54,10 @@ def _(spark, sf_dir):
         f"{EXTERNAL[0].format(t=TABLE)} as table_name", f"{EXTERNAL[1].format(f=FILE)} as file_name",
         f"{FIRST} as column_name", "case when p_size > 10 then 'INT64' else 'STRING' end as data_type",
         "'NULLABLE' as nullable", "cast(p_size as bigint) as ordinal_position")
-    return D.dictionary_from_external(files, external)
+    # A file in another column order: its headings count.
+    root = scratch_dir(spark, "dictionary")
+    external.select(*sorted(external.columns)).write.option("header", True).csv(root)
+    return D.dictionary_from_external(files, D.read_external(spark, root))
 
 
 @check("schema_existing", f"""

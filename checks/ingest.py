@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from checks.feeds import base_of, raw_feeds, raw_sql
@@ -32,7 +33,7 @@ def _quoted(c: str):
 def zipped_turns(spark, sf_dir):
     """Conversation turns as zip archives of bounded size, as binaryFile would hand them over."""
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = 0
+        n, task = 0, TaskContext.get().partitionId()
         for batch in batches:
             for start in range(0, len(batch), TURNS_PER_ARCHIVE):
                 part = batch.iloc[start:start + TURNS_PER_ARCHIVE]
@@ -40,8 +41,9 @@ def zipped_turns(spark, sf_dir):
                 with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
                     z.writestr("readme.txt", "not taken")
                     z.writestr("Turns.csv", "\n".join(["conv_id|turn|role|text", *part["line"]]) + "\n")
+                path = f"in/{task}-{n // 10_000}/drop_level2_2024{n % 10_000:04d}.zip"
                 n += 1
-                yield pd.DataFrame({"path": [f"in/drop_level2_2024{n:04d}.zip"], "content": [buffer.getvalue()]})
+                yield pd.DataFrame({"path": [path], "content": [buffer.getvalue()]})
     lines = table(spark, sf_dir, "conversations").select(
         F.concat_ws("|", F.col("conv_id").cast("string"), F.col("turn").cast("string"), "role", _quoted("text")).alias("line"))
     return lines.mapInPandas(pack, "path string, content binary")
@@ -115,12 +117,12 @@ select o_orderkey, case when o_orderpriority = '2-HIGH' then o_orderstatus || '|
 from (select *, o_orderpriority = '5-LOW' and o_orderstatus = 'F' as short from orders)""")
 def _(spark, sf_dir):
     root = scratch_dir(spark, "lines")
-    # One file per feed is what the limit is about; here all files together are one.
     table(spark, sf_dir, "orders").selectExpr(f"{LINE} as value").write.text(root)
     columns = ["o_orderkey", "status", "priority"]
-    rows = D.read_delimited(spark, root, columns, header=False).withColumn("_file", F.lit("orders"))
-    over = D.files_over_limit(rows).select("_file", F.lit(True).alias("over"))
-    return rows.join(over, "_file", "left").select(
+    # The part files of one folder are one file to the limit.
+    rows = D.read_delimited(spark, root, columns, header=False).withColumn("_folder", F.regexp_extract("_file", "^(.*)/", 1))
+    over = D.files_over_limit(rows, by="_folder").select("_folder", F.lit(True).alias("over"))
+    return rows.join(over, "_folder", "left").select(
         F.col("o_orderkey").cast("bigint"), "status", "priority", F.col(D.STATUS).alias("row_status"),
         F.coalesce("over", F.lit(False)).alias("over_limit"))
 

@@ -30,8 +30,8 @@ from rosterlake.schema import columns
 from rosterlake.sinks import tables
 from rosterlake.sinks.ledger import processed_entries
 from rosterlake.sources import archive as zips
-from rosterlake.sources.delimited import (MAX_BAD_ROWS, SHORT, STATUS, Dialect, accepted_rows, parse_records,
-                                          require_few_bad_rows)
+from rosterlake.sources.delimited import (BAD, MAX_BAD_ROWS, SHORT, STATUS, Dialect, accepted_rows, parse_records,
+                                          rejected_rows, require_few_bad_rows)
 from rosterlake.sources.dictionary import dictionary_from_headers
 from rosterlake.sources.manifest import list_files, not_yet_processed
 
@@ -122,13 +122,13 @@ def text_rows(records: DataFrame, entity: Entity, dialect: Dialect) -> DataFrame
         if missing:
             raise ValueError(f"{entity.name}: a file lacks {missing}")
         files = mine.where((F.col("record_no") == 0) & (F.col("record") == header)).select("archive", "member")
-        body = mine.where(F.col("record_no") > 0)
+        body = mine.where((F.col("record_no") > 0) & (F.col("record") != ""))
         if len(names) > 1:
             body = body.join(files, ["archive", "member"], "left_semi")
         parts.append(parse_records(body, "record", found, dialect)
-                     .select("feed", "archive", "member", STATUS, *entity.columns))
+                     .select("feed", "archive", "member", BAD, STATUS, *entity.columns))
     if not parts:
-        empty = ", ".join(f"{c} string" for c in ("feed", "archive", "member", STATUS, *entity.columns))
+        empty = ", ".join(f"{c} string" for c in ("feed", "archive", "member", BAD, STATUS, *entity.columns))
         return records.sparkSession.createDataFrame([], empty)
     out = parts[0]
     for part in parts[1:]:
@@ -137,8 +137,9 @@ def text_rows(records: DataFrame, entity: Entity, dialect: Dialect) -> DataFrame
 
 
 def load_text(spark: SparkSession, house: Warehouse, run_id: str, version: str, entity: Entity,
-              dialect: Dialect = Dialect()) -> None:
-    """The entity's text table of this run: a feed that did not come has no rows in it."""
+              dialect: Dialect = Dialect(), max_bad_rows: int = MAX_BAD_ROWS) -> None:
+    """The entity's text table of this run: a feed that did not come has no rows in it. Bad
+    rows, if any, go to the layer of rejects with their file and the reason."""
     rows = text_rows(landing(spark, house, run_id), entity, dialect)
     rows = rows.where(F.col("feed").isin(*entity.feeds))
     # Counted while the rows are written. Only more bad rows in all files together than
@@ -146,8 +147,12 @@ def load_text(spark: SparkSession, house: Warehouse, run_id: str, version: str,
     seen = Observation()
     counted = rows.observe(seen, F.count_if(F.col(STATUS) == SHORT).alias("bad"))
     tables.overwrite(accepted_rows(counted).select("feed", *entity.columns), house.path("text", entity.name, version))
-    if seen.get["bad"] > MAX_BAD_ROWS:
-        require_few_bad_rows(rows.withColumn("_file", F.concat_ws("#", "archive", "member")))
+    if seen.get["bad"] > 0:
+        filed = rows.withColumn("_file", F.concat_ws("#", "archive", "member"))
+        tables.overwrite(rejected_rows(filed).select("_file", F.col(BAD).alias("record"), F.col(STATUS).alias("reason")),
+                         house.path("rejects", entity.name, version))
+        if seen.get["bad"] > max_bad_rows:
+            require_few_bad_rows(filed, limit=max_bad_rows)
 
 
 # ---------------------------------------------------------------- typed, crosswalk, staged
@@ -160,7 +165,7 @@ def load_typed(spark: SparkSession, house: Warehouse, runs: list[str], run_id: s
         house.path("text", entity.name, version))
     before = typed_table(spark, house, entity, runs)
     rows = with_audit(build_rows(entity, [text.drop("feed")], before)).withColumn(RUN, F.lit(run_id))
-    tables.replace_partitions(rows, house.path("typed", entity.name), RUN)
+    tables.replace_partition(rows, house.path("typed", entity.name), RUN, run_id)
 
 
 def load_crosswalk(spark: SparkSession, house: Warehouse, runs: list[str], lookups: dict[str, DataFrame]) -> None:
@@ -230,19 +235,19 @@ def for_each(step: Callable[[Entity], None], at_once: int) -> None:
 
 def run_day(spark: SparkSession, drop_root: str, house: Warehouse, lookups: dict[str, DataFrame],
             run_id: str, run_date: str, dialect: Dialect = Dialect(), snapshots: bool = True,
-            at_once: int = 4) -> None:
+            at_once: int = 4, max_bad_rows: int = MAX_BAD_ROWS) -> None:
     """``lookups``: contacts, accounts, enrollees and the four person tables."""
     version = f"{run_id}-{uuid.uuid4().hex[:8]}"
     if snapshots:
         snapshot_layers(spark, house, run_id, run_date)
     before = [r for r in runs_until(spark, house, run_id) if r != run_id]
     taken = land_archives(spark, drop_root, house, before, run_id, dialect)
-    for_each(lambda e: load_text(spark, house, run_id, version, e, dialect), at_once)
+    for_each(lambda e: load_text(spark, house, run_id, version, e, dialect, max_bad_rows), at_once)
     for_each(lambda e: load_typed(spark, house, before, run_id, version, e), at_once)
     load_crosswalk(spark, house, [*before, run_id], lookups)
     for_each(lambda e: load_staged(spark, house, [*before, run_id], version, e), at_once)
     for_each(lambda e: publish_staged(spark, house, version, e), at_once)
     # The run's own entry comes last: until it is there, nothing above counts.
-    tables.replace_partitions(processed_entries(taken, F.lit(run_id)), house.path("ledger", "files"), "run_date")
+    tables.replace_partition(processed_entries(taken, F.lit(run_id)), house.path("ledger", "files"), "run_date", run_id)
     run = spark.createDataFrame([(run_date, run_id, version)], "dt string, pipeline string, version string")
     tables.replace_partitions(run.withColumn("dt", F.col("dt").cast("date")), house.path("ledger", "runs"), "pipeline")

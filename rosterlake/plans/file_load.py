@@ -6,12 +6,12 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rosterlake.sinks import tables
 from rosterlake.sources import dictionary as dictionaries
 from rosterlake.sources import manifest as manifests
-from rosterlake.sources.delimited import Dialect, accepted_rows, file_profiles, read_inferred, read_lines, require_few_bad_rows
+from rosterlake.sources.delimited import (BAD, MAX_BAD_ROWS, STATUS, Dialect, accepted_rows, file_profiles, read_inferred,
+                                          read_lines, rejected_rows, require_few_bad_rows)
 from rosterlake.sources.quoted_lines import read_profiled
 
 CSV, WHOLE_LINES = "csv", "ragged_right"
@@ -37,6 +37,9 @@ class FileLoad:
     # A dictionary file with names, types and modes instead of the header's names as text.
     dictionary: str | None = None
     save_manifest: str | None = None
+    # Bad rows a file may have, and a folder that takes them with their file and reason.
+    max_bad_rows: int = MAX_BAD_ROWS
+    rejects: str | None = None
 
 
 def load_folder(spark: SparkSession, root: str, database: str, warehouse: str, version: str,
@@ -119,9 +122,10 @@ def _dictionary(spark: SparkSession, listed: DataFrame, profiles: dict, what: Fi
 
 def _rows(spark: SparkSession, items: list[Row], profiles: dict, known: dict[tuple, list[Row]], what: FileLoad) -> DataFrame:
     if what.mode == WHOLE_LINES:
-        # A delimiter and a quote that do not occur leave each line in one field.
-        return (spark.read.schema(T.StructType([T.StructField(LINE, T.StringType())]))
-                .option("sep", "`").option("quote", "").option("header", True).csv([r["path"] for r in items]))
+        lines = read_lines(spark, [r["path"] for r in items])
+        # The first line of each file, one row per file, is its header.
+        headers = lines.where("_at.split = 0").groupBy("_file").agg(F.min("_at").alias("_first"))
+        return lines.join(headers, "_file").where(F.col("_at") != F.col("_first")).select(F.col("value").alias(LINE))
     groups: dict[tuple, list[Row]] = {}
     for r in items:
         columns = known.get((r["table_name"], r["file_name"]), [])
@@ -135,7 +139,9 @@ def _rows(spark: SparkSession, items: list[Row], profiles: dict, known: dict[tup
             continue
         quoted = [(p, bool(profiles[p]["quoted_line_ends"])) for p in paths if p in profiles]
         rows = read_profiled(spark, quoted, [c for c, _ in shape], dialect)
-        require_few_bad_rows(rows)
+        require_few_bad_rows(rows, limit=what.max_bad_rows)
+        if what.rejects:
+            rejected_rows(rows).select("_file", F.col(BAD).alias("record"), F.col(STATUS).alias("reason")).write.mode("append").parquet(what.rejects)
         parts.append(accepted_rows(rows).select(*[
             F.col(c).cast(dictionaries.SPARK_TYPES.get(kind.upper(), kind)).alias(c) for c, kind in shape]))
     out = parts[0]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,10 +40,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the cluster's shared checkpoint folder.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only when
-    that is unset (a test session) is a local temporary folder used.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where that
+    is unset and the session is local, as in tests, is a temporary folder used: on a
+    cluster no executor would see what another wrote there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="rosterlake-")
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="rosterlake-")
     return f"{root.rstrip('/')}/rosterlake/{label}-{uuid.uuid4().hex}"

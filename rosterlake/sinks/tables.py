@@ -26,6 +26,11 @@ def replace_partitions(rows: DataFrame, path: str, *partition: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
 
 
+def replace_partition(rows: DataFrame, path: str, partition: str, value: str) -> None:
+    """Replaces one partition, by no rows too: a repeat that has none leaves none."""
+    overwrite(rows.drop(partition), f"{path}/{partition}={value}")
+
+
 def load(rows: DataFrame, path: str, mode: str = "truncate") -> None:
     """Truncating is the default; anything but append truncates."""
     (append if mode == "append" else overwrite)(rows, path)

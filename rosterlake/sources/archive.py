@@ -23,6 +23,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PACKED = "archive string, member string, method int, crc bigint, packed binary"
 RECORDS = "archive string, member string, record_no bigint, record string"
 BATCH_ROWS = 10_000
+# Fixed value: the longest record a load takes, in characters; beyond it a quote was never closed.
+MAX_RECORD_CHARACTERS = 100 * 1024 * 1024
 # Fixed value: length of the fixed part of a zip entry's header.
 ENTRY_HEADER = 30
 
@@ -56,19 +58,22 @@ def ends_quoted(line: str, quoted: bool, sep: str, quote: str) -> bool:
     return quoted
 
 
-def records_of(stream: io.TextIOBase, sep: str, quote: str) -> Iterator[str]:
+def records_of(stream: io.TextIOBase, sep: str, quote: str, longest: int = MAX_RECORD_CHARACTERS) -> Iterator[str]:
     """Logical records: lines, put together where a line end is quoted."""
     held: list[str] = []
-    quoted = False
+    quoted, size = False, 0
     for line in stream:
         line = line.rstrip("\r\n") if not line.endswith("\r\n") else line[:-2]
         if quoted or quote in line:
             quoted = ends_quoted(line, quoted, sep, quote)
         if quoted:
             held.append(line)
+            size += len(line) + 1
+            if size > longest:
+                raise ValueError(f"a quote is never closed: a record exceeds {longest} characters")
         elif held:
             yield "\n".join([*held, line])
-            held = []
+            held, size = [], 0
         else:
             yield line
     if held:
@@ -112,7 +117,8 @@ class Unpacked(io.RawIOBase):
         return len(data)
 
 
-def expand_archives(archives: DataFrame, extension: str = "csv", sep: str = "|", quote: str = '"') -> DataFrame:
+def expand_archives(archives: DataFrame, extension: str = "csv", sep: str = "|", quote: str = '"',
+                    longest: int = MAX_RECORD_CHARACTERS) -> DataFrame:
     """binaryFile rows -> one row per record of every member. Record 0 is the header.
 
     One task opens an archive but only hands its members on, compressed as they are; they
@@ -130,7 +136,7 @@ def expand_archives(archives: DataFrame, extension: str = "csv", sep: str = "|",
             for m in batch.itertuples():
                 stream = io.BufferedReader(Unpacked(f"{m.archive}#{m.member}", m.method, m.crc, m.packed), 1 << 20)
                 text = io.TextIOWrapper(stream, encoding="utf-8-sig", newline="\n")
-                numbered = enumerate(records_of(text, sep, quote))
+                numbered = enumerate(records_of(text, sep, quote, longest))
                 while rows := [(m.archive, m.member, n, r) for n, r in itertools.islice(numbered, BATCH_ROWS)]:
                     yield pd.DataFrame(rows, columns=["archive", "member", "record_no", "record"])
 

@@ -23,8 +23,9 @@ MAX_BAD_ROWS = 100
 BAD = "_bad_record"
 STATUS = "_row_status"
 OK, SURPLUS, SHORT = "ok", "surplus", "short"
-# Put behind a record to see in which field it ends; cannot occur in text files.
-_END = "\u0002"
+# Put behind a record to see in which field it ends. A record that holds it is judged on a
+# copy with another character in its place, which leaves quotes and delimiters as they are.
+_END, _OTHER = "\u0002", "x"
 
 
 @dataclass(frozen=True)
@@ -32,6 +33,10 @@ class Dialect:
     sep: str = "|"
     quote: str = '"'
 
+    def __post_init__(self) -> None:
+        if _END in self.sep + self.quote:
+            raise ValueError("the delimiter and the quote may not hold the character U+0002")
+
     def options(self) -> dict[str, str]:
         return {"sep": self.sep, "quote": self.quote, "escape": self.quote}
 
@@ -44,11 +49,18 @@ def _parsed(record: str, width: int, dialect: Dialect) -> Column:
     """A record parsed with an end marker behind it: its fields, and the status the
     marker's place gives. The lambda keeps it at one parse per row wherever it is used."""
     names = [f"_f{i}" for i in range(width + 1)]
-    fields = F.from_csv(
-        F.concat(F.col(record), F.lit(dialect.sep + _END)), ", ".join(f"{n} string" for n in names),
-        {**dialect.options(), "mode": "PERMISSIVE", "maxCharsPerColumn": "-1"})
+    holds_end = F.contains(F.col(record), F.lit(_END))
+
+    def parsed(text: Column) -> Column:
+        return F.from_csv(F.concat(text, F.lit(dialect.sep + _END)), ", ".join(f"{n} string" for n in names),
+                          {**dialect.options(), "mode": "PERMISSIVE", "maxCharsPerColumn": "-1"})
+
+    # Only a record that holds the mark is parsed again, for its fields as they are.
+    both = F.struct(parsed(F.when(holds_end, F.translate(record, _END, _OTHER)).otherwise(F.col(record))).alias("judged"),
+                    F.when(holds_end, parsed(F.col(record))).alias("own"))
 
-    def judged(p: Column) -> Column:
+    def judged(b: Column) -> Column:
+        p = b["judged"]
         # An open quote swallows the delimiter, hence endswith.
         early = [F.coalesce(p[n].endswith(_END), F.lit(False)) for n in names[:-1]]
         status = (
@@ -56,9 +68,10 @@ def _parsed(record: str, width: int, dialect: Dialect) -> Column:
             .when(p[names[-1]].eqNullSafe(F.lit(_END)), F.lit(OK))
             .otherwise(F.lit(SURPLUS))
         )
-        return F.struct(status.alias("status"), *[p[n].alias(n) for n in names[:-1]])
+        own = [F.when(b["own"].isNotNull(), b["own"][n]).otherwise(p[n]) for n in names[:-1]]
+        return F.struct(status.alias("status"), *[f.alias(n) for f, n in zip(own, names)])
 
-    return F.element_at(F.transform(F.array(fields), judged), 1)
+    return F.element_at(F.transform(F.array(both), judged), 1)
 
 
 def parse_records(records: DataFrame, record: str, columns: Sequence[str],
@@ -165,23 +178,27 @@ def _open(dialect: Dialect) -> str:
 
 
 def file_profiles(lines: DataFrame, configured: Dialect = Dialect(), by: str = "_file") -> DataFrame:
-    """Delimiter and quote each file seems to use, and whether it holds quoted line ends.
+    """Delimiter and quote each file seems to use, and whether under these it holds quoted line ends.
 
     One scan over whole files and one row per file and task in the shuffle. A delimiter
-    wins by the share of lines that hold it, then by how even its count per line is.
+    wins by being in the file's first line, where that is known, then by the share of lines
+    that hold it, then by how even its count per line is.
     Where nothing is found the defaults apply; with an unusual configured quote nothing
     is sniffed. The dialect columns are null where they equal the configured values. Lines
     that know their place (see ``read_lines``) also give each file's first line.
     """
     placed = "_at" in lines.columns
     candidates = [*DELIMITERS, *([configured.sep] if configured.sep not in DELIMITERS else [])]
+    sniffed = configured.quote in QUOTES
+    # Quoted line ends are judged for every dialect that may win, in the same scan.
+    dialects = [Dialect(d, q) for d in candidates for q in QUOTES] if sniffed else [configured]
     plain = F.regexp_replace("value", '"[^"]*"', "")
     counted = lines.select(
         by,
         *[F.regexp_count(plain, F.lit(_literal(d))).alias(f"_d{i}") for i, d in enumerate(candidates)],
         *[F.regexp_count("value", F.lit(f"(?:^|[{_class(candidates)}]){q}")).alias(f"_q{i}")
           for i, q in enumerate(QUOTES)],
-        opens_quote(F.col("value"), configured).alias("_open"),
+        *[opens_quote(F.col("value"), d).alias(f"_open{i}") for i, d in enumerate(dialects)],
         *([F.when(F.col("_at.split") == 0, F.struct("_at", "value")).alias("_line")] if placed else []),
     )
     stats = counted.groupBy(by).agg(
@@ -193,18 +210,21 @@ def file_profiles(lines: DataFrame, configured: Dialect = Dialect(), by: str = "
         ).alias(f"_s{i}") for i, d in enumerate(candidates)],
         *[F.struct(F.sum(f"_q{i}").alias("hits"), F.lit(q).alias("quote")).alias(f"_t{i}")
           for i, q in enumerate(QUOTES)],
-        F.max("_open").alias("quoted_line_ends"),
+        *[F.max(f"_open{i}").alias(f"_open{i}") for i in range(len(dialects))],
         *([F.min("_line").alias("_line")] if placed else []),
     )
-    best = F.greatest(*[F.col(f"_s{i}") for i in range(len(candidates))])
+    # The header holds the delimiter, if it holds any: prose behind it may hold others more often.
+    in_header = [F.coalesce(F.contains(F.col("_line.value"), F.lit(d)), F.lit(False)) if placed else F.lit(False) for d in candidates]
+    best = F.greatest(*[F.struct(h.alias("in_header"), *[F.col(f"_s{i}.{f}") for f in ("hit_lines", "even", "hits", "delimiter")])
+                        for i, h in enumerate(in_header)])
     mark = F.greatest(*[F.col(f"_t{i}") for i in range(len(QUOTES))])
-    sniffed = configured.quote in QUOTES
     delimiter = F.when(best["hits"] > 0, best["delimiter"]).otherwise(F.lit(DEFAULT_DELIMITER))
     quote = F.when(mark["hits"] > 0, mark["quote"]).otherwise(F.lit(DEFAULT_QUOTE))
     if not sniffed:
         delimiter, quote = F.lit(configured.sep), F.lit(configured.quote)
+    quoted = F.coalesce(*[F.when((delimiter == d.sep) & (quote == d.quote), F.col(f"_open{i}")) for i, d in enumerate(dialects)])
     return stats.select(
-        by, "lines", "quoted_line_ends",
+        by, "lines", quoted.alias("quoted_line_ends"),
         delimiter.alias("field_delimiter"), quote.alias("quote_delimiter"),
         F.nullif(delimiter, F.lit(configured.sep)).alias("dialect_field_delimiter"),
         F.nullif(quote, F.lit(configured.quote)).alias("dialect_quote_delimiter"),

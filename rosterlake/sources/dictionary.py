@@ -49,7 +49,9 @@ def dictionary_from_headers(headers: DataFrame, sep: str = "|", quote: str = '"'
 
 
 def read_external(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EXTERNAL).option("header", True).option("escape", '"').csv(path)
+    """A dictionary file, its columns found by their headings."""
+    given = spark.read.option("header", True).option("escape", '"').csv(path)
+    return given.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EXTERNAL])
 
 
 def dictionary_from_external(manifest: DataFrame, external: DataFrame) -> DataFrame:
@@ -98,15 +100,15 @@ def as_columns(dictionary: DataFrame) -> DataFrame:
 def column_differences(new: DataFrame, existing: DataFrame) -> DataFrame:
     """Columns only one side has, by position, table and name; types do not count.
 
-    One aggregation over both sides instead of two set differences: what occurs once
-    over both sides together is a difference.
+    One aggregation over both sides instead of two set differences: what occurs, once or
+    several times, on one side only is a difference.
     """
     names = ["ordinal_position", "table_name", "column_name"]
     both = new.select(*names, F.lit(1).alias("_new"), F.lit(0).alias("_old")).unionByName(
         existing.select(*names, F.lit(0).alias("_new"), F.lit(1).alias("_old")))
     return (both.groupBy(*names).agg(F.sum("_new").alias("_new"), F.sum("_old").alias("_old"))
-            .where(F.col("_new") + F.col("_old") == 1)
-            .select(*names, F.when(F.col("_new") == 1, F.lit("new")).otherwise(F.lit("existing")).alias("side")))
+            .where((F.col("_new") > 0) != (F.col("_old") > 0))
+            .select(*names, F.when(F.col("_new") > 0, F.lit("new")).otherwise(F.lit("existing")).alias("side")))
 
 
 def same_columns(new: DataFrame, existing: DataFrame) -> bool:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ def landed_files(spark: SparkSession, root: str) -> DataFrame:
 
 def read_landed(spark: SparkSession, files: DataFrame, columns: Sequence[str],
                 dialect: Dialect = Dialect()) -> DataFrame:
-    """The files of all feeds read together; rows carry their feed.
+    """The files of all feeds; rows carry the feed their file is listed under.
 
     The list of a day's files goes through the driver, as every Spark scan's does.
     """
@@ -32,11 +33,11 @@ def read_landed(spark: SparkSession, files: DataFrame, columns: Sequence[str],
     if not listed:
         names = [*columns]
         return spark.createDataFrame([], ", ".join(f"{c} string" for c in [*names, "feed"]))
-    folder_of = {r["path"]: r["feed"] for r in listed}
-    rows = read_files(spark, sorted(folder_of), columns, dialect)
-    feeds = sorted(set(folder_of.values()))
-    folder = F.coalesce(*[F.when(F.contains("_file", F.lit(f"_{f}/")), F.lit(f)) for f in feeds])
-    return rows.withColumn("feed", folder)
+    parts = []
+    for feed in sorted({r["feed"] for r in listed}):
+        paths = sorted(r["path"] for r in listed if r["feed"] == feed)
+        parts.append(read_files(spark, paths, columns, dialect).withColumn("feed", F.lit(feed)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def feed_counts(rows: DataFrame, feeds: Sequence[str]) -> DataFrame:

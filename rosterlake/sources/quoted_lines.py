@@ -11,14 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rosterlake.sources.delimited import (Dialect, file_profiles, opens_quote, parse_records, read_delimited,
-                                          read_lines, stays_quoted)
+from rosterlake.sources.delimited import (Dialect, opens_quote, parse_records, read_delimited, read_lines,
+                                          stays_quoted)
 
-# Fixed value: the longest record a load takes, in bytes. A split of this size without
-# the start of a record means a quote that is never closed.
+# Fixed value: the longest record a load takes, in bytes. So many without the start of a
+# record, whatever splits they lie in, mean a quote that is never closed.
 MAX_RECORD_BYTES = 100 * 1024 * 1024
 SPLIT = ["_file", "_split"]
 
@@ -44,7 +44,12 @@ def _running_state(rows: DataFrame, group: list[str], order: list[str], outside:
     }).drop("_swaps", "_fixed", "_base", "_base_swaps")
 
 
-def read_records(spark: SparkSession, paths: str | list[str], dialect: Dialect = Dialect()) -> DataFrame:
+def _never_closed() -> Column:
+    return F.raise_error(F.concat(F.lit("a quote is never closed in "), "_file"))
+
+
+def read_records(spark: SparkSession, paths: str | list[str], dialect: Dialect = Dialect(),
+                 max_record_bytes: int | None = None) -> DataFrame:
     """(_file, record_no, record) of files with quoted line ends; record 0 of a file is its
     first. Numbers grow within a file but are not dense."""
     lines = (
@@ -68,8 +73,15 @@ def read_records(spark: SparkSession, paths: str | list[str], dialect: Dialect =
     in_order = Window.partitionBy("_file").orderBy("_split")
     entered = entered.withColumn("_entry", F.lag("_o", 1, False).over(in_order))
     starts = F.when(F.col("_entry"), F.col("_starts_i")).otherwise(F.col("_starts_o"))
-    too_long = (starts == 0) & (F.col("_bytes") > MAX_RECORD_BYTES)
-    starts = F.when(too_long, F.raise_error(F.concat(F.lit("a quote is never closed in "), "_file")).cast("bigint")).otherwise(starts)
+    # The bytes since the last split with a start, which may belong to one record.
+    entered = entered.withColumn("_starts", starts).withColumn(
+        "_run", F.sum((F.col("_starts") > 0).cast("int")).over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    since = Window.partitionBy("_file", "_run").orderBy("_split").rowsBetween(Window.unboundedPreceding, 0)
+    open_bytes = F.sum(F.when(F.col("_starts") == 0, F.col("_bytes")).otherwise(F.lit(0))).over(since)
+    limit = MAX_RECORD_BYTES if max_record_bytes is None else max_record_bytes
+    entered = entered.withColumn("_open_bytes", open_bytes)
+    too_long = (F.col("_starts") == 0) & (F.col("_open_bytes") > limit)
+    starts = F.when(too_long, _never_closed().cast("bigint")).otherwise(F.col("_starts"))
     # Numbers of a split's records follow those of the splits before it.
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
     entered = entered.withColumn("_starts", starts).withColumn(
@@ -78,9 +90,11 @@ def read_records(spark: SparkSession, paths: str | list[str], dialect: Dialect =
     placed = lines.join(entered.select(*SPLIT, "_entry", "_first"), SPLIT)
     nth = F.when(F.col("_entry"), F.col("_nthi")).otherwise(F.col("_ntho"))
     placed = placed.select("_file", (F.col("_first") + nth - 1).alias("record_no"), "_split", "_at", "line")
-    # A group is the lines of one record.
-    return placed.groupBy("_file", "record_no").agg(F.array_sort(F.collect_list(F.struct("_split", "_at", "line"))).alias("_l")).select(
-        "_file", "record_no", F.array_join("_l.line", "\n").alias("record"))
+    # A group is the lines of one record. The guard above keeps it to a few splits; the limit
+    # itself holds wherever the splits lie.
+    records = placed.groupBy("_file", "record_no").agg(
+        F.array_sort(F.collect_list(F.struct("_split", "_at", "line"))).alias("_l"), F.sum(F.length("line") + 1).alias("_bytes"))
+    return records.select("_file", "record_no", F.when(F.col("_bytes") > limit, _never_closed()).otherwise(F.array_join("_l.line", "\n")).alias("record"))
 
 
 def read_profiled(spark: SparkSession, files: Sequence[tuple[str, bool]], columns: Sequence[str],
@@ -103,10 +117,11 @@ def read_files(spark: SparkSession, paths: str | list[str], columns: Sequence[st
                dialect: Dialect = Dialect(), header: bool = True) -> DataFrame:
     """All-string rows with their file and a row status, whatever line ends the files hold.
 
-    A profile of the whole files, one row each, tells which of them hold quoted line ends.
+    A scan of the whole files, one row each, tells which of them hold quoted line ends.
     All others are read by Spark's own splittable reader.
     """
-    profiles = file_profiles(read_lines(spark, paths), dialect).select("_file", "quoted_line_ends").collect()
+    profiles = (read_lines(spark, paths).groupBy("_file").agg(F.max(opens_quote(F.col("value"), dialect)).alias("quoted_line_ends"))
+                .collect())
     if not profiles:
         return read_delimited(spark, paths, columns, dialect, header)
     return read_profiled(spark, [(r["_file"], r["quoted_line_ends"]) for r in profiles], columns, dialect, header)
