@@ -2,8 +2,8 @@
 crosswalk -> staged tables -> published tables.
 
 Every stage is written before the next one reads it, and no file a reader may hold is
-overwritten: text and staged tables get a folder per attempt, typed tables a partition
-per run that a repeated run replaces. So a run can be started again after a loss at any
+overwritten: text and staged tables and the crosswalk get a folder per attempt, typed
+tables a partition per run that a repeated run replaces. So a run can be started again after a loss at any
 point, publishing moves a pointer, and a snapshot is a name for files that already are
 there. None of them copies a table.
 """
@@ -36,6 +36,7 @@ from rosterlake.sources.dictionary import dictionary_from_headers
 from rosterlake.sources.manifest import list_files, not_yet_processed
 
 RUN = "load_run"
+CROSSWALK = "crosswalk"
 LANDED = columns("archive string, member string, record_no bigint, record string, feed string, file_stem string")
 
 
@@ -168,19 +169,20 @@ def load_typed(spark: SparkSession, house: Warehouse, runs: list[str], run_id: s
     tables.replace_partition(rows, house.path("typed", entity.name), RUN, run_id)
 
 
-def load_crosswalk(spark: SparkSession, house: Warehouse, runs: list[str], lookups: dict[str, DataFrame]) -> None:
-    """From the whole history of subscribers. The key lookup is kept beside the crosswalk,
-    for fifteen tables are enriched from it."""
+def load_crosswalk(spark: SparkSession, house: Warehouse, runs: list[str], version: str,
+                   lookups: dict[str, DataFrame]) -> None:
+    """From the whole history of subscribers, in a folder per attempt. The key lookup is kept
+    beside the crosswalk, for fifteen tables are enriched from it."""
     subscribers = typed_table(spark, house, ENTITIES["subscribers"], runs)
-    tables.overwrite(identity_crosswalk(subscribers, **lookups), house.path("identity", "crosswalk"))
-    crosswalk = spark.read.parquet(house.path("identity", "crosswalk"))
-    tables.overwrite(identities_by_key(crosswalk), house.path("identity", "by_key"))
+    tables.overwrite(identity_crosswalk(subscribers, **lookups), house.path("identity", CROSSWALK, version))
+    crosswalk = spark.read.parquet(house.path("identity", CROSSWALK, version))
+    tables.overwrite(identities_by_key(crosswalk), house.path("identity", "by_key", version))
 
 
 def load_staged(spark: SparkSession, house: Warehouse, runs: list[str], version: str, entity: Entity) -> None:
     rows = typed_table(spark, house, entity, runs)
     if entity.enriched:
-        identities = spark.read.parquet(house.path("identity", "by_key"))
+        identities = spark.read.parquet(house.path("identity", "by_key", version))
         rows = enrich(rows, identities, hot_keys(rows, ["subscriber_key"]))
     tables.overwrite(rows, house.path("staged", entity.name, version))
 
@@ -189,6 +191,10 @@ def publish_staged(spark: SparkSession, house: Warehouse, version: str, entity:
     tables.point_at(spark, f"{house.database}.{entity.name}", house.path("staged", entity.name, version))
 
 
+def publish_crosswalk(spark: SparkSession, house: Warehouse, version: str) -> None:
+    tables.point_at(spark, f"{house.database}.{CROSSWALK}", house.path("identity", CROSSWALK, version))
+
+
 # ---------------------------------------------------------------- runs and snapshots
 
 def finished_runs(spark: SparkSession, house: Warehouse) -> DataFrame:
@@ -210,13 +216,15 @@ def previous_run(spark: SparkSession, house: Warehouse, run_id: str) -> tuple[st
 
 def snapshot_layers(spark: SparkSession, house: Warehouse, run_id: str, run_date: str) -> None:
     """Names the state before this run in the archive database, dated the day before:
-    text and published tables by their folder, typed tables by their partitions."""
+    text and published tables and the crosswalk by their folder, typed tables by their
+    partitions."""
     last = previous_run(spark, house, run_id)
     if last is None:
         return
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {house.archive} LOCATION '{house.path('archive', '')}'")
     day = spark.range(1).select(F.date_format(tables.snapshot_day(F.lit(run_date).cast("date")), "yyyyMMdd")).head()[0]
     finished = ", ".join(f"'{r}'" for r in runs_until(spark, house, last[0]))
+    tables.point_at(spark, f"{house.archive}.final_{CROSSWALK}_{day}", house.path("identity", CROSSWALK, last[1]))
     for e in ENTITIES.values():
         tables.point_at(spark, f"{house.archive}.text_{e.name}_{day}", house.path("text", e.name, last[1]))
         tables.point_at(spark, f"{house.archive}.final_{e.name}_{day}", house.path("staged", e.name, last[1]))
@@ -244,9 +252,10 @@ def run_day(spark: SparkSession, drop_root: str, house: Warehouse, lookups: dict
     taken = land_archives(spark, drop_root, house, before, run_id, dialect)
     for_each(lambda e: load_text(spark, house, run_id, version, e, dialect, max_bad_rows), at_once)
     for_each(lambda e: load_typed(spark, house, before, run_id, version, e), at_once)
-    load_crosswalk(spark, house, [*before, run_id], lookups)
+    load_crosswalk(spark, house, [*before, run_id], version, lookups)
     for_each(lambda e: load_staged(spark, house, [*before, run_id], version, e), at_once)
     for_each(lambda e: publish_staged(spark, house, version, e), at_once)
+    publish_crosswalk(spark, house, version)
     # The run's own entry comes last: until it is there, nothing above counts.
     tables.replace_partition(processed_entries(taken, F.lit(run_id)), house.path("ledger", "files"), "run_date", run_id)
     run = spark.createDataFrame([(run_date, run_id, version)], "dt string, pipeline string, version string")

@@ -78,6 +78,8 @@ def test_two_days(spark, tmp_path, rows):
     assert spark.table("daily_test.list_membership").count() == 3   # a changed one does
     assert P.typed_as_of(spark, house, ENTITIES["clicks"], "20210103").count() == 2
     # The snapshot of the day before the second run shows what the first one left.
+    # The crosswalk is published, and archived as it stood.
+    assert spark.table("daily_test.crosswalk").count() >= spark.table("daily_test_archive.final_crosswalk_20210103").count() == 2
     for layer, n in (("final", 2), ("typed", 2), ("text", 4)):
         assert spark.table(f"daily_test_archive.{layer}_clicks_20210103").count() == n, layer
 
