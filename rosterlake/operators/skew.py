@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from rosterlake.session import shuffle_partitions
 
-# approx_top_k returns at most this many keys, so the table of hot keys is bounded
-# whatever the data holds.
-MAX_HOT_KEYS = 1000
-TRACKED_KEYS = 10_000
+# Keys that a sketch tracks, per key that may be hot. At most one key per partition is
+# larger than an average partition, so the table of hot keys has as many rows at most.
+TRACKED_PER_KEY, LEAST_TRACKED, MOST_TRACKED = 10, 10_000, 1_000_000
 SKETCH_GROUPS = 256
 # Pieces per average partition: several small ones fall more evenly than one large.
 FINENESS = 4
@@ -35,16 +34,17 @@ def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     A sketch may misjudge a share, which changes balance only, never a result.
     """
     parts = shuffle_partitions(df.sparkSession)
+    tracked = min(MOST_TRACKED, max(LEAST_TRACKED, TRACKED_PER_KEY * parts))
     sketches = (
         df.where(_present(keys))
         .selectExpr(f"xxhash64({_listed(keys)}) as h", f"pmod(spark_partition_id(), {SKETCH_GROUPS}) as g")
-        .groupBy("g").agg(F.expr(f"approx_top_k_accumulate(h, {TRACKED_KEYS}) as s"), F.expr("count(*) as n"))
+        .groupBy("g").agg(F.expr(f"approx_top_k_accumulate(h, {tracked}) as s"), F.expr("count(*) as n"))
         # Grouped, so that without any key there is no group: combining nothing fails.
         .groupBy((F.col("g") * 0).alias("all"))
-        .agg(F.expr(f"approx_top_k_combine(s, {TRACKED_KEYS}) as s"), F.expr("sum(n) as n"))
+        .agg(F.expr(f"approx_top_k_combine(s, {tracked}) as s"), F.expr("sum(n) as n"))
     )
     return (
-        sketches.selectExpr(f"inline(approx_top_k_estimate(s, {MAX_HOT_KEYS}))", "n")
+        sketches.selectExpr(f"inline(approx_top_k_estimate(s, {min(parts, tracked)}))", "n")
         .where(f"count * {parts}D / n > 1")
         .selectExpr("item as _hot", f"ceil(count * {FINENESS * parts}D / n) as _pieces")
     )
