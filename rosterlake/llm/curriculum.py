@@ -38,7 +38,9 @@ POSITIONS = 10 ** 9  # places over the whole of training
 def sized(docs: DataFrame, row: Column, id_column: str = "doc_id", text_column: str = "text",
           source_column: str = "source") -> DataFrame:
     """``row`` with what mixing needs of it."""
-    return docs.select(row.alias("row"), F.col(f"`{source_column}`").cast("string").alias("source"),
+    source = F.col(f"`{source_column}`").cast("string")
+    # Sources by a key that is never null, so that windows and joins over them share one shuffle.
+    return docs.select(row.alias("row"), source.alias("source"), F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("key"),
                        digits_hash(F.col(f"`{id_column}`")).alias("hash"),
                        F.coalesce(F.regexp_count(F.col(f"`{text_column}`"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
 
@@ -98,16 +100,15 @@ def plan(rows: DataFrame, share: float = SHARE, cap: float = CAP, weights: tuple
     """
     bits = max(1, (SLICES * shuffle_partitions(rows.sparkSession) - 1).bit_length())
     rows = rows.withColumn("slice", F.shiftright("hash", HASH_BITS - bits))
-    slices = written(rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size")), "slices")
-    sources = with_targets(weighed(slices.groupBy("source").agg(F.sum("slice_size").alias("source_size")), weights, schedules), share, cap)
-    earlier = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = slices.withColumn("start", F.coalesce(F.sum("slice_size").over(earlier), F.lit(0))).drop("slice_size").alias("a")
-    starts = starts.join(sources.alias("b"), F.expr("a.source <=> b.source")).select("a.source", "slice", "start", "source_size", "target", "schedule")
-    within = Window.partitionBy("source", "slice").orderBy("hash", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("own", F.coalesce(F.sum("size").over(within), F.lit(0))).alias("a").join(
-        starts.alias("b"), F.expr("a.source <=> b.source and a.slice = b.slice"))
+    slices = written(rows.groupBy("key", "source", "slice").agg(F.sum("size").alias("slice_size")), "slices")
+    sources = with_targets(weighed(slices.groupBy("key", "source").agg(F.sum("slice_size").alias("source_size")), weights, schedules), share, cap)
+    earlier = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = slices.withColumn("start", F.coalesce(F.sum("slice_size").over(earlier), F.lit(0))).select("key", "slice", "start")
+    starts = starts.join(sources.drop("source"), "key").select("key", "slice", "start", "source_size", "target", "schedule")
+    within = Window.partitionBy("key", "slice").orderBy("hash", "size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("own", F.coalesce(F.sum("size").over(within), F.lit(0))).join(starts, ["key", "slice"])
     demand = F.floor("target").cast("long")
-    return placed.select("row", "size", "a.source", "source_size", "target", demand.alias("demand"), "schedule",
+    return placed.select("row", "size", "source", "source_size", "target", demand.alias("demand"), "schedule",
                          (F.col("start") + F.col("own")).alias("before")).withColumns({
         "passes": F.when(F.col("source_size") > 0, F.expr("demand div source_size")).otherwise(F.lit(0)),
         "part": F.greatest(F.lit(0), F.least(F.col("size"), F.col("demand") - F.expr(
