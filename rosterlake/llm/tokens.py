@@ -7,6 +7,7 @@ not seen before go through the tokenizer. Any other text goes through it whole.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 
@@ -18,7 +19,7 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _UNUSUAL = re.compile("[^\t-\r -~ -įı-ɏ]")
 _SPECIAL = "<|"
 LONGEST_KEPT = 64  # characters; longer words are encoded, but not remembered
-KEPT_WORDS = 200_000  # per generation of a cache; a full generation becomes the old one
+KEPT_WORDS = 400_000  # per generation of a cache; a full generation becomes the old one
 
 
 class _Cache:
@@ -61,6 +62,13 @@ class WordTokenizer:
         self._words, self._parts = _Cache(), _Cache()
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        gc.disable()  # nothing here forms cycles, and the caches would be searched for them again and again
+        try:
+            return self._encode_batch(texts)
+        finally:
+            gc.enable()
+
+    def _encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         split = [None if _SPECIAL in t or _UNUSUAL.search(t) else t.lower().split() for t in texts]
         words = set().union(*[w for w in split if w is not None])
         long = self._encode_words(self._words.missing(words))
@@ -82,9 +90,12 @@ class WordTokenizer:
 
     def _encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Puts the words into the cache; those too long for it are returned."""
-        parts_of = {w: self._pieces(w) for w in words}
+        # Most words are letters, or letters and one mark; letters mean the same to Python and the pattern.
+        plain = [w for w in words if w.isalpha()]
+        ended = {w: (w[:-1], w[-1]) for w in words if w[-1] in ",.;:!?" and w[:-1].isalpha()}
+        others = {w: self._pieces(w) for w in words if not (w in ended or w.isalpha())}
         known = self._parts.young
-        if fresh := self._parts.missing(set().union(*parts_of.values())):
+        if fresh := self._parts.missing(set(plain).union(*ended.values(), *others.values())):
             # Each piece is encoded alone, and its last token alone has a word end.
             ids = np.array(self._tokenizer.encode_batch_fast([" ".join(fresh)], add_special_tokens=False)[0].ids, self._dtype)
             ends = (np.flatnonzero(self._ends[ids]) + 1).tolist()
@@ -94,10 +105,11 @@ class WordTokenizer:
             for part, end in zip(fresh, ends):
                 known[part] = data[start * size:end * size]
                 start = end
-        long = {}
-        for word, parts in parts_of.items():
-            ids = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
-            (self._words.young if len(word) <= LONGEST_KEPT else long)[word] = ids
+        found = {w: known[w] for w in plain}
+        found.update((w, known[a] + known[b]) for w, (a, b) in ended.items())
+        found.update((w, b"".join([known[p] for p in parts])) for w, parts in others.items())
+        self._words.young.update((w, ids) for w, ids in found.items() if len(w) <= LONGEST_KEPT)
+        long = {w: ids for w, ids in found.items() if len(w) > LONGEST_KEPT}
         for part in [p for p in fresh if len(p) > LONGEST_KEPT]:
             del known[part]
         return long
