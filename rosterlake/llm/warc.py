@@ -31,6 +31,7 @@ DATE = "2026-01-01T00:00:00Z"
 NO_URL = "urn:page:unknown"
 # Fixed value: the profile of a revisit of an identical payload.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+RESPONSE_FIELDS = ("record_id", "type", "target_uri", "date", "refers_to", "payload_digest", "http_header", "payload")
 BATCH_BYTES = 1 << 23
 RECORD = ("record_id string, type string, target_uri string, date string, concurrent_to string, refers_to string, "
           "payload_digest string, content_type string, http_header string, payload binary")
@@ -51,9 +52,11 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES) -> N
     rows = rows.withColumn("key", F.concat_ws(":", F.lit("urn:capture"), F.coalesce(F.col("page_id").cast("string"), F.lit("none")),
                                               F.sha2(F.concat_ws(" ", "digest", F.coalesce("url", F.lit(""))), 256)))
     large = rows.where((F.col("bytes") >= least_bytes) & F.col("page_id").isNotNull())
-    first = large.groupBy("digest").agg(F.min(F.struct("page_id", "key")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    # Written, so that the join has a shuffle on either side that adaptive execution may split.
+    first = written(large.groupBy("digest").agg(F.min(F.struct("page_id", "key")).alias("first"), F.count("*").alias("n"))
+                    .where("n > 1").select("digest", "first"), "firsts")
     revisit = F.col("first.key").isNotNull() & F.col("page_id").isNotNull() & (F.col("first.key") != F.col("key"))
-    told = rows.join(first.select("digest", "first"), "digest", "left").select(
+    told = rows.join(first, "digest", "left").select(
         "page_id", "url", "html", "digest", "bytes", "key", F.when(revisit, F.col("first.key")).alias("original"))
     uri = F.regexp_replace(F.coalesce("url", F.lit(NO_URL)), r"[\x00-\x20\x7F]", "")
     identity = F.concat(F.lit("<"), F.col("key"), F.lit(">"))
@@ -153,17 +156,17 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return lines.mapInArrow(run, RECORD)
 
 
-def captures(records: DataFrame) -> DataFrame:
+def captures(records: DataFrame, of_response: tuple[str, ...] = RESPONSE_FIELDS) -> DataFrame:
     """One nested row per capture: ``capture_id, response, request, metadata``.
 
-    ``response`` is the response or revisit record, and its payload is a revisit's only if it
+    ``response``, of the columns ``of_response``, is the response or revisit record, and its payload is a revisit's only if it
     has one. Of several requests or metadata records the one of the least content stands.
     Responses that share an identifier are captures each.
     """
     main = F.col("type").isin("response", "revisit")
     keyed = records.where(main | F.col("type").isin("request", "metadata")).withColumn(
         "capture_id", F.when(main, F.col("record_id")).otherwise(F.col("concurrent_to")))
-    http = F.struct("record_id", "type", "target_uri", "date", "refers_to", "payload_digest", "http_header", "payload")
+    http = F.struct(*of_response)
     other = F.struct("record_id", "date", "content_type", "http_header", "payload")
     grouped = keyed.groupBy("capture_id").agg(
         F.min(F.when(main, http)).alias("response"), F.min(F.when(F.col("type") == "request", other)).alias("request"),
@@ -176,15 +179,16 @@ def page_digests(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     path = scratch_dir(spark, "warc")
     write_warc(pages, path)
-    nested = captures(read_warc(spark, path))
+    # What is asked of a payload is worked out where it is read, so that it does not travel.
+    records = read_warc(spark, path).withColumns({"bytes": F.octet_length("payload").cast("long"), "digest": F.sha2("payload", 256)})
+    nested = captures(records, ("record_id", "type", "refers_to", "bytes", "digest"))
     page = F.from_json(F.col("metadata.payload").cast("string"), "page_id long").getField("page_id")
-    told = written(nested.select(
-        "capture_id", page.alias("page_id"), F.col("response.type").alias("record_type"), F.col("response.refers_to").alias("original"),
-        F.octet_length("response.payload").cast("long").alias("bytes"), F.sha2("response.payload", 256).alias("digest")), "captures")
-    originals = told.where("record_type = 'response'").groupBy(F.col("capture_id").alias("original")).agg(
-        F.min(F.struct("page_id", "bytes", "digest")).alias("of"))
-    revisit = F.col("record_type") == "revisit"
-    return told.join(originals, "original", "left").select(
-        "page_id", F.when(revisit, F.col("of.bytes")).otherwise(F.col("bytes")).alias("payload_bytes"),
-        F.when(revisit, F.col("of.digest")).otherwise(F.col("digest")).alias("payload_digest"), "record_type",
-        F.when(revisit, F.col("of.page_id")).alias("refers_to"))
+    told = written(nested.select("capture_id", page.alias("page_id"), "response.*"), "captures")
+    response = told.where("type = 'response'").select("capture_id", "page_id", "bytes", "digest")
+    # Written for the same reason: many revisits may name one response.
+    originals = written(response.groupBy("capture_id").agg(F.min(F.struct("page_id", "bytes", "digest")).alias("of")), "originals")
+    revisits = told.where("type = 'revisit'").select("page_id", F.col("refers_to").alias("capture_id")).join(originals, "capture_id")
+    return response.select("page_id", F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
+                           F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to")).unionByName(
+        revisits.select("page_id", F.col("of.bytes").alias("payload_bytes"), F.col("of.digest").alias("payload_digest"),
+                        F.lit("revisit").alias("record_type"), F.col("of.page_id").alias("refers_to")))
