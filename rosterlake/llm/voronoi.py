@@ -6,7 +6,8 @@ q.p + |q| r and at least q.p - |q| r in a cell; so cells whose counts add up to
 query's own rows give a score that the k-th best of a query surely reaches, and cells that
 cannot reach it are not visited. Queries first meet their own cell, which sharpens that score, and then go,
 grouped by cell, to the other cells that may still hold a better one. Cells are dealt out
-in blocks of bounded size, and what is left of each block is at most k rows per query.
+in blocks of bounded size, queries in groups; a block is replicated to the groups with
+queries that visit its cell, and what is left of each is at most k rows per query.
 
 Defined results: vectors that are null or hold a null or a number that is not finite take
 no part; of vectors of different length the shorter is filled up with zeros; queries are
@@ -30,6 +31,7 @@ from rosterlake.llm.tables import digits_hash, written
 PIVOTS = 64  # also bounds the summaries that are broadcast
 SCALE = 256.0
 BLOCK_ROWS = 4096  # vectors of a cell that one block holds, on average
+GROUP_QUERIES = 16_384  # of a query group, on average
 QUERY_ROWS = 1024  # queries compared with a block at once
 LIMIT = float(2 ** 62)
 
@@ -69,7 +71,7 @@ def _top(rows: DataFrame, k: int) -> DataFrame:
 
 
 def _solve(data: DataFrame, visits: DataFrame, k: int, dim: int) -> DataFrame:
-    """Best rows of each block for the queries that visit its cell."""
+    """Best rows of each block for each group of queries that visits its cell."""
     schema = "query_id long, vec_id long, score long"
 
     def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -77,12 +79,15 @@ def _solve(data: DataFrame, visits: DataFrame, k: int, dim: int) -> DataFrame:
             return pd.DataFrame({c: np.zeros(0, "int64") for c in ("query_id", "vec_id", "score")})
         return _best(right["query_id"].to_numpy(), _matrix(right["q"], dim), left["id"].to_numpy(), _matrix(left["v"], dim), k)
 
-    keys = ["cell", "block"]
+    visits = written(visits, "visits")
+    # One row per cell and query group; a block goes to the groups that come to its cell.
+    data = data.join(written(visits.select("cell", "query_group").distinct(), "query-groups"), "cell")
+    keys = ["cell", "block", "query_group"]
     return data.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInPandas(block, schema)
 
 
 def voronoi_top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_column: str = "vec_id", vector_column: str = "embedding",
-                  pivots: int = PIVOTS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                  pivots: int = PIVOTS, block_rows: int = BLOCK_ROWS, group_queries: int = GROUP_QUERIES) -> DataFrame:
     """``query_id, rank, vec_id, score`` over the vectors' components times 256, rounded down."""
     clean = vectors.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{vector_column}`").cast("array<double>").alias("v")).where(
         "id is not null and v is not null and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))")
@@ -133,10 +138,12 @@ def voronoi_top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_column: st
 
     def visits(rows: DataFrame, own_cell: bool) -> DataFrame:
         to = rows.mapInPandas(visited(own_cell), "query_id long, q array<double>, cell int")
-        return to.withColumn("block", F.explode(F.sequence(F.lit(0), block_count - 1)))
+        return to.withColumn("query_group", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int")).withColumn(
+            "block", F.explode(F.sequence(F.lit(0), block_count - 1)))
 
     asked = queries.groupBy("id").agg(F.min(F.struct("v", "cell")).alias("of"), F.count("*").alias("copies")).select(
         "id", "of.v", "of.cell", "copies")
+    groups = asked.count() // group_queries + 1
     own = written(_top(_solve(data, visits(asked, True), k, dim), k), "own")
     reached = own.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("reached"))
     others = visits(asked.join(reached, "id", "left"), False)

@@ -34,7 +34,7 @@ def test_clusters_copies_and_ties(spark, pivots, block_rows):
     rows = [(i, np.float32(centres[i % 6] + 0.2 * rng.normal(size=8)).tolist()) for i in range(400)]
     rows += [(i, rows[7][1]) for i in range(400, 700)]  # one vector of a large share
     rows += [(i, [0.0] * 8) for i in range(700, 720)]
-    assert run(spark, rows, pivots=pivots, block_rows=block_rows) == plain(rows, 5, 50)
+    assert run(spark, rows, pivots=pivots, block_rows=block_rows, group_queries=4) == plain(rows, 5, 50)
 
 
 def test_edges(spark):
