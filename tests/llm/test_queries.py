@@ -33,6 +33,7 @@ def test_all_are_registered():
 
 
 def test_pipeline(spark):
+    SF = "/root/testdata/sf0.01"  # enough labels to train on
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     given, seen = docs, {}
     for name, stage in corpus_pipeline.STAGES:
