@@ -138,7 +138,7 @@ def edited(text: str, following: str) -> str:
 
 
 def _in_ranges(docs: DataFrame) -> DataFrame:
-    """``id, text, part, extra``: rows by range of ids; an ``extra`` row is a later range's first."""
+    """``id, text, part, extra``: a partition per range of ids; an ``extra`` row is a later range's first."""
     spark = docs.sparkSession
     ids = docs.select("id")
     wanted = RANGES * shuffle_partitions(spark)
@@ -157,7 +157,8 @@ def _in_ranges(docs: DataFrame) -> DataFrame:
     rows = in_range(docs).join(F.broadcast(firsts), "part")
     both = F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("extra")), F.struct(F.col("before").alias("part"), F.lit(True).alias("extra")))
     copies = F.when(F.col("id").eqNullSafe(F.col("first")), both).otherwise(F.slice(both, 1, 1))
-    return rows.select("id", "text", F.explode(copies).alias("copy")).select("id", "text", "copy.part", "copy.extra")
+    return rows.select("id", "text", F.explode(copies).alias("copy")).select("id", "text", "copy.part", "copy.extra").repartitionById(
+        len(cuts) + 2, "part")
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -202,6 +203,4 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
     rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"))
-    ranged = _in_ranges(rows)
-    return (ranged.select("id", "text", "part", "extra").repartition(RANGES * shuffle_partitions(docs.sparkSession), "part")
-            .sortWithinPartitions("part", "extra", F.col("id").asc_nulls_last(), "text").mapInArrow(run, schema))
+    return _in_ranges(rows).sortWithinPartitions("part", "extra", F.col("id").asc_nulls_last(), "text").mapInArrow(run, schema)
