@@ -93,6 +93,7 @@ def _link(labelled: DataFrame, max_bits: int) -> DataFrame:
     mask = "case " + " ".join(f"when bit < {e} then {_signed((1 << (e - s)) - 1)}L" for s, e in segments) + " end"
     index = (labelled.select("fp", "label", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bit"))
              .selectExpr("fp", "label", "bit", f"shiftrightunsigned(fp, {first_bit}) & {mask} & ~shiftleft(1L, bit - {first_bit}) as rest"))
+    # Keys that one label holds alone link nothing new.
     group = Window.partitionBy("bit", "rest")
     shared = written(index.withColumns({"lo": F.min("label").over(group), "hi": F.max("label").over(group)})
                      .where("lo < hi").drop("lo", "hi"), "shared")
@@ -119,7 +120,8 @@ def classes(fingerprints: DataFrame, id_column: str, max_bits: int = MAX_BITS) -
     labelled = written(labelled.select("fp", "first", (F.col("fp") if tied is None else F.coalesce("label", "fp")).alias("label")), "labelled")
     joined = components(_link(labelled.select("fp", "label"), max_bits)).select(F.col("node").alias("label"), F.col("label").alias("root"))
     rooted = labelled.join(joined, "label", "left").select("fp", "first", F.coalesce("root", "label").alias("label"))
-    named = rooted.groupBy("label").agg(F.min("first").alias("first"))
+    rooted = written(rooted, "rooted")
+    named = written(rooted.groupBy("label").agg(F.min("first").alias("first")), "named")
     return rooted.drop("first").join(named, "label").select("fp", "label", "first")
 
 
