@@ -138,6 +138,11 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     marked = written(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{id_column}`").alias("id"),
                                  fingerprint_column(text_column).alias("fp")), "marked")
     groups = written(classes(marked.select("id", "fp"), "id", max_bits), "classes")
+    return one_of_each(marked, groups)
+
+
+def one_of_each(marked: DataFrame, groups: DataFrame) -> DataFrame:
+    """The ``row`` of ``marked(row, id, fp)`` with the least id, ``first``, of each label of ``groups(fp, label, first)``."""
     kept = marked.join(groups, "fp").where(F.col("id").eqNullSafe(F.col("first"))).select("row", "label")
     least = marked.select("id", "fp").join(groups, "fp").where(F.col("id").eqNullSafe(F.col("first")))
     repeated = written(least.groupBy("label").count().where("count > 1").select("label"), "repeated")
