@@ -69,8 +69,8 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     *[(f"CC-{i[3:].upper()}", (i,)) for i in SENTENCES if i.startswith("cc-")],
     ("Public-Domain", ("public-domain",)), ("All-Rights-Reserved", ("all-rights",)),
 ]
-# Every known sentence holds one of these; texts without any are not looked at further.
-ANCHOR = r"(?i)licen[cs]e|warrant|copyright|rights reserved|redistribut|free of charge|public domain|under (cc|creative)|in no event"
+# Every known sentence holds one of these, whatever stands between its words; texts without any are not looked at further.
+ANCHOR = r"(?i)licen[cs]e|warrant|copyright|reserved|redistribut|charge|domain|released|event"
 WORD = re.compile(r"[^\W_]+")
 UNIT_END = re.compile(r"\n|[.!?;:]+(?=\s|\Z)")
 

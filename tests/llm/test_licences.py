@@ -61,3 +61,14 @@ def test_bundled_against_lines(spark, bundled):
         want = [known[n] for s in sentences if (n := " ".join(re.findall(r"[^\W_]+", s.lower()))) in known]
         assert got[i] == want
     assert any(got.values())
+
+
+def test_wrapped_and_marked_up_texts_pass_the_prefilter(spark):
+    """The scan finds what recognised() finds without the prefilter, whatever stands between a sentence's words."""
+    gaps = (" ", "\n", "  ", "\t", "\r\n", "\n * ", " **", "_", "\u00a0", "\n# ", "/")
+    texts = [gap.join(sentence.split()) for sentences in L.SENTENCES.values() for sentence in sentences for gap in gaps]
+    texts += ["All rights\nreserved.", "All rights  reserved.", "This work is in the public\ndomain.", "Released under\nCC BY 4.0.", "Released under **CC BY 4.0**.", "RELEASED UNDER CC BY 4.0"]
+    found = {r.doc_id: [(x.name, x.start, x.end) for x in r.sentences] for r in L.licence_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()}
+    machine = L._automaton()
+    assert all(L.recognised(t, machine) == found[k] for k, t in enumerate(texts))
+    assert all(found[k] for k in range(len(texts) - 6, len(texts)))
