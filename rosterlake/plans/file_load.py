@@ -37,7 +37,8 @@ class FileLoad:
     # A dictionary file with names, types and modes instead of the header's names as text.
     dictionary: str | None = None
     save_manifest: str | None = None
-    # Bad rows a file may have, and a folder that takes them with their file and reason.
+    # Bad rows a file may have, and a folder that takes them with their file and reason;
+    # without one they go to _rejects/<table>/version=<version> below the warehouse path.
     max_bad_rows: int = MAX_BAD_ROWS
     rejects: str | None = None
 
@@ -70,7 +71,8 @@ def load_folder(spark: SparkSession, root: str, database: str, warehouse: str, v
     for name in sorted({r["table_name"] for r in items}):
         mine = [r for r in items if r["table_name"] == name]
         table = f"{database}.{name}"
-        rows = _rows(spark, mine, profiles, known, what)
+        rejects = what.rejects or f"{warehouse.rstrip('/')}/_rejects/{name}/version={version}"
+        rows = _rows(spark, mine, profiles, known, replace(what, rejects=rejects))
         location = f"{warehouse.rstrip('/')}/{name}"
         new, changed = tables.recreate_if_changed(spark, table, rows.schema, location, f"{version}-empty")
         if what.write == "append":
@@ -140,8 +142,7 @@ def _rows(spark: SparkSession, items: list[Row], profiles: dict, known: dict[tup
         quoted = [(p, bool(profiles[p]["quoted_line_ends"])) for p in paths if p in profiles]
         rows = read_profiled(spark, quoted, [c for c, _ in shape], dialect)
         require_few_bad_rows(rows, limit=what.max_bad_rows)
-        if what.rejects:
-            rejected_rows(rows).select("_file", F.col(BAD).alias("record"), F.col(STATUS).alias("reason")).write.mode("append").parquet(what.rejects)
+        rejected_rows(rows).select("_file", F.col(BAD).alias("record"), F.col(STATUS).alias("reason")).write.mode("append").parquet(what.rejects)
         parts.append(accepted_rows(rows).select(*[
             F.col(c).cast(dictionaries.SPARK_TYPES.get(kind.upper(), kind)).alias(c) for c, kind in shape]))
     out = parts[0]

@@ -66,3 +66,13 @@ def test_facts_leave_other_records_alone(spark):
     m = M.build_manifest(files, F.lit("2024-01-01").cast("timestamp_ntz"))
     facts = spark.createDataFrame([("a.csv", "y", None)], "blob_name string, is_table_new string, dialect_field_delimiter string")
     assert sorted((r["blob_name"], r["is_table_new"]) for r in M.with_file_facts(m, facts).collect()) == [("a.csv", "y"), ("b.csv", "n")]
+
+
+def test_bad_rows_are_kept_without_a_named_folder(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("x,y\n1,2\n3\n4,5,6\n")
+    load(spark, tmp_path, "7", file_type_filter="csv")
+    kept = spark.read.parquet(str(tmp_path / "house" / "_rejects" / "a" / "version=7"))
+    assert kept.columns == ["_file", "record", "reason"]
+    assert [(r._file.rsplit("/", 1)[1], r.record) for r in kept.collect()] == [("a.csv", "3")]
