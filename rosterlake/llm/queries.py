@@ -15,6 +15,7 @@ from rosterlake.llm.rule_ensemble import quality_scores
 from rosterlake.llm.simhash import simhash_components
 from rosterlake.llm.tables import table, written
 from rosterlake.llm.url_trees import judged
+from rosterlake.llm.value_dictionaries import compressed
 from rosterlake.llm.voronoi import voronoi_top_k
 from rosterlake.llm.warc import page_digests
 
@@ -70,9 +71,30 @@ def op10_voronoi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi_top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op13_value_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compressed(table(spark, sf_dir, "embeddings"))
+
+
+def _rounds(rounds: int) -> str:
+    """SQL of ``nearest0, books1, nearest1, ...``: each round's assignment and the codebooks that follow from it."""
+    def nearest(k: int) -> str:
+        return f"""nearest{k} as (
+            select row, label, vec_id, v.part, any_value(v.v) as v, min(d * 256 + entry) as best
+            from (select p.*, entry, list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as d
+                  from pieces p join books{k} b on p.part = b.part) v
+            group by row, label, vec_id, v.part)"""
+
+    return ",\n        ".join(f"""{nearest(k)},
+        sums{k} as (select part, best % 256 as entry, unnest(v) as x, unnest(range(len(v))) as place from nearest{k}),
+        means{k} as (select part, entry, place, floor(sum(x)::double / count(*))::bigint as x from sums{k} group by part, entry, place),
+        lists{k} as (select part, entry, list(x order by place) as v from means{k} group by part, entry),
+        books{k + 1} as (select b.part, b.entry, coalesce(l.v, b.v) as v from books{k} b left join lists{k} l on b.part = l.part and b.entry = l.entry)"""
+                              for k in range(rounds)) + ",\n        " + nearest(rounds)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_licences, op2_packing, op3_warc, op4_fingerprints, op5_shards, op6_quality, op7_curriculum,
-                            op8_simhash, op9_urls, op10_voronoi)}
+                            op8_simhash, op9_urls, op10_voronoi, op13_value_codes)}
 
 SQL: dict[str, str] = {
     "op3_warc": """
@@ -141,4 +163,21 @@ SQL: dict[str, str] = {
             from vectors q join vectors c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0)
         select query_id, rank, vec_id, score from (
             select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scores) where rank <= 5""",
+    "op13_value_codes": f"""
+        with kept as (
+            select row_number() over (order by vec_id nulls last) - 1 as row, vec_id, label,
+                   list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v
+            from embeddings
+            where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        pieces as (
+            select row, vec_id, label, part, v[part * len(v) // 4 + 1:(part + 1) * len(v) // 4] as v
+            from (select *, unnest(range(4)) as part from kept)),
+        books0 as (select part, row as entry, v from pieces where row < 256),
+        {_rounds(4)},
+        errors as (
+            select row, vec_id, label, string_agg(printf('%02x', (best % 256)::bigint), '' order by part) as code, sum(best // 256)::bigint as error
+            from nearest4 group by row, vec_id, label)
+        select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error,
+               (select sha256(string_agg(list_aggregate(v, 'string_agg', ','), ',' order by part, entry)) from books4) as codebooks_sha256
+        from errors""",
 }
