@@ -13,6 +13,7 @@ from rosterlake.llm.minhash import fingerprints
 from rosterlake.llm.packing import pack
 from rosterlake.llm.rule_ensemble import quality_scores
 from rosterlake.llm.simhash import simhash_components
+from rosterlake.llm.spelling import variants
 from rosterlake.llm.tables import table, written
 from rosterlake.llm.url_trees import judged
 from rosterlake.llm.value_dictionaries import compressed
@@ -71,6 +72,10 @@ def op10_voronoi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi_top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"))
+
+
 def op13_value_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compressed(table(spark, sf_dir, "embeddings"))
 
@@ -94,7 +99,7 @@ def _rounds(rounds: int) -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_licences, op2_packing, op3_warc, op4_fingerprints, op5_shards, op6_quality, op7_curriculum,
-                            op8_simhash, op9_urls, op10_voronoi, op13_value_codes)}
+                            op8_simhash, op9_urls, op10_voronoi, op12_spelling, op13_value_codes)}
 
 SQL: dict[str, str] = {
     "op3_warc": """
@@ -163,6 +168,41 @@ SQL: dict[str, str] = {
             from vectors q join vectors c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0)
         select query_id, rank, vec_id, score from (
             select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scores) where rank <= 5""",
+    # The checksum's table from its rule, one step per bit; letters beyond A to Z take two bytes each.
+    "op12_spelling": """
+        with recursive steps as (
+            select list(list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as steps
+            from range(256) t(i)),
+        runs as (
+            select coalesce(doc_id::varchar, '') as id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+            from documents),
+        counted as (select id, run, count(*) as n, flatten(list_transform(string_split(id || ':' || run, ''), lambda c:
+                case when unicode(c) < 128 then [unicode(c)::bigint] else [(192 + (unicode(c) >> 6))::bigint, (128 + (unicode(c) & 63))::bigint] end)) as bytes
+            from runs where length(run) >= 7 group by id, run),
+        hashed as (
+            select run, n, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) as h
+            from counted, steps),
+        words as (
+            select case when h % 31 = 0 then left(run, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, sum(n)::bigint as n
+            from hashed group by word having length(word) >= 7 and sum(n) >= 2),
+        shorter as (
+            select word, place, left(word, place::int) || substr(word, place::int + 2) as rest from (select word, unnest(range(length(word))) as place from words)),
+        pairs as (
+            select a.word, b.word as other from shorter a join shorter b on a.rest = b.rest and a.place = b.place where a.word <> b.word
+            union select s.word, w.word from shorter s join words w on s.rest = w.word
+            union select w.word, s.word from shorter s join words w on s.rest = w.word),
+        near as (
+            select p.word, count(*) as n_near, max(o.n) as best_n, arg_min(o.word, (-o.n, o.word)) as best
+            from pairs p join words o on p.other = o.word group by p.word),
+        forms as (
+            select word, n, coalesce(n_near, 0) as n_near, case when best_n >= 10 * n then best end as form, case when best_n >= 10 * n then best_n end as form_n
+            from words left join near using (word)),
+        paths as (
+            select word, word as root, 0 as steps from forms
+            union all select p.word, f.form, steps + 1 from paths p join forms f on p.root = f.word where f.form is not null),
+        roots as (select word, arg_max(root, steps) as root from paths group by word)
+        select word, form, root, n, n_near, form_n from forms join roots using (word)""",
     "op13_value_codes": f"""
         with kept as (
             select row_number() over (order by vec_id nulls last) - 1 as row, vec_id, label,
