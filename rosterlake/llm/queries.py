@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rosterlake.llm import curriculum, sharding
+from rosterlake.llm import curriculum, secrets, sharding
 from rosterlake.llm.licences import licence_scan
 from rosterlake.llm.minhash import fingerprints
 from rosterlake.llm.packing import pack
@@ -72,6 +72,10 @@ def op10_voronoi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi_top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.listed(secrets.secrets(table(spark, sf_dir, "documents")))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(table(spark, sf_dir, "documents"))
 
@@ -99,7 +103,7 @@ def _rounds(rounds: int) -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_licences, op2_packing, op3_warc, op4_fingerprints, op5_shards, op6_quality, op7_curriculum,
-                            op8_simhash, op9_urls, op10_voronoi, op12_spelling, op13_value_codes)}
+                            op8_simhash, op9_urls, op10_voronoi, op11_secrets, op12_spelling, op13_value_codes)}
 
 SQL: dict[str, str] = {
     "op3_warc": """

@@ -29,7 +29,7 @@ def test_sql(spark, key):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark):

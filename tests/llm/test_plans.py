@@ -15,13 +15,13 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", ["op5_shards", "op7_curriculum", "op9_urls"])
+@pytest.mark.parametrize("key", ["op5_shards", "op7_curriculum", "op9_urls", "op11_secrets"])
 def test_native_queries_run_no_python(spark, key):
     plan = plan_of(QUERIES[key](spark, SF))
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", plan)
 
 
-@pytest.mark.parametrize("key", ["op3_warc", "op4_fingerprints", "op8_simhash", "op10_voronoi"])
+@pytest.mark.parametrize("key", ["op3_warc", "op4_fingerprints", "op8_simhash", "op10_voronoi", "op12_spelling", "op13_value_codes"])
 def test_no_cross_join(spark, key):
     assert not re.search("CartesianProduct|BroadcastNestedLoop", plan_of(QUERIES[key](spark, SF)))
 
