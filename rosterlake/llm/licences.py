@@ -4,8 +4,9 @@ A text is cut into units at line ends and at sentence ends. A known sentence, as
 lower case without punctuation, has to fill units from the start of one to the end of one;
 so a sentence may run over several lines, but a mention within a sentence is none. The
 identifiers of a text, in order, are then read from the left: the first rule of the list
-whose sequence follows names a licence and takes its sentences; an identifier that starts
-no rule stays as unmatched.
+whose sequence follows names a licence and takes its sentences, unless a sentence between
+them is not known and sets a condition; an identifier that starts no rule stays as unmatched.
+A sentence may leave a place for a name.
 
 Defined results: a null or empty text has no licence; texts of any length are read whole;
 of known sentences that start together the longest counts; repeated rows are scanned each;
@@ -36,8 +37,10 @@ SENTENCES = {
     "bsd-grant": ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"],
     "bsd-source": ["redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"],
     "bsd-binary": ["redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"],
-    "bsd-names": ["neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"],
-    "bsd-warranty": ["this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"],
+    "bsd-names": ["neither the name of * nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+                  "neither the names of * nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+                  "the name of * may not be used to endorse or promote products derived from this software without specific prior written permission"],
+    "bsd-warranty": ["this software is provided by * as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"],
     "gpl-2-or-later": ["this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"],
     "gpl-3-or-later": ["this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
     "gpl-2-named": ["this work is licensed under the gnu general public license version 2", "licensed under the gnu general public license version 2", "released under the gnu general public license version 2"],
@@ -45,6 +48,16 @@ SENTENCES = {
     "gpl-hope": ["this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"],
     "gpl-received": ["you should have received a copy of the gnu general public license along with this program"],
     "gpl-details": ["see the gnu general public license for more details"],
+    "lgpl-2.1-or-later": ["this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version"],
+    "lgpl-3-or-later": ["this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
+    "agpl-3-or-later": ["this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
+    "mpl-2": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
+    "mpl-2-obtain": ["if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0", "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0"],
+    "isc-grant": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"],
+    "isc-warranty": ["the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"],
+    "unlicense": ["this is free and unencumbered software released into the public domain"],
+    "zlib-warranty": ["this software is provided as is without any express or implied warranty"],
+    "zlib-grant": ["permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"],
     "public-domain": ["this work is in the public domain", "released into the public domain"],
     "all-rights": ["all rights reserved"],
 }
@@ -53,6 +66,22 @@ CC_VERSIONS = ("3 0", "4 0")
 CC_LEADS = ("licensed under", "released under", "this work is licensed under")
 SENTENCES |= {f"cc-{t.replace(' ', '-')}-{v.replace(' ', '.')}": [f"{lead} {cc} {t} {v}" for lead in CC_LEADS for cc in ("cc", "creative commons")]
               for t in CC_TERMS for v in CC_VERSIONS}
+# Names as notices and titles write them, and as identifier lines do.
+NAMED = {
+    "MIT": ("mit license",), "Apache-2.0": ("apache license version 2 0", "apache 2 0 license", "apache license 2 0"), "ISC": ("isc license",),
+    "BSD-2-Clause": ("bsd 2 clause license",), "BSD-3-Clause": ("bsd 3 clause license",), "MPL-2.0": ("mozilla public license 2 0", "mozilla public license version 2 0"),
+    "GPL-2.0-only": ("gnu general public license version 2",), "GPL-3.0-only": ("gnu general public license version 3",),
+    "LGPL-2.1-only": ("gnu lesser general public license version 2 1",), "LGPL-3.0-only": ("gnu lesser general public license version 3",),
+    "AGPL-3.0-only": ("gnu affero general public license version 3",), "CC0-1.0": ("cc0 1 0 universal", "creative commons zero v1 0 universal"),
+    "Unlicense": ("unlicense",), "Zlib": ("zlib license",), "CC-BY-4.0": ("creative commons attribution 4 0 international license",),
+    "CC-BY-SA-4.0": ("creative commons attribution sharealike 4 0 international license",)}
+SPDX = (*NAMED, "GPL-2.0-or-later", "GPL-3.0-or-later", "LGPL-2.1-or-later", "LGPL-3.0-or-later", "AGPL-3.0-or-later")
+_PLAIN = {i: " ".join(re.findall("[a-z0-9]+", i.lower())) for i in SPDX}
+LEADS = ("licensed under", "released under", "distributed under", "this work is licensed under", "this project is licensed under")
+_known = {sentence for sentences in SENTENCES.values() for sentence in sentences}
+SENTENCES |= {f"spdx {i}": [f"spdx license identifier {_PLAIN[i]}"] for i in SPDX}
+SENTENCES |= {f"title {i}": [f"{the}{n}" for n in names for the in ("", "the ")] for i, names in NAMED.items()}
+SENTENCES |= {f"named {i}": [s for lead in LEADS for n in sorted({*names, _PLAIN[i], f"{_PLAIN[i]} license"}) for the in ("", "the ") if (s := f"{lead} {the}{n}") not in _known] for i, names in NAMED.items()}
 
 # In order: the first whose sequence follows is taken.
 RULES: list[tuple[str, tuple[str, ...]]] = [
@@ -67,19 +96,31 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("GPL-3.0-only", ("gpl-3-named",)), ("GPL-2.0-only", ("gpl-2-named",)),
     ("MIT", ("mit-named",)), ("Apache-2.0", ("apache-2-named",)),
     *[(f"CC-{i[3:].upper()}", (i,)) for i in SENTENCES if i.startswith("cc-")],
+    ("LGPL-2.1-or-later", ("lgpl-2.1-or-later",)), ("LGPL-3.0-or-later", ("lgpl-3-or-later",)), ("AGPL-3.0-or-later", ("agpl-3-or-later",)),
+    ("MPL-2.0", ("mpl-2", "mpl-2-obtain")), ("MPL-2.0", ("mpl-2",)), ("ISC", ("isc-grant", "isc-warranty")), ("Unlicense", ("unlicense",)),
+    ("Zlib", ("zlib-warranty", "zlib-grant")),
+    *[(i, (f"{kind} {i}",)) for kind, of in (("spdx", SPDX), ("named", NAMED)) for i in of],
     ("Public-Domain", ("public-domain",)), ("All-Rights-Reserved", ("all-rights",)),
 ]
+# A text's title goes with what follows it, or names the licence alone.
+RULES = [(name, (f"title {name}", *sequence)) for name, sequence in RULES if name in NAMED] + RULES + [(i, (f"title {i}",)) for i in NAMED]
+# Words of a sentence that no rule may pass over: it is a condition that is not known.
+CONDITION = re.compile(r"\b(must|shall|may\s+not|neither|endorse|provided\s+that)\b", re.I)
+SLOT_WORDS = 24  # that a name in a sentence, written ``*``, may have
 # Every known sentence holds one of these, whatever stands between its words; texts without any are not looked at further.
-ANCHOR = r"(?i)licen[cs]e|warrant|copyright|reserved|redistribut|charge|domain|released|event"
+ANCHOR = r"(?i)licen[cs]e|warrant|copyright|reserved|distribut|charge|domain|released|event|universal|permi"
 WORD = re.compile(r"[^\W_]+")
-UNIT_END = re.compile(r"\n|[.!?;:]+(?=\s|\Z)")
+UNIT_END = re.compile(r"\n|[.!?;:]+(?=\s|\Z)|\s\(")
 
 
 def _automaton() -> ahocorasick.Automaton:
     machine = ahocorasick.Automaton()
     for identifier, sentences in SENTENCES.items():
         for sentence in sentences:
-            machine.add_word(f" {sentence} ", (identifier, sentence.count(" ") + 1))
+            parts = sentence.split(" * ")
+            for k, part in enumerate(parts):  # several sentences may have a part in common
+                known = machine.get(f" {part} ", ())
+                machine.add_word(f" {part} ", (*known, (identifier, part.count(" ") + 1, k if len(parts) > 1 else None)))
     machine.make_automaton()
     return machine
 
@@ -95,12 +136,16 @@ def recognised(text: str, machine: ahocorasick.Automaton) -> list[tuple[str, int
     for at, word in enumerate(words):
         place += len(word) + 1
         last_at[place] = at
-    found = []
-    for place, (identifier, length) in machine.iter(" " + " ".join(words) + " "):
+    found, heads = [], {}
+    for place, known in machine.iter(" " + " ".join(words) + " "):
         last = last_at[place]
-        first = last - length + 1
-        if last in ends and (first == 0 or first - 1 in ends):
-            found.append((first, -last, identifier))
+        for identifier, length, part in known:
+            first = last - length + 1
+            if part == 0:  # a sentence up to its name
+                heads.setdefault(identifier, []).append((first, last))
+                continue
+            starts = [first] if part is None else [f for f, end in heads.get(identifier, ())[-SLOT_WORDS:] if 0 < first - end - 1 <= SLOT_WORDS]
+            found += [(f, -last, identifier) for f in starts if last in ends and (f == 0 or f - 1 in ends)]
     result, free = [], 0
     for first, last, identifier in sorted(found):
         if first >= free:
@@ -109,12 +154,13 @@ def recognised(text: str, machine: ahocorasick.Automaton) -> list[tuple[str, int
     return result
 
 
-def matched(sentences: list[tuple[str, int, int]]) -> tuple[list[tuple[str, int, int]], list[str]]:
+def matched(sentences: list[tuple[str, int, int]], text: str = "") -> tuple[list[tuple[str, int, int]], list[str]]:
     """Licences with the characters they span, and the identifiers that no rule takes."""
     identifiers, licences, rest, at = [s[0] for s in sentences], [], [], 0
+    passes = [not CONDITION.search(text, one[2], other[1]) for one, other in zip(sentences, sentences[1:])]
     while at < len(identifiers):
         for name, sequence in RULES:
-            if tuple(identifiers[at:at + len(sequence)]) == sequence:
+            if tuple(identifiers[at:at + len(sequence)]) == sequence and all(passes[at:at + len(sequence) - 1]):
                 licences.append((name, sentences[at][1], sentences[at + len(sequence) - 1][2]))
                 at += len(sequence)
                 break
@@ -137,7 +183,7 @@ def licence_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         arrow, machine = to_arrow_schema(schema), _automaton()
         for batch in batches:
             sentences = [recognised(t, machine) if t else [] for t in batch.column(1).to_pylist()]
-            results = [matched(s) for s in sentences]
+            results = [matched(s, t or "") for s, t in zip(sentences, batch.column(1).to_pylist())]
             named = [[[dict(zip(("name", "start", "end"), x)) for x in row] for row in rows] for rows in (sentences, [r[0] for r in results])]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(rows, f.type) for rows, f in zip((*named, [r[1] for r in results]), list(arrow)[1:])]], schema=arrow)
 

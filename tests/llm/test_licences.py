@@ -72,3 +72,35 @@ def test_wrapped_and_marked_up_texts_pass_the_prefilter(spark):
     machine = L._automaton()
     assert all(L.recognised(t, machine) == found[k] for k, t in enumerate(texts))
     assert all(found[k] for k in range(len(texts) - 6, len(texts)))
+
+
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+{}THIS SOFTWARE IS PROVIDED BY {} "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."""
+NAMES = "3. Neither the name of {} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+
+
+def test_names_conditions_and_titles():
+    machine = L._automaton()
+
+    def licences(text):
+        names, rest = L.matched(L.recognised(text, machine), text)
+        return [n for n, _, _ in names], rest
+
+    plain = re.sub(r"(?m)^[123][.] ", "", BSD), NAMES[3:]
+    for holder in ("the copyright holder", "Example Inc.", "The Regents of the University of Somewhere, U.S.A.,"):
+        assert licences(plain[0].format(plain[1].format(holder), holder)) == (["BSD-3-Clause"], [])
+        assert licences(plain[0].format("", holder)) == (["BSD-2-Clause"], [])
+    # A condition that is not known stands between: no licence, and no other one either.
+    assert licences(plain[0].format("Every copy must carry a picture of a cat.\n", "X"))[0] == []
+    assert licences(plain[0].format("Thank you for reading.\n", "X"))[0] == ["BSD-2-Clause"]
+    assert licences(plain[0].format(plain[1].format("word " * 40), "X"))[0] == []
+    for text, name in (("MIT License\n\nCopyright (c) 2020 A", "MIT"), ("SPDX-License-Identifier: MIT", "MIT"), ("# SPDX-License-Identifier: LGPL-3.0-or-later\n", "LGPL-3.0-or-later"),
+                       ("Licensed under the MIT License (see LICENSE)", "MIT"), ("Licensed under the Apache-2.0 license.", "Apache-2.0"), ("Licensed under Apache-2.0", "Apache-2.0"),
+                       ("Creative Commons Attribution 4.0 International License", "CC-BY-4.0"), ("The Unlicense", "Unlicense"), ("CC0 1.0 Universal", "CC0-1.0"),
+                       ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, "
+                        "You can obtain one at http://mozilla.org/MPL/2.0/.", "MPL-2.0"), ("MIT License\n\n" + MIT, "MIT"),
+                       ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by "
+                        "the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", "LGPL-2.1-or-later")):
+        assert licences(text)[0] == [name], text
