@@ -59,6 +59,7 @@ FRESH_COLUMNS = ("l_orderkey as k", "l_linenumber as n", "l_partkey as p",
                  "case when l_quantity > 25 then 'A' else l_returnflag end as flag",
                  "case when l_returnflag <> 'N' then l_shipdate end as shipped")
 STORED = f"select {', '.join(STORED_COLUMNS)} from lineitem where l_quantity < 40"
+STORED_LINES = f"select {', '.join(STORED_COLUMNS)}, l_shipdate as newest from lineitem where l_quantity < 20"
 FRESH = f"select {', '.join(FRESH_COLUMNS)} from lineitem"
 SAME_KEY = "s.k = f.k and s.n = f.n"
 STRICT = "(s.flag <> f.flag or s.shipped <> f.shipped)"
@@ -95,6 +96,19 @@ def _(spark, sf_dir):
                        F.col("load_ts").isNotNull().alias("has_ts"))
 
 
+# Lines of an order as its versions: incoming rows against the one shipped last.
+_NEWEST = f"select * from ({STORED_LINES}) qualify row_number() over (partition by k order by newest desc, n desc) = 1"
+
+
+@check("insert_latest_changed", f"""
+select f.* from ({FRESH}) f left join ({_NEWEST}) s on s.k = f.k where s.k is null or {STRICT}""")
+def _(spark, sf_dir):
+    lineitem = table(spark, sf_dir, "lineitem")
+    fresh, stored = lineitem.selectExpr(*FRESH_COLUMNS), lineitem.where("l_quantity < 20").selectExpr(*STORED_COLUMNS, "l_shipdate as newest")
+    values = [F.col("flag"), F.col("shipped")]
+    return G.new_or_changed(fresh, stored, [F.col("k")], [F.col("k")], values, values, latest=[F.col("newest"), F.col("n")])
+
+
 @check("join_on_expression_keys", """
 select o_orderkey, c_name from (select o_orderkey, case when o_orderkey % 5 = 0 then '  ' || cast(o_custkey as varchar) || ' '
   when o_orderpriority = '5-LOW' then ' ' else cast(o_custkey as varchar) end as t from orders) o

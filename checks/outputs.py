@@ -217,6 +217,20 @@ def _(spark, sf_dir):
     return JD.objects_to_text(_landed_rows(spark, sf_dir))
 
 
+# One key that holds an object, a text or nothing.
+@check("json_mixed_objects", """
+select event_id, case when user_id % 3 = 0 then '{"type":"' || event_type || '","width":' || cast(user_id as varchar) || '}'
+                      when user_id % 3 = 1 then '"' || event_type || '"' end as multimedia from events""")
+def _(spark, sf_dir):
+    element = F.concat(F.lit('{"event_id":'), F.col("event_id"), F.lit(',"multimedia":'), F.expr(
+        """case when user_id % 3 = 0 then to_json(named_struct('type', event_type, 'width', user_id))
+                when user_id % 3 = 1 then concat('"', event_type, '"') else 'null' end"""), F.lit("}"))
+    # At most PER_DOCUMENT elements per group.
+    docs = table(spark, sf_dir, "events").groupBy(F.floor(F.col("event_id") / PER_DOCUMENT).alias("doc")).agg(
+        F.concat(F.lit('{"results":['), F.array_join(F.collect_list(element), ","), F.lit("]}")).alias("value"))
+    return JD.mixed_objects_to_text(JD.result_variants(docs))
+
+
 @check("json_landing", "select 'reviews' as path, 20240101 + floor(event_id / 500.0)::int % 28 as ds, event_id from events")
 def _(spark, sf_dir):
     root, docs = scratch_dir(spark, "landing"), _documents(spark, sf_dir)

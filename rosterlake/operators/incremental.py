@@ -52,6 +52,19 @@ def key_ranges(existing: DataFrame, keys: dict[str, Column], compare: dict[str,
     return existing.groupBy(*[e.alias(n) for n, e in keys.items()]).agg(*aggregates)
 
 
+def latest_versions(existing: DataFrame, keys: dict[str, Column], compare: dict[str, Column],
+                    version: Sequence[Column]) -> DataFrame:
+    """As ``key_ranges``, but of the greatest ``version`` of each key alone. Of rows that
+    tie in it the one with the greatest compared values, in their order and nulls least,
+    is the latest. One struct per key and task is shuffled, however many versions there are."""
+    names = list(compare)
+    kept = F.struct(*[v.alias(f"_version{i}") for i, v in enumerate(version)], *[compare[n].alias(n) for n in names])
+    latest = existing.groupBy(*[e.alias(n) for n, e in keys.items()]).agg(F.max(kept).alias("_latest"))
+    held = [F.col("_latest").getField(n) for n in names]
+    return latest.select(*keys, *[c for n, v in zip(names, held) for c in (
+        v.alias(f"_min_{n}"), v.alias(f"_max_{n}"), v.isNull().alias(f"_null_{n}"))])
+
+
 def _differs(value: Column, name: str, null_safe: bool) -> Column:
     low, high = F.col(f"_min_{name}"), F.col(f"_max_{name}")
     apart = F.coalesce((value != low) | (value != high), F.lit(False))
@@ -62,7 +75,7 @@ def _differs(value: Column, name: str, null_safe: bool) -> Column:
 
 
 def _against_history(incoming, existing, incoming_keys, existing_keys, incoming_values,
-                     existing_values, how, salt):
+                     existing_values, how, salt, latest):
     names = [f"_k{i}" for i in range(len(incoming_keys))]
     labels = [f"v{i}" for i in range(len(incoming_values))]
     left = incoming.select(
@@ -70,7 +83,8 @@ def _against_history(incoming, existing, incoming_keys, existing_keys, incoming_
         *[k.alias(n) for n, k in zip(names, incoming_keys)],
         *[v.alias(f"_{n}") for n, v in zip(labels, incoming_values)],
     )
-    ranges = key_ranges(existing, dict(zip(names, existing_keys)), dict(zip(labels, existing_values)))
+    stored = existing, dict(zip(names, existing_keys)), dict(zip(labels, existing_values))
+    ranges = latest_versions(*stored, latest) if latest else key_ranges(*stored)
     hot = hot_keys(left, names) if salt else None
     return unique_lookup_join(left, ranges.withColumn("_loaded", F.lit(True)), names, how, hot), labels
 
@@ -78,14 +92,15 @@ def _against_history(incoming, existing, incoming_keys, existing_keys, incoming_
 def changed_rows(incoming: DataFrame, existing: DataFrame, incoming_keys: Sequence[Column],
                  existing_keys: Sequence[Column], incoming_values: Sequence[Column],
                  existing_values: Sequence[Column], null_safe: bool = False,
-                 salt: bool = True) -> DataFrame:
-    """Incoming rows that differ from any loaded version of their key.
+                 salt: bool = True, latest: Sequence[Column] = ()) -> DataFrame:
+    """Incoming rows that differ from any loaded version of their key, or, where ``latest``
+    names the columns that order versions, from the latest one.
 
     By default a change from or to null goes unseen, as ``<>`` does not see it;
     ``null_safe`` counts it as a change.
     """
     rows, labels = _against_history(incoming, existing, incoming_keys, existing_keys,
-                                    incoming_values, existing_values, "inner", salt)
+                                    incoming_values, existing_values, "inner", salt, latest)
     changed = reduce(or_, [_differs(F.col(f"_{n}"), n, null_safe) for n in labels])
     return rows.where(changed).select(*incoming.columns)
 
@@ -93,10 +108,11 @@ def changed_rows(incoming: DataFrame, existing: DataFrame, incoming_keys: Sequen
 def new_or_changed(incoming: DataFrame, existing: DataFrame, incoming_keys: Sequence[Column],
                    existing_keys: Sequence[Column], incoming_values: Sequence[Column],
                    existing_values: Sequence[Column], null_safe: bool = False,
-                   salt: bool = True) -> DataFrame:
-    """Rows of an unknown key, and rows that differ from any loaded version of theirs."""
+                   salt: bool = True, latest: Sequence[Column] = ()) -> DataFrame:
+    """Rows of an unknown key, and rows that differ from any loaded version of theirs
+    (or from the latest, as in ``changed_rows``)."""
     rows, labels = _against_history(incoming, existing, incoming_keys, existing_keys,
-                                    incoming_values, existing_values, "left", salt)
+                                    incoming_values, existing_values, "left", salt, latest)
     changed = reduce(or_, [_differs(F.col(f"_{n}"), n, null_safe) for n in labels])
     return rows.where(F.col("_loaded").isNull() | changed).select(*incoming.columns)
 

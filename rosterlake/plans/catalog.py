@@ -47,6 +47,8 @@ class Entity:
     # Keys whose incoming text is compared as it came: padded text matches no stored key.
     raw_keys: tuple[str, ...] = ()
     compare: tuple[str, ...] = ()
+    # Whether a row is set against the latest stored version of its key alone, so that one that is in already stays out.
+    latest_only: bool = False
     enriched: bool = True
 
     @property

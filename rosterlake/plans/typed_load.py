@@ -30,7 +30,8 @@ def pending_rows(entity: Entity, rows: DataFrame, existing: DataFrame, salt: boo
     if entity.rule == NEW_ONLY:
         return new_rows(rows, existing, keys, stored, salt)
     values = [F.col(c) for c in entity.compare]
-    return new_or_changed(rows, existing, keys, stored, values, values, salt=salt)
+    latest = [F.col("load_ts"), F.col("load_id")] if entity.latest_only else ()
+    return new_or_changed(rows, existing, keys, stored, values, values, salt=salt, latest=latest)
 
 
 def build_rows(entity: Entity, feeds: Sequence[DataFrame], existing: DataFrame | None = None,

@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -33,10 +34,15 @@ def test_rules_equal_brute_force(spark, new, old):
     def ids(df):
         return sorted(r["i"] for r in df.collect())
 
+    def latest(r):
+        return max((s for s in enumerate(old) if s[1] in versions(r)), default=(0, None))[1]
+
+    newest = [i for i, r in enumerate(new) if latest(r) is None or unlike(r[1], latest(r)[1]) or unlike(r[2], latest(r)[2])]
     fresh = [i for i, r in enumerate(new) if not versions(r)]
     seen = [i for i, r in enumerate(new) if any(unlike(r[1], s[1]) or unlike(r[2], s[2]) for s in versions(r))]
     safe = [i for i, r in enumerate(new) if any(r[1:] != s[1:] for s in versions(r))]
     assert ids(G.new_rows(n, o, key, key)) == fresh
+    assert ids(G.new_or_changed(n, o, key, key, values, values, latest=[F.col("i")])) == newest
     assert ids(G.changed_rows(n, o, key, key, values, values)) == seen
     assert ids(G.changed_rows(n, o, key, key, values, values, null_safe=True)) == safe
     assert ids(G.new_or_changed(n, o, key, key, values, values)) == sorted(fresh + seen)
@@ -133,6 +139,12 @@ def test_membership_changes(spark):
     # With two versions stored, even the latest one differs from the other.
     both = v1.unionByName(v2)
     assert load(both, {**base, "join_type": "b"}).count() == 1
+    # Against the latest alone it is in already; the first version is a change again.
+    day = lambda n: F.lit(f"2021-01-0{n}").cast("timestamp")
+    versions = G.with_audit(v1, day(1)).unionByName(G.with_audit(v2, day(2)))
+    only = replace(entity, latest_only=True)
+    for join_type, n in (("b", 0), ("a", 1), ("c", 1)):
+        assert build_rows(only, [raw(spark, "list_membership", {**base, "join_type": join_type})], versions).count() == n
 
 
 def test_event_tables_append_and_drop_copies_within_a_batch(spark):

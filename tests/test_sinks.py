@@ -92,6 +92,16 @@ def test_objects_and_missing_keys(spark, tmp_path):
     assert dict(D.text_to_variant(text, ["m"]).dtypes)["m"] == "variant"
 
 
+def test_objects_mixed_with_text(spark):
+    rows = [{"a": 1, "m": {"x": 1}, "t": "p", "it's": [1], "b'\"": 3}, {"a": 2, "m": "x", "t": 5, "o": {"b": {"c": None}}}, {"m": None, "t": None, "o": None}, {"m": 7, "t": True, "o": {}}]
+    docs = spark.createDataFrame([(json.dumps({"results": rows[:2]}),), (json.dumps({"results": rows[2:]}),), (json.dumps({"results": []}),), (json.dumps({}),)], "value string")
+    text = D.mixed_objects_to_text(D.result_variants(docs))
+    assert dict(text.dtypes) == {"a": "bigint", "m": "string", "t": "string", "o": "string", "it's": "array<bigint>", "b'\"": "bigint"}
+    assert sorted(((r["a"], r["m"], r["t"], r["o"], r["it's"]) for r in text.collect()), key=repr) == sorted([
+        (1, '{"x":1}', "p", None, [1]), (2, '"x"', "5", '{"b":{"c":null}}', None), (None, None, None, None, None), (None, "7", "true", "{}", None)], key=repr)
+    assert D.mixed_objects_to_text(D.result_variants(docs.limit(0))).collect() == []
+
+
 def test_document_load(spark, tmp_path):
     landing, location = str(tmp_path / "landing"), str(tmp_path / "reviews")
     docs = spark.createDataFrame([("reviews", "20240101", document({"display_title": "One", "critics_pick": 1, "publication_date": "2024-01-01",
