@@ -7,16 +7,21 @@ from pyspark.sql import types as T
 
 from rosterlake.sinks import json_load as J
 from rosterlake.sinks.tables import create_if_missing, insert_by_name
-from rosterlake.sources.json_documents import objects_to_text, read_documents, result_rows
+from rosterlake.sources.json_documents import mixed_objects_to_text, objects_to_text, read_documents, result_rows, result_variants
 
 TABLES = {"critics": J.CRITICS, "reviews": J.REVIEWS}
 
 
 def load_path(spark: SparkSession, landing_root: str, path: str, ds: str, table: str, location: str,
-              schema: T.StructType | None = None) -> None:
-    """Appends the day's rows; a missing document or a text too long stops the load."""
+              schema: T.StructType | None = None, mixed: bool = False) -> None:
+    """Appends the day's rows; a missing document or a text too long stops the load.
+    Where a key may hold objects in some rows and text in others, ``mixed`` tells them apart,
+    for two more passes over the day's documents."""
     listed = TABLES[path]
     create_if_missing(spark, table, J.AUDIT + listed, location)
-    documents = read_documents(spark, f"{landing_root.rstrip('/')}/path={path}/ds={ds}", schema, multi_line=False)
-    rows = objects_to_text(result_rows(documents))
+    folder = f"{landing_root.rstrip('/')}/path={path}/ds={ds}"
+    if mixed:
+        rows = mixed_objects_to_text(result_variants(spark.read.text(folder)))
+    else:
+        rows = objects_to_text(result_rows(read_documents(spark, folder, schema, multi_line=False)))
     insert_by_name(J.with_identity(J.typed_documents(rows, listed)), table)

@@ -114,6 +114,11 @@ def test_document_load(spark, tmp_path):
     assert table.count() == 4 and table.select("id").distinct().count() == 4
     r = table.where("display_title = 'One'").head()
     assert (str(r["publication_date"]), r["multimedia"], r["byline"]) == ("2024-01-01", '{"src":"x"}', None)
+    mixed = document({"display_title": "Three", "critics_pick": 0, "multimedia": {"src": "y"}}, {"display_title": "Four", "multimedia": "none"})
+    J.land_documents(docs.withColumns({"ds": F.lit("20240103"), "value": F.lit(mixed)}), landing)
+    load_path(spark, landing, "reviews", "20240103", "reviews_test", location, mixed=True)
+    held = {r["display_title"]: (r["multimedia"], r["critics_pick"]) for r in spark.table("reviews_test").where("display_title in ('Three', 'Four')").collect()}
+    assert held == {"Three": ('{"src":"y"}', 0), "Four": ('"none"', None)}
     J.land_documents(docs.withColumn("value", F.lit(document({"display_title": "x" * 51}))), landing)
     with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
         load_path(spark, landing, "reviews", "20240101", "reviews_test", location)
