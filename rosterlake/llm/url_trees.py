@@ -79,8 +79,8 @@ class UrlTrees:
         self.rates, self.prior, self.margin = rates, prior, margin
 
     def with_rates(self, urls: DataFrame) -> DataFrame:
-        for name, rates in self.rates.items():  # at most TRAIN_ROWS suffixes each
-            urls = urls.join(F.broadcast(rates), name, "left").withColumns({
+        for name, rates in self.rates.items():  # as many suffixes as there are: Spark decides by size how to join
+            urls = urls.join(rates, name, "left").withColumns({
                 f"{name}_rate": F.coalesce(f"{name}_rate", F.lit(self.prior)), f"{name}_rows": F.coalesce(f"{name}_rows", F.lit(0.0))})
         return urls
 
@@ -107,15 +107,17 @@ def compiled(text: str, names: list[str]) -> Column:
 
 
 def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS, trees: int = TREES, depth: int = DEPTH) -> UrlTrees:
-    """Trees from ``labelled(url, host, path, allowed)``: at most ``train_rows`` distinct URLs, the first in hash order."""
-    distinct = labelled.where("url is not null and allowed is not null").groupBy("url", "host", "path").agg(F.avg(F.col("allowed").cast("double")).alias("share"))
-    sample = written(lexical(distinct.orderBy(F.md5("url"), "url").limit(train_rows)).withColumn("label", (F.col("share") >= 0.5).cast("double")), "labelled-urls")
-    share = sample.agg(F.avg("label")).first()[0]
+    """Trees from ``labelled(url, host, path, allowed)``: grown on at most ``train_rows`` distinct URLs, the first in hash order."""
+    urls = labelled.where("url is not null and allowed is not null").groupBy("url", "host", "path").agg(F.avg(F.col("allowed").cast("double")).alias("share"))
+    distinct = written(urls.select("url", "host", "path", (F.col("share") >= 0.5).cast("double").alias("label")), "labelled-urls")
+    share = distinct.agg(F.avg("label")).first()[0]
     if share in (None, 0.0, 1.0):
         return UrlTrees({}, 1.0 if share is None else share, None)
-    rates = {s: written(sample.groupBy(s).agg(
+    # Suffixes are counted over all labelled URLs; only the rows that the trees grow on are a sample.
+    rates = {s: written(distinct.select("label", F.expr(e).alias(s)).groupBy(s).agg(
         ((F.sum("label") + PRIOR_ROWS * share) / (F.count("*") + PRIOR_ROWS)).alias(f"{s}_rate"), F.count("*").cast("double").alias(f"{s}_rows")), "rates")
-        for s in SUFFIXES}
+        for s, e in SUFFIXES.items()}
+    sample = written(lexical(distinct.orderBy(F.md5("url"), "url").limit(train_rows)), "sampled-urls")
     model = UrlTrees(rates, share, None)
     rows = VectorAssembler(inputCols=_names(), outputCol="features").transform(model.with_rates(sample)).select("features", "label").coalesce(2).cache()
     boosted = GBTClassifier(maxIter=trees, maxDepth=depth, seed=SEED, stepSize=0.3).fit(rows)

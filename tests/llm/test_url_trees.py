@@ -72,3 +72,11 @@ def test_trained_trees_learn_the_labels_and_compile_exactly(spark):
     margin = sum(F.lit(float(w)) * U.compiled(t.toDebugString, ["a", "b"]) for t, w in zip(trees.trees, trees.treeWeights))
     for r in trees.transform(made).select("rawPrediction", margin.alias("m")).distinct().collect():
         assert r.rawPrediction[1] == pytest.approx(r.m)
+
+
+def test_suffixes_are_counted_over_all_labelled_urls(spark):
+    rows = [(f"http://h{i}.{'com' if i % 3 else 'net'}/a{i}.{'html' if i % 2 else 'php'}", bool(i % 3)) for i in range(120)]
+    urls = U.host_and_path(spark.createDataFrame(rows + rows[:7], "url string, allowed boolean"))
+    model = U.train(urls, train_rows=10)
+    assert {r["top"]: r["top_rows"] for r in model.rates["top"].collect()} == {"com": 80.0, "net": 40.0}
+    assert {r["extension"]: r["extension_rows"] for r in model.rates["extension"].collect()} == {"html": 60.0, "php": 60.0}
