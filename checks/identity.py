@@ -1,4 +1,4 @@
-"""Crosswalk steps and the whole crosswalk, against joins spelled out in plain SQL."""
+"""Crosswalk steps and the whole crosswalk, against one list of candidates in plain SQL."""
 
 from __future__ import annotations
 
@@ -10,38 +10,56 @@ from rosterlake.operators import identity as I
 
 _PREFIX = "case when contains(subscriber_key, '_') then split_part(subscriber_key, '_', 1) end"
 
-# Every combination of subscriber and lookup rows, which the library never builds.
-COMBINATIONS = f"""
+# What the lookups know, as lists: ids of the CRM, program keys by account, and one list of
+# people in which ``turn`` says how late a source is asked.
+LISTS = f"""
 with {lookup_ctes()},
-subs as (select distinct subscriber_key, subscriber_id, {_PREFIX} as possible_pim from subscribers_ods),
+subs as (select distinct subscriber_key, subscriber_id, {_PREFIX} as prefix from subscribers_ods),
 crm as (
-  select s.*, c.id as contact_hit, a.id as account_hit, coalesce(c.account_id, a.id) as account_id
-  from subs s left join contacts c on c.id = s.subscriber_key
-              left join accounts a on a.id = s.subscriber_key),
-enr as (
-  select crm.*, e.hit as enrollee_hit, e.clean_key, coalesce(e.clean_key, crm.possible_pim) as lookup_key,
-         crm.contact_hit is null and crm.account_hit is null as outside_crm
-  from crm left join (select coalesce(account_id, alt_account_id) as acc, nullif(trim(source_key), '') as clean_key, 1 as hit
-                      from enrollees) e
-    on e.acc = crm.account_id and not (crm.contact_hit is null and crm.account_hit is null)),
-found as (
-  select enr.*, p1.person_id as a1, p1.demographic_id as b1, p2.person_id as a2, p2.demographic_id as b2,
-         k1.person_id as a3, k1.demographic_id as b3, k2.person_id as a4, k2.demographic_id as b4,
-         k3.person_id as a5, k3.demographic_id as b5, k4.person_id as a6, k4.demographic_id as b6
-  from enr
-  left join pim_open p1 on p1.key_label = 'pim_id' and p1.source_key = lookup_key
-  left join pim_restricted p2 on p2.key_label = 'pim_id' and p2.source_key = lookup_key
-  left join crm_open k1 on k1.key_label = 'candidate_id' and k1.source_key = subscriber_key and outside_crm
-  left join crm_restricted k2 on k2.key_label = 'candidate_id' and k2.source_key = subscriber_key and outside_crm
-  left join crm_open k3 on k3.key_label = 'candidate_id' and k3.source_key = possible_pim and outside_crm
-  left join crm_restricted k4 on k4.key_label = 'candidate_id' and k4.source_key = possible_pim and outside_crm)
+  select id as crm_key, coalesce(account_id, case when exists (from accounts a where a.id = c.id) then id end) as account_id
+  from contacts c
+  union
+  select id, id from accounts a where not exists (from contacts c where c.id = a.id)),
+programs as (
+  select coalesce(account_id, alt_account_id) as account_id, nullif(trim(source_key), '') as clean_key from enrollees),
+places as (
+  select distinct subscriber_key, prefix, account_id, crm_key is not null as in_crm
+  from subs left join crm on crm_key = subscriber_key),
+reach as (
+  select distinct p.*, e.account_id is not null as enrolled, clean_key, coalesce(clean_key, prefix) as lookup_key
+  from places p left join programs e on in_crm and e.account_id = p.account_id),
+people as (
+  select 1 as turn, * from pim_open where key_label = 'pim_id' union all
+  select 2, * from pim_restricted where key_label = 'pim_id' union all
+  select unnest([3, 5]), * from crm_open where key_label = 'candidate_id' union all
+  select unnest([4, 6]), * from crm_restricted where key_label = 'candidate_id')
 """
-CROSSWALK = COMBINATIONS + """, crosswalk as (
-  select subscriber_key, subscriber_id, possible_pim, account_id,
-         cast(max(coalesce(a1, a2, a3, a4, a5, a6, -1)) as bigint) as person_id,
-         cast(max(coalesce(b1, b2, b3, b4, b5, b6, -1)) as bigint) as demographic_id,
-         cast(max(case when a2 is not null or a4 is not null or a6 is not null then 1 else 0 end) as int) as is_restricted
-  from found group by all)
+# Per place and turn the greatest id offered and whether none may be; a turn counts if every
+# earlier one may offer none, and the last offers the unknown person to all.
+CROSSWALK = LISTS + """, questions as (
+  select subscriber_key, account_id, lookup_key, unnest([1, 2]) as turn, lookup_key as asked from reach union all
+  select subscriber_key, account_id, lookup_key, unnest([3, 4]), subscriber_key from reach where not in_crm union all
+  select subscriber_key, account_id, lookup_key, unnest([5, 6]), prefix from reach where not in_crm),
+offers as (
+  select subscriber_key, account_id, lookup_key, q.turn,
+         max(person_id) as person, bool_or(person_id is null) as no_person,
+         max(demographic_id) as demographic, bool_or(demographic_id is null) as no_demographic
+  from questions q left join people p on p.turn = q.turn and p.source_key = asked group by all
+  union all select distinct subscriber_key, account_id, lookup_key, 7, -1, true, -1, true from reach),
+counted as (
+  select *, coalesce(bool_and(no_person) over earlier, true) as person_counts,
+         coalesce(bool_and(no_demographic) over earlier, true) as demographic_counts
+  from offers window earlier as (partition by subscriber_key, account_id, lookup_key order by turn
+                                 rows between unbounded preceding and 1 preceding)),
+resolved as (
+  select subscriber_key, account_id, max(person) filter (person_counts) as person,
+         max(demographic) filter (demographic_counts) as demographic,
+         bool_or(turn in (2, 4, 6) and person is not null) as restricted
+  from counted group by all),
+crosswalk as (
+  select s.subscriber_key, subscriber_id, prefix as possible_pim, account_id, cast(person as bigint) as person_id,
+         cast(demographic as bigint) as demographic_id, cast(restricted as int) as is_restricted
+  from subs s join resolved r on r.subscriber_key is not distinct from s.subscriber_key)
 """
 
 
@@ -58,7 +76,7 @@ def _accounts_of_keys(spark, sf_dir):
                          lookup(spark, sf_dir, "accounts"))
 
 
-@check("xw_subscriber_keys", COMBINATIONS + "select * from subs")
+@check("xw_subscriber_keys", LISTS + "select subscriber_key, subscriber_id, prefix as possible_pim from subs")
 def _(spark, sf_dir):
     return I.subscriber_keys(lookup(spark, sf_dir, "subscribers_ods"))
 
@@ -75,7 +93,7 @@ def _(spark, sf_dir):
     return rows.withColumn("prefix", I.key_prefix("lookup_key"))
 
 
-@check("xw_contact_match", COMBINATIONS + """
+@check("xw_contact_match", LISTS + """
 select distinct k.subscriber_key, c.id as contact_id, c.account_id as contact_account_id
 from (select distinct subscriber_key from subs where subscriber_key is not null) k
 left join contacts c on c.id = k.subscriber_key""")
@@ -83,7 +101,7 @@ def _(spark, sf_dir):
     return I.contact_match(_keys(spark, sf_dir), lookup(spark, sf_dir, "contacts"))
 
 
-@check("xw_account_match", COMBINATIONS + """
+@check("xw_account_match", LISTS + """
 select distinct k.subscriber_key, a.id as matched_account_id
 from (select distinct subscriber_key from subs where subscriber_key is not null) k
 left join accounts a on a.id = k.subscriber_key""")
@@ -91,32 +109,38 @@ def _(spark, sf_dir):
     return I.account_match(_keys(spark, sf_dir), lookup(spark, sf_dir, "accounts"))
 
 
-@check("xw_account_id", COMBINATIONS + """
-select subscriber_key, account_id, bool_or(contact_hit is not null or account_hit is not null) as in_crm
-from crm where subscriber_key is not null group by subscriber_key, account_id""")
+@check("xw_account_id", LISTS + """
+select subscriber_key, account_id, in_crm from places where subscriber_key is not null""")
 def _(spark, sf_dir):
     return _accounts_of_keys(spark, sf_dir)
 
 
-@check("xw_enrollee_match", COMBINATIONS + """
-select subscriber_key, account_id, not bool_and(outside_crm) as in_crm,
-       case when max(enrollee_hit) = 1 then count(distinct clean_key) end as enrollee_keys,
-       case when max(enrollee_hit) = 1 then bool_or(clean_key is null) end as keyless
-from enr where subscriber_key is not null group by subscriber_key, account_id""")
+@check("xw_enrollee_match", LISTS + """
+select subscriber_key, account_id, bool_or(in_crm) as in_crm,
+       case when bool_or(enrolled) then count(distinct clean_key) end as enrollee_keys,
+       case when bool_or(enrolled) then bool_or(clean_key is null) end as keyless
+from reach where subscriber_key is not null group by subscriber_key, account_id""")
 def _(spark, sf_dir):
     return I.enrollee_match(_accounts_of_keys(spark, sf_dir), lookup(spark, sf_dir, "enrollees"),
                             I.hot_keys(lookup(spark, sf_dir, "contacts"), ["account_id"]))
 
 
-def _source(keys_sql: str, people: str, label: str) -> str:
-    return COMBINATIONS + f"""
+def _source(keys_sql: str, turn: int) -> str:
+    return LISTS + f"""
 select k.lookup_key, max(p.person_id) as person_id, max(p.demographic_id) as demographic_id
-from ({keys_sql}) k left join {people} p on p.source_key = k.lookup_key and p.key_label = '{label}'
+from ({keys_sql}) k left join people p on p.source_key = k.lookup_key and p.turn = {turn}
 group by k.lookup_key"""
 
 
-_PIM_KEYS = "select distinct lookup_key from enr where lookup_key is not null"
-_OUTSIDE = "select distinct {} as lookup_key from enr where outside_crm and {} is not null"
+def _people(keys, opened, restricted, label):
+    """The index the crosswalk looks persons up in, here of one table alone."""
+    index = I.person_index(opened, restricted, label)
+    found = I.unique_lookup_join(keys, index, ["lookup_key"], "left")
+    return found.select("lookup_key", *[F.col(f"best_{i}").alias(i) for i in I.IDS])
+
+
+_PIM_KEYS = "select distinct lookup_key from reach where lookup_key is not null"
+_OUTSIDE = "select distinct {0} as lookup_key from reach where not in_crm and {0} is not null"
 
 
 def _pim_keys(spark, sf_dir):
@@ -135,21 +159,25 @@ def _outside(spark, sf_dir, key):
     return (rows.select(key.alias("lookup_key")).where(F.col("lookup_key").isNotNull()).distinct())
 
 
-for _name, _people in (("xw_pim_open", "pim_open"), ("xw_pim_restricted", "pim_restricted")):
-    check(_name, _source(_PIM_KEYS, _people, I.ENROLLEE_LABEL))(
-        lambda spark, sf_dir, people=_people: I.source_lookup(
-            _pim_keys(spark, sf_dir), lookup(spark, sf_dir, people), I.ENROLLEE_LABEL))
-
-for _name, _people, _column in (
-        ("xw_candidate_open", "crm_open", "subscriber_key"),
-        ("xw_candidate_restricted", "crm_restricted", "subscriber_key"),
-        ("xw_candidate_prefix_open", "crm_open", "possible_pim"),
-        ("xw_candidate_prefix_restricted", "crm_restricted", "possible_pim")):
-    check(_name, _source(_OUTSIDE.format(_column, _column), _people, I.CANDIDATE_LABEL))(
-        lambda spark, sf_dir, people=_people, column=_column: I.source_lookup(
-            _outside(spark, sf_dir, F.col("subscriber_key") if column == "subscriber_key"
-                     else I.key_prefix("subscriber_key")),
-            lookup(spark, sf_dir, people), I.CANDIDATE_LABEL))
+def _one_table(spark, sf_dir, keys, people, label):
+    rows = lookup(spark, sf_dir, people)
+    sides = (rows, rows.where("false")) if people.endswith("_open") else (rows.where("false"), rows)
+    return _people(keys, *sides, label)
+
+
+for _turn, _name, _table in ((1, "xw_pim_open", "pim_open"), (2, "xw_pim_restricted", "pim_restricted")):
+    check(_name, _source(_PIM_KEYS, _turn))(
+        lambda spark, sf_dir, people=_table: _one_table(spark, sf_dir, _pim_keys(spark, sf_dir), people, I.ENROLLEE_LABEL))
+
+for _turn, _name, _table, _column in (
+        (3, "xw_candidate_open", "crm_open", "subscriber_key"),
+        (4, "xw_candidate_restricted", "crm_restricted", "subscriber_key"),
+        (5, "xw_candidate_prefix_open", "crm_open", "prefix"),
+        (6, "xw_candidate_prefix_restricted", "crm_restricted", "prefix")):
+    check(_name, _source(_OUTSIDE.format(_column), _turn))(
+        lambda spark, sf_dir, people=_table, column=_column: _one_table(
+            spark, sf_dir, _outside(spark, sf_dir, F.col(column) if column == "subscriber_key"
+                                    else I.key_prefix("subscriber_key")), people, I.CANDIDATE_LABEL))
 
 
 def _resolved(spark, sf_dir):

@@ -119,16 +119,6 @@ def enrollee_match(accounts_of_keys: DataFrame, enrollees: DataFrame,
 
 # ---------------------------------------------------------------- person tables
 
-def source_lookup(keys: DataFrame, people: DataFrame, label: str) -> DataFrame:
-    """Greatest person and demographic id per lookup key in one person table."""
-    best = (
-        people.where((F.col("key_label") == label) & F.col("source_key").isNotNull())
-        .groupBy(F.col("source_key").alias("lookup_key"))
-        .agg(*[F.max(i).alias(i) for i in IDS])
-    )
-    return unique_lookup_join(keys, best, ["lookup_key"], "left")
-
-
 def _pair(i: str) -> list[Column]:
     """best and gap of "open, else restricted" for one id."""
     best, gap = {}, {}
