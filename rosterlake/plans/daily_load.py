@@ -2,10 +2,11 @@
 crosswalk -> staged tables -> published tables.
 
 Every stage is written before the next one reads it, and no file a reader may hold is
-overwritten: text and staged tables and the crosswalk get a folder per attempt, typed
-tables a partition per run that a repeated run replaces. So a run can be started again after a loss at any
-point, publishing moves a pointer, and a snapshot is a name for files that already are
-there. None of them copies a table.
+overwritten: text tables and the crosswalk get a folder per attempt, typed tables a
+partition per run that a repeated run replaces, and staged tables new pieces for what
+changed (``staged_load``). So a run can be started again after a loss at any point,
+publishing moves a pointer, and a snapshot is a name for files that already are there.
+None of them copies a table.
 """
 
 from __future__ import annotations
@@ -20,11 +21,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterlake.operators.enrich import enrich
-from rosterlake.operators.identity import identities_by_key, identity_crosswalk
+from rosterlake.operators.changes import changed_keys
+from rosterlake.operators.identity import IDS, identities_by_key, identity_crosswalk
 from rosterlake.operators.incremental import with_audit
-from rosterlake.operators.skew import hot_keys
 from rosterlake.plans.catalog import ENTITIES, Entity
+from rosterlake.plans.staged_load import PIECES, load_pieces, staged_query
 from rosterlake.plans.typed_load import build_rows
 from rosterlake.schema import columns
 from rosterlake.sinks import tables
@@ -37,6 +38,7 @@ from rosterlake.sources.manifest import list_files, not_yet_processed
 
 RUN = "load_run"
 CROSSWALK = "crosswalk"
+BY_KEY = columns("subscriber_key string, person_id bigint, demographic_id bigint, is_restricted int, copies bigint")
 LANDED = columns("archive string, member string, record_no bigint, record string, feed string, file_stem string")
 
 
@@ -169,26 +171,51 @@ def load_typed(spark: SparkSession, house: Warehouse, runs: list[str], run_id: s
     tables.replace_partition(rows, house.path("typed", entity.name), RUN, run_id)
 
 
+def by_key(spark: SparkSession, house: Warehouse, version: str | None) -> DataFrame:
+    """The key lookup of a version; without one it has no rows."""
+    if version is None:
+        return spark.createDataFrame([], BY_KEY)
+    return spark.read.schema(BY_KEY).parquet(house.path("identity", "by_key", version))
+
+
 def load_crosswalk(spark: SparkSession, house: Warehouse, runs: list[str], version: str,
-                   lookups: dict[str, DataFrame]) -> None:
-    """From the whole history of subscribers, in a folder per attempt. The key lookup is kept
-    beside the crosswalk, for fifteen tables are enriched from it."""
+                   lookups: dict[str, DataFrame], last: str | None = None) -> None:
+    """From the whole history of subscribers, in a folder per attempt. Beside the crosswalk
+    are kept the key lookup, for fifteen tables are enriched from it, and the keys that it
+    changes against the ``last`` version."""
     subscribers = typed_table(spark, house, ENTITIES["subscribers"], runs)
     tables.overwrite(identity_crosswalk(subscribers, **lookups), house.path("identity", CROSSWALK, version))
     crosswalk = spark.read.parquet(house.path("identity", CROSSWALK, version))
     tables.overwrite(identities_by_key(crosswalk), house.path("identity", "by_key", version))
+    changed = changed_keys(by_key(spark, house, last), by_key(spark, house, version))
+    tables.overwrite(changed, house.path("identity", "changed", version))
+
+
+def load_staged(spark: SparkSession, house: Warehouse, runs: dict[str, str], version: str, entity: Entity,
+                last: str | None = None) -> None:
+    """The pieces that differ from the ``last`` version. ``runs`` are the finished ones and
+    this, each with the version that loaded it."""
+    typed = read_or_empty(spark, house.path("typed", entity.name), typed_schema(entity))
+    pieces = spark.createDataFrame([], PIECES)
+    if last is not None:
+        pieces = read_or_empty(spark, house.path("pieces", entity.name, last), PIECES)
+    identities = changed = None
+    if entity.enriched:
+        identities = by_key(spark, house, version)
+        changed = spark.read.schema("subscriber_key string").parquet(house.path("identity", "changed", version))
+    load_pieces(typed, pieces, runs, version, house.path("staged", entity.name),
+                house.path("pieces", entity.name, version), identities, changed)
 
 
-def load_staged(spark: SparkSession, house: Warehouse, runs: list[str], version: str, entity: Entity) -> None:
-    rows = typed_table(spark, house, entity, runs)
-    if entity.enriched:
-        identities = spark.read.parquet(house.path("identity", "by_key", version))
-        rows = enrich(rows, identities, hot_keys(rows, ["subscriber_key"]))
-    tables.overwrite(rows, house.path("staged", entity.name, version))
+def staged_view(house: Warehouse, entity: Entity, version: str) -> str:
+    """The staged rows of a version as SQL."""
+    person = [*IDS, "is_restricted"] if entity.enriched else []
+    return staged_query([*person, *entity.schema().names], house.path("staged", entity.name),
+                        house.path("pieces", entity.name, version))
 
 
 def publish_staged(spark: SparkSession, house: Warehouse, version: str, entity: Entity) -> None:
-    tables.point_at(spark, f"{house.database}.{entity.name}", house.path("staged", entity.name, version))
+    tables.show_as(spark, f"{house.database}.{entity.name}", staged_view(house, entity, version))
 
 
 def publish_crosswalk(spark: SparkSession, house: Warehouse, version: str) -> None:
@@ -207,6 +234,12 @@ def runs_until(spark: SparkSession, house: Warehouse, run_id: str) -> list[str]:
     return sorted(r["pipeline"] for r in rows)
 
 
+def run_versions(spark: SparkSession, house: Warehouse, runs: list[str]) -> dict[str, str]:
+    """The version that loaded each run; a repeated run has that of its last repeat."""
+    rows = finished_runs(spark, house).select("pipeline", "version").collect()
+    return {r["pipeline"]: r["version"] for r in rows if r["pipeline"] in runs}
+
+
 def previous_run(spark: SparkSession, house: Warehouse, run_id: str) -> tuple[str, str] | None:
     """(run_id, version) of the last finished run before this one; run ids sort by time."""
     last = finished_runs(spark, house).where(F.col("pipeline") < run_id).agg(
@@ -227,7 +260,7 @@ def snapshot_layers(spark: SparkSession, house: Warehouse, run_id: str, run_date
     tables.point_at(spark, f"{house.archive}.final_{CROSSWALK}_{day}", house.path("identity", CROSSWALK, last[1]))
     for e in ENTITIES.values():
         tables.point_at(spark, f"{house.archive}.text_{e.name}_{day}", house.path("text", e.name, last[1]))
-        tables.point_at(spark, f"{house.archive}.final_{e.name}_{day}", house.path("staged", e.name, last[1]))
+        tables.show_as(spark, f"{house.archive}.final_{e.name}_{day}", staged_view(house, e, last[1]))
         listed = ", ".join(e.schema().names)
         spark.sql(f"CREATE OR REPLACE VIEW {house.archive}.typed_{e.name}_{day} AS SELECT {listed} "
                   f"FROM parquet.`{house.path('typed', e.name)}` WHERE cast({RUN} as string) IN ({finished})")
@@ -252,8 +285,11 @@ def run_day(spark: SparkSession, drop_root: str, house: Warehouse, lookups: dict
     taken = land_archives(spark, drop_root, house, before, run_id, dialect)
     for_each(lambda e: load_text(spark, house, run_id, version, e, dialect, max_bad_rows), at_once)
     for_each(lambda e: load_typed(spark, house, before, run_id, version, e), at_once)
-    load_crosswalk(spark, house, [*before, run_id], version, lookups)
-    for_each(lambda e: load_staged(spark, house, [*before, run_id], version, e), at_once)
+    last = previous_run(spark, house, run_id)
+    last_version = None if last is None else last[1]
+    load_crosswalk(spark, house, [*before, run_id], version, lookups, last_version)
+    held = {**run_versions(spark, house, before), run_id: version}
+    for_each(lambda e: load_staged(spark, house, held, version, e, last_version), at_once)
     for_each(lambda e: publish_staged(spark, house, version, e), at_once)
     publish_crosswalk(spark, house, version)
     # The run's own entry comes last: until it is there, nothing above counts.

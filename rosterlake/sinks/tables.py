@@ -68,6 +68,15 @@ def point_at(spark: SparkSession, table: str, location: str) -> None:
         spark.catalog.createTable(table, path=location, source="parquet", schema=schema)
 
 
+def show_as(spark: SparkSession, name: str, query: str) -> None:
+    """Makes a name stand for a query, whatever columns it had before. The switch is one
+    catalog call, so readers find the old rows or the new ones; only a table that still has
+    the name goes first."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+
+
 def publish(rows: DataFrame, table: str, root: str, version: str) -> None:
     """Writes a new version beside the old one and then points the table at it, so a run
     that dies midway leaves the old rows in place."""

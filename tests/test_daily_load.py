@@ -72,7 +72,13 @@ def test_two_days(spark, tmp_path, rows):
 
     # One feed is missing: it adds nothing, the others do.
     drop(tmp_path / "in", "20210103", day_two, feeds=("all_bu", "level2"))
+    # The second key has become a contact: its rows of the first day follow.
+    lookups["contacts"] = spark.createDataFrame([("k1", "acc"), ("k2", "acc")], "id string, account_id string")
     P.run_day(spark, str(tmp_path / "in"), house, lookups, "20210104", "2021-01-04")
+    for name in ("clicks", "opens", "list_membership", "subscribers"):
+        persons = spark.table(f"daily_test.{name}").select("person_id", "is_restricted").distinct()
+        assert rows(persons) == [(11, 1)], name
+    assert rows(spark.table("daily_test_archive.final_clicks_20210103"), "person_id", "subscriber_key") == [(-1, "k2"), (11, "k1")]
     assert spark.table("daily_test.clicks").count() == 3       # events append
     assert spark.table("daily_test.lists").count() == 2        # known keys do not
     assert spark.table("daily_test.list_membership").count() == 3   # a changed one does
