@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import zipfile
 from collections.abc import Iterator
 
@@ -18,6 +17,7 @@ from rosterlake.plans.catalog import ALL_FEEDS, ENTITIES
 from rosterlake.session import scratch_dir
 from rosterlake.sources import archive as A
 from rosterlake.sources import delimited as D
+from rosterlake.sources import zip_source as Z
 from rosterlake.sources.feeds import feed_counts, landed_files, read_landed
 from rosterlake.sources.quoted_lines import read_files
 
@@ -31,27 +31,33 @@ def _quoted(c: str):
 
 
 def zipped_turns(spark, sf_dir):
-    """Conversation turns as zip archives of bounded size, as binaryFile would hand them over."""
+    """A folder with the conversation turns as zip archives of bounded size, written by the tasks
+    that read them; a repeated task writes the same files again."""
+    root = scratch_dir(spark, "zipped_turns")
+    opened = Z.opened
+
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, task = 0, TaskContext.get().partitionId()
         for batch in batches:
             for start in range(0, len(batch), TURNS_PER_ARCHIVE):
                 part = batch.iloc[start:start + TURNS_PER_ARCHIVE]
-                buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+                system, folder = opened(f"{root}/{task}-{n // 10_000}")
+                system.create_dir(folder, recursive=True)
+                with system.open_output_stream(f"{folder}/drop_level2_2024{n % 10_000:04d}.zip") as out, \
+                        zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
                     z.writestr("readme.txt", "not taken")
                     z.writestr("Turns.csv", "\n".join(["conv_id|turn|role|text", *part["line"]]) + "\n")
-                path = f"in/{task}-{n // 10_000}/drop_level2_2024{n % 10_000:04d}.zip"
                 n += 1
-                yield pd.DataFrame({"path": [path], "content": [buffer.getvalue()]})
+        yield pd.DataFrame({"archives": [n]})
     lines = table(spark, sf_dir, "conversations").select(
         F.concat_ws("|", F.col("conv_id").cast("string"), F.col("turn").cast("string"), "role", _quoted("text")).alias("line"))
-    return lines.mapInPandas(pack, "path string, content binary")
+    lines.mapInPandas(pack, "archives bigint").write.mode("overwrite").format("noop").save()
+    return root
 
 
 @check("ingest_zip_members", "select 'level2' as feed, 'turns' as file_stem, conv_id, turn, role, text from conversations")
 def _(spark, sf_dir):
-    records = A.with_feed(A.expand_archives(zipped_turns(spark, sf_dir))).where("record_no > 0")
+    records = A.with_feed(Z.read_zip_records(spark, zipped_turns(spark, sf_dir))).where("record_no > 0")
     rows = D.parse_records(records, "record", TURNS)
     return D.accepted_rows(rows).select("feed", "file_stem", F.col("conv_id").cast("bigint"),
                                         F.col("turn").cast("bigint"), "role", "text")

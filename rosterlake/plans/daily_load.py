@@ -35,6 +35,7 @@ from rosterlake.sources.delimited import (BAD, MAX_BAD_ROWS, SHORT, STATUS, Dial
                                           rejected_rows, require_few_bad_rows)
 from rosterlake.sources.dictionary import dictionary_from_headers
 from rosterlake.sources.manifest import list_files, not_yet_processed
+from rosterlake.sources.zip_source import read_zip_records
 
 RUN = "load_run"
 CROSSWALK = "crosswalk"
@@ -83,16 +84,19 @@ def typed_as_of(spark: SparkSession, house: Warehouse, entity: Entity, run_id: s
 # ---------------------------------------------------------------- landing
 
 def land_archives(spark: SparkSession, drop_root: str, house: Warehouse, runs: list[str], run_id: str,
-                  dialect: Dialect = Dialect()) -> DataFrame:
+                  dialect: Dialect = Dialect(), by_range: bool = True) -> DataFrame:
     """Records of the archives no finished run took, written once; (path) of those archives.
 
-    Paths alone are set against the ledger; only then are the files opened.
+    Paths alone are set against the ledger; only then are the files opened: by range, or,
+    where only Spark's readers reach them, whole.
     """
     ledger = read_or_empty(spark, house.path("ledger", "files"), columns("path string, run_date string"))
     fresh = not_yet_processed(list_files(spark, drop_root, "*.zip"), ledger.where(F.col("run_date").isin(*runs)))
     paths = [r["path"] for r in fresh.select("path").collect()]
     taken = spark.createDataFrame([(p,) for p in paths], "path string")
-    if paths:
+    if paths and by_range:
+        records = zips.with_feed(read_zip_records(spark, paths, sep=dialect.sep, quote=dialect.quote))
+    elif paths:
         records = zips.with_feed(zips.expand_archives(zips.read_archives(spark, paths), sep=dialect.sep, quote=dialect.quote))
     else:
         records = spark.createDataFrame([], LANDED)
@@ -276,13 +280,14 @@ def for_each(step: Callable[[Entity], None], at_once: int) -> None:
 
 def run_day(spark: SparkSession, drop_root: str, house: Warehouse, lookups: dict[str, DataFrame],
             run_id: str, run_date: str, dialect: Dialect = Dialect(), snapshots: bool = True,
-            at_once: int = 4, max_bad_rows: int = MAX_BAD_ROWS) -> None:
-    """``lookups``: contacts, accounts, enrollees and the four person tables."""
+            at_once: int = 4, max_bad_rows: int = MAX_BAD_ROWS, by_range: bool = True) -> None:
+    """``lookups``: contacts, accounts, enrollees and the four person tables. ``by_range``: see
+    ``land_archives``."""
     version = f"{run_id}-{uuid.uuid4().hex[:8]}"
     if snapshots:
         snapshot_layers(spark, house, run_id, run_date)
     before = [r for r in runs_until(spark, house, run_id) if r != run_id]
-    taken = land_archives(spark, drop_root, house, before, run_id, dialect)
+    taken = land_archives(spark, drop_root, house, before, run_id, dialect, by_range)
     for_each(lambda e: load_text(spark, house, run_id, version, e, dialect, max_bad_rows), at_once)
     for_each(lambda e: load_typed(spark, house, before, run_id, version, e), at_once)
     last = previous_run(spark, house, run_id)

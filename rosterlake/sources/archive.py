@@ -8,7 +8,7 @@ import struct
 import sys
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -94,22 +94,29 @@ def packed_members(path: str, content: bytes, extension: str) -> Iterator[tuple]
 
 
 class Unpacked(io.RawIOBase):
-    """A packed member as a stream; reading its end checks its checksum."""
+    """A packed member, given in chunks, as a stream; reading its end checks its checksum."""
 
-    def __init__(self, name: str, method: int, crc: int, packed: bytes):
+    def __init__(self, name: str, method: int, crc: int, packed: Iterable[bytes]):
         self._name, self._crc, self._seen = name, crc, 0
-        self._rest = packed
+        self._packed, self._rest = iter(packed), b""
         self._inflate = zlib.decompressobj(-zlib.MAX_WBITS) if method == zipfile.ZIP_DEFLATED else None
 
     def readable(self) -> bool:
         return True
 
-    def readinto(self, buffer) -> int:
+    def _some(self, most: int) -> bytes:
         if self._inflate is None:
-            data, self._rest = self._rest[:len(buffer)], self._rest[len(buffer):]
+            data, self._rest = self._rest[:most], self._rest[most:]
         else:
-            data = self._inflate.decompress(self._rest, len(buffer))
+            data = self._inflate.decompress(self._rest, most)
             self._rest = self._inflate.unconsumed_tail
+        return data
+
+    def readinto(self, buffer) -> int:
+        data = self._some(len(buffer))
+        while not data and (chunk := next(self._packed, b"")):
+            self._rest += chunk
+            data = self._some(len(buffer))
         buffer[:len(data)] = data
         self._seen = zlib.crc32(data, self._seen)
         if not data and self._seen != self._crc:
@@ -117,6 +124,11 @@ class Unpacked(io.RawIOBase):
         return len(data)
 
 
+def record_stream(unpacked: Unpacked, sep: str, quote: str, longest: int) -> Iterator[str]:
+    text = io.TextIOWrapper(io.BufferedReader(unpacked, 1 << 20), encoding="utf-8-sig", newline="\n")
+    return records_of(text, sep, quote, longest)
+
+
 def expand_archives(archives: DataFrame, extension: str = "csv", sep: str = "|", quote: str = '"',
                     longest: int = MAX_RECORD_CHARACTERS) -> DataFrame:
     """binaryFile rows -> one row per record of every member. Record 0 is the header.
@@ -134,9 +146,8 @@ def expand_archives(archives: DataFrame, extension: str = "csv", sep: str = "|",
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for m in batch.itertuples():
-                stream = io.BufferedReader(Unpacked(f"{m.archive}#{m.member}", m.method, m.crc, m.packed), 1 << 20)
-                text = io.TextIOWrapper(stream, encoding="utf-8-sig", newline="\n")
-                numbered = enumerate(records_of(text, sep, quote, longest))
+                unpacked = Unpacked(f"{m.archive}#{m.member}", m.method, m.crc, [m.packed])
+                numbered = enumerate(record_stream(unpacked, sep, quote, longest))
                 while rows := [(m.archive, m.member, n, r) for n, r in itertools.islice(numbered, BATCH_ROWS)]:
                     yield pd.DataFrame(rows, columns=["archive", "member", "record_no", "record"])
 

@@ -106,9 +106,9 @@ def test_packed_members():
             for name, text in members.items():
                 z.writestr(name, text)
         packed = list(A.packed_members("p", buffer.getvalue(), "csv"))
-        assert {m[1]: io.BufferedReader(A.Unpacked(m[1], *m[2:])).read().decode() for m in packed} == members
+        assert {m[1]: io.BufferedReader(A.Unpacked(m[1], *m[2:4], [m[4]])).read().decode() for m in packed} == members
         with pytest.raises(ValueError, match="damaged"):
-            io.BufferedReader(A.Unpacked("b", packed[1][2], packed[1][3] ^ 1, packed[1][4])).read()
+            io.BufferedReader(A.Unpacked("b", packed[1][2], packed[1][3] ^ 1, [packed[1][4]])).read()
 
 
 def test_landed_feeds(spark, tmp_path):
