@@ -1,12 +1,16 @@
 """Two days end to end on small archives."""
 
+import os
+import re
 import zipfile
+from datetime import timedelta
 
 import pytest
 
 from pyspark.sql import functions as F
 
 from rosterlake.plans import daily_load as P
+from rosterlake.plans import retention
 from rosterlake.plans.catalog import ALL_FEEDS, ENTITIES
 from rosterlake.sinks import tables
 
@@ -105,3 +109,24 @@ def test_two_days(spark, tmp_path, rows):
     # Nothing new has come: no event is added.
     P.run_day(spark, str(tmp_path / "in"), house, lookups, "20210105", "2021-01-05", snapshots=False)
     assert spark.table("daily_test.clicks").count() == 3
+
+    # Nothing that has changed within the time of grace goes.
+    assert retention.unnamed(spark, house) == []
+    before = {name: rows(spark.table(f"{db}.{name}")) for db, name in published(spark)}
+    gone = retention.sweep(spark, house, timedelta(0))
+    assert retention.unnamed(spark, house, timedelta(0)) == []
+    # The failed attempt, the one that died and the first of a repeated run are gone, whatever layer they were in.
+    left = [d for d, _, _ in os.walk(house.root)]
+    assert any("load_run=20210104z" in g for g in gone) and not [d for d in left if "load_run=20210104z" in d]
+    assert any("version=20210104x" in g for g in gone) and not [d for d in left if "20210104x" in d and "/rejects/" not in d]
+    assert len({v for d in left for v in re.findall(r"/text/clicks/version=([^/]+)", d)}) == 2
+    # Every table and view reads as before, and the next day loads.
+    assert {name: rows(spark.table(f"{db}.{name}")) for db, name in published(spark)} == before
+    P.run_day(spark, str(tmp_path / "in"), house, lookups, "20210106", "2021-01-06", snapshots=False)
+    assert spark.table("daily_test.clicks").count() == 3
+
+
+def published(spark):
+    return [(db, t.name) for db in ("daily_test", "daily_test_archive") for t in spark.catalog.listTables(db)
+            if not t.isTemporary and t.name.split("_")[0] in ("clicks", "lists", "crosswalk", "final", "typed")
+            and any(n in t.name for n in ("clicks", "crosswalk"))]
