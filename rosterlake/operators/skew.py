@@ -79,7 +79,7 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
         # the salt as a join key.
         lookup = lookup.selectExpr(*renamed, f"pmod(xxhash64({_listed(keys)}), 1L) as _r_salt")
     else:
-        # At most MAX_HOT_KEYS rows, hence the broadcast.
+        # At most one row per shuffle partition, hence the broadcast.
         hot = F.broadcast(hot)
         pieces = spread.format("coalesce(_pieces, 1L)")
         salted = left.join(hot, F.expr(_is_hot(keys)), "left").withColumn(
@@ -100,7 +100,7 @@ def unique_lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how:
     was just grouped by it: it keeps the partitioning the grouping gave it and is not
     shuffled again. ``how`` is left, inner or left_anti.
 
-    The few right rows of hot keys are broadcast, at most MAX_HOT_KEYS of them. Left rows
+    The few right rows of hot keys are broadcast, at most one per shuffle partition. Left rows
     of hot and of null keys need the shuffled join no more. They pass through it under a
     made-up key that spreads them by their content, and a condition keeps them from
     matching it. The first key must be a string or a bigint.
