@@ -114,11 +114,15 @@ def create_if_missing(spark: SparkSession, table: str, columns: str, location: s
 
 
 def recreate_if_changed(spark: SparkSession, table: str, schema: T.StructType, root: str,
-                        version: str) -> tuple[bool, bool]:
+                        version: str, managed_prefix: str = "") -> tuple[bool, bool]:
     """(new, changed). A table whose column names or order differ is dropped with its rows
-    and created anew; types do not count."""
+    and created anew; types do not count, nor do columns that the platform adds itself,
+    known by their prefix."""
+    def compared(names: list[str]) -> list[str]:
+        return [n for n in names if not managed_prefix or not n.startswith(managed_prefix)]
+
     new = not spark.catalog.tableExists(table)
-    changed = not new and spark.table(table).columns != schema.names
+    changed = not new and compared(spark.table(table).columns) != compared(schema.names)
     if new or changed:
         publish(spark.createDataFrame([], schema), table, root, version)
     return new, changed

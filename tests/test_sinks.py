@@ -36,6 +36,27 @@ def test_recreate(spark, tmp_path):
     assert [r["column_name"] for r in X.existing_columns(spark, "rec_one", "b").collect()] == ["a"]
 
 
+def test_managed_columns_do_not_count(spark, tmp_path):
+    root = str(tmp_path)
+    S.publish(spark.range(2).selectExpr("id", "id as _load_id", "id as b"), "managed_one", root, "v1")
+
+    def again(columns, version, prefix):
+        return S.recreate_if_changed(spark, "managed_one", spark.range(0).selectExpr(*columns).schema, root, version, prefix)
+    assert again(["id", "id as b"], "v2", "_load") == (False, False) and spark.table("managed_one").count() == 2
+    assert again(["id as b", "id"], "v3", "_load") == (False, True) and spark.table("managed_one").count() == 0
+    assert again(["id as b", "id", "id as _load_id"], "v4", "") == (False, True)
+
+
+def test_views_are_switched_whatever_their_columns(spark, tmp_path):
+    for version, columns in (("v1", ["id"]), ("v2", ["id as b", "id"])):
+        S.overwrite(spark.range(3).selectExpr(*columns), f"{tmp_path}/{version}")
+    S.point_at(spark, "switched_one", f"{tmp_path}/v1")
+    for version, names in (("v1", ["id"]), ("v2", ["b", "id"]), ("v1", ["id"])):
+        S.show_as(spark, "switched_one", f"SELECT * FROM parquet.`{tmp_path}/{version}`")
+        assert spark.table("switched_one").columns == names and spark.table("switched_one").count() == 3
+    spark.sql("DROP VIEW switched_one")
+
+
 def test_snapshots(spark, tmp_path, rows):
     path = str(tmp_path / "s")
     S.snapshot(spark.range(1), path, F.lit("2024-03-01").cast("date"))

@@ -43,6 +43,12 @@ def test_changed_keys(spark):
     assert {r["subscriber_key"] for r in got} == want and len(got) == len(want)
 
 
+def test_versions_are_compared_in_one_shuffle(spark):
+    lookup = spark.createDataFrame([("a", 1, 1, 0, 1)], BY_KEY)
+    text = changed_keys(lookup, lookup)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text and "Window" not in text
+
+
 def test_no_keys_at_all(spark):
     empty = spark.createDataFrame([], BY_KEY)
     assert changed_keys(empty, empty).count() == 0
