@@ -20,10 +20,14 @@ def bad_columns(kinds: dict[str, str]) -> Column:
     return F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
 
 
+def fitting_and_rejected(raw: DataFrame, kinds: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(raw rows that fit, raw rows that do not with the columns at fault)."""
+    judged = raw.withColumn("bad_columns", bad_columns(kinds))
+    return judged.where(F.size("bad_columns") == 0).drop("bad_columns"), judged.where(F.size("bad_columns") > 0)
+
+
 def typed_and_rejected(raw: DataFrame, kinds: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """(typed rows, raw rows that do not fit with the columns at fault)."""
+    good, rejected = fitting_and_rejected(raw, kinds)
     others = [c for c in raw.columns if c not in kinds]
-    judged = raw.withColumn("bad_columns", bad_columns(kinds))
-    good = judged.where(F.size("bad_columns") == 0).select(
-        *others, *[typed(c, k, lenient=True).alias(c) for c, k in kinds.items()])
-    return good, judged.where(F.size("bad_columns") > 0)
+    return good.select(*others, *[typed(c, k, lenient=True).alias(c) for c, k in kinds.items()]), rejected

@@ -24,11 +24,13 @@ from pyspark.sql import types as T
 from rosterlake.operators.changes import changed_keys
 from rosterlake.operators.identity import IDS, identities_by_key, identity_crosswalk
 from rosterlake.operators.incremental import with_audit
+from rosterlake.operators.quality import fitting_and_rejected
 from rosterlake.plans.catalog import ENTITIES, Entity
 from rosterlake.plans.staged_load import PIECES, load_pieces, staged_query
 from rosterlake.plans.typed_load import build_rows
 from rosterlake.schema import columns
 from rosterlake.sinks import tables
+from rosterlake.sinks.claims import claimed
 from rosterlake.sinks.ledger import processed_entries
 from rosterlake.sources import archive as zips
 from rosterlake.sources.delimited import (BAD, MAX_BAD_ROWS, SHORT, STATUS, Dialect, accepted_rows, parse_records,
@@ -164,14 +166,29 @@ def load_text(spark: SparkSession, house: Warehouse, run_id: str, version: str,
 
 # ---------------------------------------------------------------- typed, crosswalk, staged
 
+def set_misfits_apart(house: Warehouse, text: DataFrame, version: str, entity: Entity, max_misfits: int) -> DataFrame:
+    """The rows whose text fits its types. The others are written with the columns at fault,
+    in one scan that counts them; more than ``max_misfits`` stop the load."""
+    good, rejected = fitting_and_rejected(text, entity.types)
+    seen, path = Observation(), house.path("misfits", entity.name, version)
+    tables.overwrite(rejected.observe(seen, F.count(F.lit(1)).alias("misfits")), path)
+    if seen.get["misfits"] > max_misfits:
+        raise ValueError(f"{entity.name}: {seen.get['misfits']} rows do not fit their types, {max_misfits} may; see {path}")
+    return good
+
+
 def load_typed(spark: SparkSession, house: Warehouse, runs: list[str], run_id: str, version: str,
-               entity: Entity) -> None:
+               entity: Entity, max_misfits: int | None = None) -> None:
     """Adds this run's partition, or replaces it when the run is repeated. ``runs`` are the
-    finished ones without this."""
+    finished ones without this. Text that does not fit its type stops the load, unless a
+    number of such rows is given that may be set apart."""
     text = spark.read.schema(columns(", ".join(f"{c} string" for c in ("feed", *entity.columns)))).parquet(
         house.path("text", entity.name, version))
     before = typed_table(spark, house, entity, runs)
-    rows = with_audit(build_rows(entity, [text.drop("feed")], before)).withColumn(RUN, F.lit(run_id))
+    lenient = max_misfits is not None
+    if lenient:
+        text = set_misfits_apart(house, text, version, entity, max_misfits)
+    rows = with_audit(build_rows(entity, [text.drop("feed")], before, lenient=lenient)).withColumn(RUN, F.lit(run_id))
     tables.replace_partition(rows, house.path("typed", entity.name), RUN, run_id)
 
 
@@ -280,24 +297,33 @@ def for_each(step: Callable[[Entity], None], at_once: int) -> None:
 
 def run_day(spark: SparkSession, drop_root: str, house: Warehouse, lookups: dict[str, DataFrame],
             run_id: str, run_date: str, dialect: Dialect = Dialect(), snapshots: bool = True,
-            at_once: int = 4, max_bad_rows: int = MAX_BAD_ROWS, by_range: bool = True) -> None:
+            at_once: int = 4, max_bad_rows: int = MAX_BAD_ROWS, by_range: bool = True,
+            max_misfits: int | None = None, take_over: bool = False) -> None:
     """``lookups``: contacts, accounts, enrollees and the four person tables. ``by_range``: see
-    ``land_archives``."""
+    ``land_archives``; ``max_misfits``: see ``load_typed``.
+
+    Of two runs of one id at a time the second stops before it writes anything. A run whose
+    driver died keeps its claim until the id is started again with ``take_over``.
+    """
     version = f"{run_id}-{uuid.uuid4().hex[:8]}"
-    if snapshots:
-        snapshot_layers(spark, house, run_id, run_date)
-    before = [r for r in runs_until(spark, house, run_id) if r != run_id]
-    taken = land_archives(spark, drop_root, house, before, run_id, dialect, by_range)
-    for_each(lambda e: load_text(spark, house, run_id, version, e, dialect, max_bad_rows), at_once)
-    for_each(lambda e: load_typed(spark, house, before, run_id, version, e), at_once)
-    last = previous_run(spark, house, run_id)
-    last_version = None if last is None else last[1]
-    load_crosswalk(spark, house, [*before, run_id], version, lookups, last_version)
-    held = {**run_versions(spark, house, before), run_id: version}
-    for_each(lambda e: load_staged(spark, house, held, version, e, last_version), at_once)
-    for_each(lambda e: publish_staged(spark, house, version, e), at_once)
-    publish_crosswalk(spark, house, version)
-    # The run's own entry comes last: until it is there, nothing above counts.
-    tables.replace_partition(processed_entries(taken, F.lit(run_id)), house.path("ledger", "files"), "run_date", run_id)
-    run = spark.createDataFrame([(run_date, run_id, version)], "dt string, pipeline string, version string")
-    tables.replace_partitions(run.withColumn("dt", F.col("dt").cast("date")), house.path("ledger", "runs"), "pipeline")
+    with claimed(spark, f"{house.path('ledger', 'claims')}/{run_id}", version, take_over) as claim:
+        if snapshots:
+            snapshot_layers(spark, house, run_id, run_date)
+        before = [r for r in runs_until(spark, house, run_id) if r != run_id]
+        taken = land_archives(spark, drop_root, house, before, run_id, dialect, by_range)
+        for_each(lambda e: load_text(spark, house, run_id, version, e, dialect, max_bad_rows), at_once)
+        claim.require()
+        for_each(lambda e: load_typed(spark, house, before, run_id, version, e, max_misfits), at_once)
+        last = previous_run(spark, house, run_id)
+        last_version = None if last is None else last[1]
+        load_crosswalk(spark, house, [*before, run_id], version, lookups, last_version)
+        held = {**run_versions(spark, house, before), run_id: version}
+        for_each(lambda e: load_staged(spark, house, held, version, e, last_version), at_once)
+        # A run that was taken over publishes nothing.
+        claim.require()
+        for_each(lambda e: publish_staged(spark, house, version, e), at_once)
+        publish_crosswalk(spark, house, version)
+        # The run's own entry comes last: until it is there, nothing above counts.
+        tables.replace_partition(processed_entries(taken, F.lit(run_id)), house.path("ledger", "files"), "run_date", run_id)
+        run = spark.createDataFrame([(run_date, run_id, version)], "dt string, pipeline string, version string")
+        tables.replace_partitions(run.withColumn("dt", F.col("dt").cast("date")), house.path("ledger", "runs"), "pipeline")

@@ -15,13 +15,15 @@ from rosterlake.sources.delimited import (BAD, MAX_BAD_ROWS, STATUS, Dialect, ac
 from rosterlake.sources.quoted_lines import read_profiled
 
 CSV, WHOLE_LINES = "csv", "ragged_right"
+# What to do with a table whose columns differ from the files'.
+RECREATE, STOP = "recreate", "stop"
 # Fixed value: the column of a table of whole lines.
 LINE = "value"
 
 
 @dataclass(frozen=True)
 class FileLoad:
-    """What to load and how its tables are named. The files have a header line."""
+    """What to load and how its tables are named."""
 
     blob_path: str = ""
     files: object = None
@@ -36,6 +38,13 @@ class FileLoad:
     dialect: Dialect = Dialect(",", '"')
     # A dictionary file with names, types and modes instead of the header's names as text.
     dictionary: str | None = None
+    # Whether the files begin with a header line. Files without one take their columns from
+    # the dictionary, in its order.
+    header: bool = True
+    # A table with other columns than its files have is made anew, or stops the load before
+    # anything is written to any table. Columns the platform adds, known by a prefix, do not count.
+    on_change: str = RECREATE
+    managed_prefix: str = ""
     save_manifest: str | None = None
     # Bad rows a file may have, and a folder that takes them with their file and reason;
     # without one they go to _rejects/<table>/version=<version> below the warehouse path.
@@ -48,8 +57,12 @@ def load_folder(spark: SparkSession, root: str, database: str, warehouse: str, v
     """Loads the folder's files and returns the manifest.
 
     The files of one table are loaded together, matched by column name. The driver holds
-    one record per file, as any Spark scan's does; rows stay on the executors.
+    one record per file, as any Spark scan's does; rows stay on the executors. All tables
+    are set against their files' columns before the first is written; a table that is
+    loaded whole is switched to its new rows when these are written.
     """
+    if what.mode == CSV and not what.header and not what.dictionary:
+        raise ValueError("files without a header need a dictionary that names their columns")
     files = manifests.list_files(spark, root).select(
         "path", manifests.relative_to(F.col("path"), root).alias("blob_name"))
     wanted = None if what.files is None else manifests.wanted_files(spark, what.files)
@@ -67,15 +80,23 @@ def load_folder(spark: SparkSession, root: str, database: str, warehouse: str, v
     profiles = {r["_file"]: r for r in file_profiles(read_lines(spark, [r["path"] for r in items]), what.dialect).collect()}
     known = _dictionary(spark, listed, profiles, what)
 
-    facts, counts = [], []
+    loads = {}
     for name in sorted({r["table_name"] for r in items}):
         mine = [r for r in items if r["table_name"] == name]
-        table = f"{database}.{name}"
         rejects = what.rejects or f"{warehouse.rstrip('/')}/_rejects/{name}/version={version}"
-        rows = _rows(spark, mine, profiles, known, replace(what, rejects=rejects))
-        location = f"{warehouse.rstrip('/')}/{name}"
-        new, changed = tables.recreate_if_changed(spark, table, rows.schema, location, f"{version}-empty")
+        loads[name] = mine, _rows(spark, mine, profiles, known, replace(what, rejects=rejects))
+    standing = [n for n in loads if spark.catalog.tableExists(f"{database}.{n}")]
+    differing = _differences(spark, database, {n: loads[n][1] for n in standing}, what.managed_prefix)
+    if differing and what.on_change == STOP:
+        raise ValueError(f"tables have other columns than their files: {differing}")
+
+    facts, counts = [], []
+    for name, (mine, rows) in loads.items():
+        table, location = f"{database}.{name}", f"{warehouse.rstrip('/')}/{name}"
+        new, changed = name not in standing, name in differing
         if what.write == "append":
+            if new or changed:
+                tables.publish(spark.createDataFrame([], rows.schema), table, location, f"{version}-empty")
             tables.insert_by_name(rows, table)
         else:
             tables.publish(rows, table, location, version)
@@ -96,6 +117,21 @@ def load_folder(spark: SparkSession, root: str, database: str, warehouse: str, v
     return manifest
 
 
+def _differences(spark: SparkSession, database: str, loads: dict[str, DataFrame],
+                 managed_prefix: str) -> dict[str, list[tuple[str, str]]]:
+    """Per table the columns, by place and name, that only its files (new) or only the
+    standing table (existing) have. One comparison for all tables, of a row per column."""
+    if not loads:
+        return {}
+    new = {n: tables.own_columns(rows.columns, managed_prefix) for n, rows in loads.items()}
+    old = {n: tables.own_columns(spark.table(f"{database}.{n}").columns, managed_prefix) for n in loads}
+    out: dict[str, list[tuple[str, str]]] = {}
+    for r in dictionaries.column_differences(dictionaries.listed_columns(spark, new), dictionaries.listed_columns(spark, old)).orderBy(
+            "table_name", "side", "ordinal_position").collect():
+        out.setdefault(r["table_name"], []).append((r["column_name"], r["side"]))
+    return out
+
+
 def _dialect(path: str, profiles: dict, what: FileLoad) -> Dialect:
     """What was sniffed over what was configured; what was not sniffed stays configured."""
     found = profiles.get(path)
@@ -125,6 +161,8 @@ def _dictionary(spark: SparkSession, listed: DataFrame, profiles: dict, what: Fi
 def _rows(spark: SparkSession, items: list[Row], profiles: dict, known: dict[tuple, list[Row]], what: FileLoad) -> DataFrame:
     if what.mode == WHOLE_LINES:
         lines = read_lines(spark, [r["path"] for r in items])
+        if not what.header:
+            return lines.select(F.col("value").alias(LINE))
         # The first line of each file, one row per file, is its header.
         headers = lines.where("_at.split = 0").groupBy("_file").agg(F.min("_at").alias("_first"))
         return lines.join(headers, "_file").where(F.col("_at") != F.col("_first")).select(F.col("value").alias(LINE))
@@ -137,10 +175,12 @@ def _rows(spark: SparkSession, items: list[Row], profiles: dict, known: dict[tup
     for (shape, dialect), members in groups.items():
         paths = [r["path"] for r in members]
         if not shape:
+            if not what.header:
+                raise ValueError(f"files without a header that the dictionary does not describe: {paths}")
             parts.append(read_inferred(spark, paths, dialect))
             continue
         quoted = [(p, bool(profiles[p]["quoted_line_ends"])) for p in paths if p in profiles]
-        rows = read_profiled(spark, quoted, [c for c, _ in shape], dialect)
+        rows = read_profiled(spark, quoted, [c for c, _ in shape], dialect, what.header)
         require_few_bad_rows(rows, limit=what.max_bad_rows)
         rejected_rows(rows).select("_file", F.col(BAD).alias("record"), F.col(STATUS).alias("reason")).write.mode("append").parquet(what.rejects)
         parts.append(accepted_rows(rows).select(*[

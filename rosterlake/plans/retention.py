@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from rosterlake.plans.catalog import ENTITIES
 from rosterlake.plans.daily_load import CROSSWALK, RUN, Warehouse, finished_runs
 from rosterlake.plans.staged_load import PIECE, PIECES
+from rosterlake.sinks.tables import remove_folder
 
 GRACE = timedelta(days=7)
 AT_ONCE = 16
@@ -55,11 +56,6 @@ def _folders(spark: SparkSession, path: str) -> dict[str, int]:
     return {s.getPath().getName(): s.getModificationTime() for s in system.listStatus(at) if s.isDirectory()}
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def unnamed(spark: SparkSession, house: Warehouse, older_than: timedelta = GRACE) -> list[str]:
     """The folders nothing names, of those that have not changed for ``older_than``."""
     finished = finished_runs(spark, house).select("pipeline", "version").collect()
@@ -98,5 +94,5 @@ def sweep(spark: SparkSession, house: Warehouse, older_than: timedelta = GRACE)
     paths = unnamed(spark, house, older_than)
     with ThreadPoolExecutor(AT_ONCE) as pool:
         for layer in (False, True):
-            list(pool.map(lambda p: _remove(spark, p), [p for p in paths if ("/pieces/" in p) == layer]))
+            list(pool.map(lambda p: remove_folder(spark, p), [p for p in paths if ("/pieces/" in p) == layer]))
     return paths

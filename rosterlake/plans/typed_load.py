@@ -16,10 +16,10 @@ def _raw(name: str) -> str:
     return f"_raw_{name}"
 
 
-def typed_rows(entity: Entity, raw: DataFrame) -> DataFrame:
-    """Cleaned and typed. Text that does not fit its type fails the job. Keys that are
-    compared as they came stay beside the typed columns."""
-    return raw.select(*[typed(c, t).alias(c) for c, t in entity.types.items()],
+def typed_rows(entity: Entity, raw: DataFrame, lenient: bool = False) -> DataFrame:
+    """Cleaned and typed. Text that does not fit its type fails the job, or is null if
+    ``lenient``. Keys that are compared as they came stay beside the typed columns."""
+    return raw.select(*[typed(c, t, lenient=lenient).alias(c) for c, t in entity.types.items()],
                       *[F.col(c).alias(_raw(c)) for c in entity.raw_keys])
 
 
@@ -35,14 +35,15 @@ def pending_rows(entity: Entity, rows: DataFrame, existing: DataFrame, salt: boo
 
 
 def build_rows(entity: Entity, feeds: Sequence[DataFrame], existing: DataFrame | None = None,
-               salt: bool = True) -> DataFrame:
-    """Distinct typed rows to append, without audit columns.
+               salt: bool = True, lenient: bool = False) -> DataFrame:
+    """Distinct typed rows to append, without audit columns. Where misfits have been set
+    apart, ``lenient`` spares the checks.
 
     Feeds are not made distinct before typing: the distinct that follows covers it and
     saves a shuffle. It comes before the join with the history, so that copies, however
     many, collapse on the map side and only single rows are joined.
     """
-    rows = typed_rows(entity, union_feeds([f.select(*entity.columns) for f in feeds])).distinct()
+    rows = typed_rows(entity, union_feeds([f.select(*entity.columns) for f in feeds]), lenient).distinct()
     if entity.rule == APPEND or existing is None:
         rows = rows.select(*entity.columns)
         return rows.distinct() if entity.raw_keys else rows

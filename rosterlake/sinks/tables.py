@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +51,11 @@ def snapshot(rows: DataFrame, path: str, run_date: Column) -> None:
     replace_partitions(rows.withColumn(SNAPSHOT, snapshot_day(run_date)), path, SNAPSHOT)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def copy_table(spark: SparkSession, source: str, target: str) -> None:
     """Byte copy of one Parquet table, truncating the target. Spark has finished when it returns."""
     overwrite(spark.read.parquet(source), target)
@@ -113,16 +119,22 @@ def create_if_missing(spark: SparkSession, table: str, columns: str, location: s
     return missing
 
 
-def recreate_if_changed(spark: SparkSession, table: str, schema: T.StructType, root: str,
-                        version: str, managed_prefix: str = "") -> tuple[bool, bool]:
-    """(new, changed). A table whose column names or order differ is dropped with its rows
-    and created anew; types do not count, nor do columns that the platform adds itself,
-    known by their prefix."""
-    def compared(names: list[str]) -> list[str]:
-        return [n for n in names if not managed_prefix or not n.startswith(managed_prefix)]
+def own_columns(names: Sequence[str], managed_prefix: str = "") -> list[str]:
+    """Without the columns that the platform adds itself, known by their prefix."""
+    return [n for n in names if not managed_prefix or not n.startswith(managed_prefix)]
+
 
+def new_or_changed(spark: SparkSession, table: str, schema: T.StructType, managed_prefix: str = "") -> tuple[bool, bool]:
+    """(new, changed): whether the table is missing, and whether its own columns' names or
+    order differ; types do not count."""
     new = not spark.catalog.tableExists(table)
-    changed = not new and compared(spark.table(table).columns) != compared(schema.names)
+    return new, not new and own_columns(spark.table(table).columns, managed_prefix) != own_columns(schema.names, managed_prefix)
+
+
+def recreate_if_changed(spark: SparkSession, table: str, schema: T.StructType, root: str,
+                        version: str, managed_prefix: str = "") -> tuple[bool, bool]:
+    """(new, changed). A table that changed is dropped with its rows and created anew."""
+    new, changed = new_or_changed(spark, table, schema, managed_prefix)
     if new or changed:
         publish(spark.createDataFrame([], schema), table, root, version)
     return new, changed

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,11 +79,15 @@ def name_collisions(dictionary: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("columns")).where(F.col("columns") > 1))
 
 
+def listed_columns(spark: SparkSession, tables: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(ordinal_position, table_name, column_name) of columns listed per table."""
+    rows = [(i, table, c) for table, names in tables.items() for i, c in enumerate(names, 1)]
+    return spark.createDataFrame(rows, "ordinal_position bigint, table_name string, column_name string")
+
+
 def existing_columns(spark: SparkSession, table: str, managed_prefix: str = "") -> DataFrame:
     """(ordinal_position, table_name, column_name) of a catalog table."""
-    rows = [(i, table.split(".")[-1], f.name) for i, f in enumerate(spark.table(table).schema, 1)]
-    found = spark.createDataFrame(rows, "ordinal_position bigint, table_name string, column_name string")
-    return unmanaged_columns(found, managed_prefix)
+    return unmanaged_columns(listed_columns(spark, {table.split(".")[-1]: spark.table(table).columns}), managed_prefix)
 
 
 def unmanaged_columns(columns: DataFrame, managed_prefix: str = "") -> DataFrame:

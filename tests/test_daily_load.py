@@ -130,3 +130,21 @@ def published(spark):
     return [(db, t.name) for db in ("daily_test", "daily_test_archive") for t in spark.catalog.listTables(db)
             if not t.isTemporary and t.name.split("_")[0] in ("clicks", "lists", "crosswalk", "final", "typed")
             and any(n in t.name for n in ("clicks", "crosswalk"))]
+
+
+def test_misfits_are_set_apart(spark, tmp_path, rows):
+    house, entity = P.Warehouse(str(tmp_path / "house")), ENTITIES["opens"]
+    good = {"bigint": "1", "string": "some text", "timestamp_ntz": T1, "boolean": "True"}
+    given = [{"send_id": "no number"}, {"send_id": "77"}, {"send_id": "78", "event_date": "some day"}]
+    text = [("level2", *[g.get(c, good[k]) for c, k in entity.types.items()]) for g in given]
+    tables.overwrite(spark.createDataFrame(text, ", ".join(f"{c} string" for c in ("feed", *entity.columns))), house.path("text", "opens", "v"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|CANNOT_PARSE"):
+        P.load_typed(spark, house, [], "run", "v", entity)
+    with pytest.raises(ValueError, match="opens: 2 rows do not fit their types, 1 may"):
+        P.load_typed(spark, house, [], "run", "v", entity, max_misfits=1)
+    assert not (tmp_path / "house" / "typed").exists() or not rows(P.typed_table(spark, house, entity, ["run"]))
+    P.load_typed(spark, house, [], "run", "v", entity, max_misfits=2)
+    assert rows(P.typed_table(spark, house, entity, ["run"]), "send_id") == [(77,)]
+    apart = spark.read.parquet(house.path("misfits", "opens", "v"))
+    assert rows(apart, "send_id", "feed", F.concat_ws(",", "bad_columns")) == [
+        ("78", "level2", "event_date"), ("no number", "level2", "send_id")]

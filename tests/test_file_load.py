@@ -1,8 +1,9 @@
 """Folders of files end to end."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from rosterlake.plans.file_load import WHOLE_LINES, FileLoad, load_folder
+from rosterlake.plans.file_load import STOP, WHOLE_LINES, FileLoad, load_folder
 from rosterlake.sources.delimited import Dialect
 from rosterlake.sources.manifest import wanted_files
 
@@ -76,3 +77,41 @@ def test_bad_rows_are_kept_without_a_named_folder(spark, tmp_path):
     kept = spark.read.parquet(str(tmp_path / "house" / "_rejects" / "a" / "version=7"))
     assert kept.columns == ["_file", "record", "reason"]
     assert [(r._file.rsplit("/", 1)[1], r.record) for r in kept.collect()] == [("a.csv", "3")]
+
+
+def test_files_without_header(spark, tmp_path, rows):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "plain.csv").write_text("1,x\n2,y\n")
+    (folder / "quoted.csv").write_text('1,"two\nlines"\n2,y\n')
+    heading = "table_name,file_name,column_name,data_type,nullable,ordinal_position\n"
+    (tmp_path / "dict.csv").write_text(heading + "".join(f"{t},-,{c},{kind},NULLABLE,{i}\n" for t in ("plain", "quoted")
+                                                         for i, (c, kind) in enumerate((("Key No", "INT64"), ("Text", "STRING")), 1)))
+    load(spark, tmp_path, "1", header=False, dictionary=str(tmp_path / "dict.csv"))
+    assert spark.table("files_test.plain").dtypes == [("key_no", "bigint"), ("text", "string")]
+    assert rows(spark.table("files_test.plain")) == [(1, "x"), (2, "y")]
+    assert rows(spark.table("files_test.quoted")) == [(1, "two\nlines"), (2, "y")]
+    load(spark, tmp_path, "2", header=False, mode=WHOLE_LINES, files=["plain.csv"], add_suffix="_lines")
+    assert rows(spark.table("files_test.plain_lines")) == [("1,x",), ("2,y",)]
+    with pytest.raises(ValueError, match="need a dictionary"):
+        load(spark, tmp_path, "3", header=False)
+    (tmp_path / "dict.csv").write_text(heading + "plain,-,Key No,INT64,NULLABLE,1\nplain,-,Text,STRING,NULLABLE,2\n")
+    with pytest.raises(ValueError, match="does not describe.*quoted.csv"):
+        load(spark, tmp_path, "4", header=False, dictionary=str(tmp_path / "dict.csv"))
+
+
+def test_changed_columns_can_stop_the_load(spark, tmp_path, rows):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "steady.csv").write_text("a,b\n1,2\n")
+    (folder / "shifting.csv").write_text("a,b\n1,2\n")
+    load(spark, tmp_path, "1", on_change=STOP)
+    (folder / "steady.csv").write_text("a,b\n3,4\n")
+    (folder / "shifting.csv").write_text("a,c\n3,4\n")
+    with pytest.raises(ValueError, match=r"\{'shifting': \[\('b', 'existing'\), \('c', 'new'\)\]\}"):
+        load(spark, tmp_path, "2", on_change=STOP)
+    # Not even the table that did not change was written.
+    assert rows(spark.table("files_test.steady")) == rows(spark.table("files_test.shifting")) == [("1", "2")]
+    third = load(spark, tmp_path, "3", write="append")
+    assert {k: r["has_table_schema_changed"] for k, r in third.items()} == {"steady.csv": "n", "shifting.csv": "y"}
+    assert rows(spark.table("files_test.steady")) == [("1", "2"), ("3", "4")] and rows(spark.table("files_test.shifting")) == [("3", "4")]
