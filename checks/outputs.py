@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.identity import CROSSWALK, crosswalk
 from checks.registry import check, table
+from rosterlake.operators.business_keys import latest_by_key, without_known
 from rosterlake.operators.incremental import with_audit
 from rosterlake.session import scratch_dir
 from rosterlake.sinks import json_load as J
@@ -274,3 +275,16 @@ def _(spark, sf_dir):
     S.insert_by_name(rows.where(~J.too_long(listed)), name)
     kept = spark.table(name).withColumn("rejected", F.lit(False))
     return kept.unionByName(rows.where(J.too_long(listed)).withColumn("rejected", F.lit(True)))
+
+
+# A batch of events by user and kind, the latest of each; the target holds what every seventh event names.
+@check("insert_new_business_keys", """
+with ranked as (select user_id, event_type, event_id, ts,
+                       row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as n from events)
+select user_id, event_type, event_id, ts from ranked r where n = 1 and not exists (
+    select 1 from events e where e.event_id % 7 = 0 and e.user_id = r.user_id and e.event_type = r.event_type)""")
+def _(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts")
+    day, key = scratch_dir(spark, "day"), ["user_id", "event_type"]
+    S.overwrite(latest_by_key(events, key, ["ts", "event_id"]), day)
+    return without_known(spark.read.schema(events.schema).parquet(day), events.where("event_id % 7 = 0"), key)
