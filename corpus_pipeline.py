@@ -18,7 +18,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each group alike in 0.8 or more of its five-word shingles."""
+    """One document, that of the least id, of each group alike in 0.8 or more of its five-word shingles.
+
+    Pairs are found by the deletion variants of SimHash fingerprints, those out of their reach by MinHash keys.
+    """
     return keep_one(docs)
 
 

@@ -1,16 +1,20 @@
 """Near copies: texts whose five-word shingles are alike to 0.8 or more (Jaccard), one kept of each group.
 
-Candidates come from MinHash: BANDS keys, each of ROWS least values over all shingles of a
-text. A pair alike to exactly 0.8 shares no key with probability (1 - 0.8 ** 5) ** 32, some
-3 in a million, and a more alike pair more seldom. Pairs that share a key are verified on the
-whole shingle sets.
-
-Copies make keys that very many texts share, so their pairs are not listed. In a few rounds each set
-is compared with one other, the hub of a key that it shares with texts not yet linked with it, and
-what is linked is contracted: of a group of copies, a comparison or two a set remain. Keys that still
-join several groups are compared whole: in each cluster of them the sets beyond its largest group meet
-all others, in blocks bounded in sets and bytes, and only links between different groups leave a
-comparison.
+Candidates come from the SimHash operator: a fingerprint of each text's five-word shingles, indexed by
+the deletion variants of its segments (``simhash.py``). Texts that share a variant are verified on the
+whole shingle sets, whatever the rest of their fingerprints.
+
+Texts alike to 0.8 differ in some 10 of 64 bits, out of reach of one-bit deletions of 32-bit segments.
+For these pairs only, texts that no fingerprint has linked, there are MinHash keys: BANDS of them, each of
+ROWS least values over all shingles of a text. A pair alike to exactly 0.8 shares no such key with
+probability (1 - 0.8 ** 5) ** 32, some 3 in a million, and a more alike pair more seldom.
+
+Copies make keys that very many texts share, so their pairs are not listed. In a round over
+the variants and a few over the MinHash keys each set is compared with one other, the hub of a key that it
+shares with texts not yet linked with it, and what is linked is contracted: of a group of copies, a
+comparison or two a set remain. Keys of either kind that still join several groups are compared whole: in
+each cluster of them the sets beyond its largest group meet all others, in blocks bounded in sets and bytes,
+and only links between different groups leave a comparison.
 
 Defined results: null texts are empty; texts without words are copies of each other; texts
 under five words are one shingle; groups are chains of linked pairs, and the row of the least
@@ -31,17 +35,18 @@ from pyspark.sql.window import Window
 
 from rosterlake.llm.components import components
 from rosterlake.llm.minhash import BLOCK_BYTES, SEED, _mix, shingle_hashes
-from rosterlake.llm.simhash import one_of_each
+from rosterlake.llm.simhash import deletion_variants, majority, one_of_each
 from rosterlake.llm.tables import written
 
 LEAST_LIKENESS = (4, 5)  # a fraction, so that 0.8 itself is met exactly
 BANDS = 32
 ROWS = 5
-ROUNDS = 3  # comparisons with hubs, before what is left is compared whole
+ROUNDS = 2  # comparisons with hubs of MinHash keys, after one with hubs of variants and before what is left is compared whole
 HUB_SETS = 4096  # compared with one copy of a hub, on average
 BLOCK_SETS = 256
 BLOCK_SHINGLES = 1 << 21  # of a block's sets, on average
 MATRIX_COLUMNS = 4096
+COUNTED_HASHES = 1 << 16  # whose bits are counted at once
 _DRAWN = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64)
 
 
@@ -56,6 +61,11 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     return np.split(hashes, np.searchsorted(parent, np.arange(1, len(texts)))) if texts else []
 
 
+def fingerprint(hashes: np.ndarray) -> int:
+    """The SimHash fingerprint of a set."""
+    return majority(hashes[k:k + COUNTED_HASHES] for k in range(0, len(hashes), COUNTED_HASHES))
+
+
 def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     """A row of BANDS keys for each set; the sets are not empty."""
     flat, starts = np.concatenate(sets), np.cumsum([0] + [len(s) for s in sets[:-1]])
@@ -81,18 +91,19 @@ def _blocks(texts: list[str]) -> Iterator[list[str]]:
         yield block
 
 
-@F.pandas_udf(T.StructType().add("fp", T.LongType()).add("size", T.LongType()).add("keys", T.ArrayType(T.LongType())))
+@F.pandas_udf(T.StructType().add("fp", T.LongType()).add("size", T.LongType()).add("bits", T.LongType()).add("keys", T.ArrayType(T.LongType())))
 def _sketch(texts: pd.Series) -> pd.DataFrame:
-    """The set's name, its size, and its band keys, none for a text without words."""
-    names, sizes, keys = [], [], []
+    """The set's name, its size, its fingerprint, and its band keys, none for a text without words."""
+    names, sizes, bits, keys = [], [], [], []
     for block in _blocks(texts.tolist()):
         sets = shingle_sets(block)
         names += [xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets]
         sizes += [len(s) for s in sets]
+        bits += [fingerprint(s) for s in sets]
         some = [s for s in sets if len(s)]
         rows = iter(band_keys(some).view(np.int64) if some else ())
         keys += [next(rows) if len(s) else np.empty(0, np.int64) for s in sets]
-    return pd.DataFrame({"fp": np.array(names, np.uint64).view(np.int64), "size": sizes, "keys": keys})
+    return pd.DataFrame({"fp": np.array(names, np.uint64).view(np.int64), "size": sizes, "bits": bits, "keys": keys})
 
 
 @F.pandas_udf(T.BinaryType())
@@ -178,9 +189,18 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 EDGES = T.StructType().add("src", T.LongType()).add("dst", T.LongType())
 
 
-def _shared(marked: DataFrame) -> DataFrame:
+def _by_variants(marked: DataFrame) -> DataFrame:
+    """``fp, size, key`` for the deletion variants of the fingerprints; sets without shingles have none."""
+    prints = marked.where("size > 0").select("fp", "size", "bits").distinct()
+    return deletion_variants(prints, "bits").select("fp", "size", F.xxhash64("bit", "rest").alias("key"))
+
+
+def _by_bands(marked: DataFrame) -> DataFrame:
+    return marked.select("fp", "size", F.explode("keys").alias("key"))
+
+
+def _shared(index: DataFrame) -> DataFrame:
     """``key, fp, size`` of the keys that several sets share."""
-    index = marked.select("fp", "size", F.explode("keys").alias("key"))
     keys = index.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo < hi").select("key")
     return written(index.join(keys, "key").distinct(), "shared-keys")
 
@@ -207,6 +227,8 @@ def _hub_links(index: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
 
 
 def _relabelled(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    if edges.isEmpty():
+        return labels
     roots = components(edges).select(F.col("node").alias("label"), F.col("label").alias("root"))
     return written(labels.join(roots, "label", "left").select("fp", F.coalesce("root", "label").alias("label")), "labels")
 
@@ -230,19 +252,20 @@ def _rest_links(index: DataFrame, sets: DataFrame) -> DataFrame:
     met = (named.join(blocks, "cluster").withColumn("own", own)
            .withColumn("other", F.explode(F.expr("sequence(if(own < of_main, of_main, 0), of_main + of_rest - 1)"))).where("own != other")
            .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp", "label").join(sets, "fp"))
-    return (met.select("cluster", "i", "j", "fp", "label", "shingles").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "fp")
-            .mapInArrow(_compare, EDGES).distinct())
+    return written(met.select("cluster", "i", "j", "fp", "label", "shingles").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "fp")
+                   .mapInArrow(_compare, EDGES).distinct(), "rest-links")
 
 
 def _grouped(marked: DataFrame, nodes: DataFrame) -> DataFrame:
     """``fp, label`` of the sets that share a key with another, equal labels for linked sets."""
-    keys = _shared(marked)
+    variants, bands = _shared(_by_variants(marked)), _shared(_by_bands(marked))
+    keys = variants.unionByName(bands)
     labels = written(keys.select("fp").distinct().select("fp", F.col("fp").alias("label")), "labels")
     text = F.coalesce(F.col("text"), F.lit(""))
     sets = written(marked.join(nodes.join(labels, "fp", "left_semi"), "fp").where(F.col("id").eqNullSafe(F.col("first")))
                    .select("fp", _set(text).alias("shingles")), "sets")
-    for turn in range(ROUNDS):
-        index = written(keys.join(labels, "fp"), "index")
+    for turn, kind in enumerate([variants] + [bands] * ROUNDS):
+        index = written(kind.join(labels, "fp"), "index")
         labels = _relabelled(labels, _hub_links(index, sets, turn))
     return _relabelled(labels, _rest_links(written(keys.join(labels, "fp"), "index"), sets))
 
@@ -253,7 +276,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     marked = written(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_column}`").alias("id"),
                                  _sketch(text).alias("sketch")).select("row", "id", "sketch.*"), "marked")
     nodes = written(marked.groupBy("fp").agg(F.min("id").alias("first")), "nodes")
-    texts = marked.select("fp", "size", "keys", "id", F.col("row").getField(text_column).alias("text"))
+    texts = marked.select("fp", "size", "bits", "keys", "id", F.col("row").getField(text_column).alias("text"))
     grouped = _grouped(texts, nodes)
     rooted = written(nodes.join(grouped, "fp", "left").select("fp", "first", F.coalesce("label", "fp").alias("label")), "rooted")
     named = written(rooted.groupBy("label").agg(F.min("first").alias("first")), "named")

@@ -17,7 +17,7 @@ not null; other columns are ignored; no rows give none.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -53,16 +53,21 @@ def _shingles(text: bytes, words: int) -> Iterator[list[bytes]]:
         yield [b" ".join(carried)]
 
 
-def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
-    """64 bits, as a signed number; a bit is set where over half the shingle hashes set it."""
+def majority(blocks: Iterable[np.ndarray]) -> int:
+    """64 bits, as a signed number; a bit is set where over half the hashes set it, all blocks together."""
     counts, n = np.zeros(64, np.int64), 0
-    for shingles in _shingles((text or "").encode(), words):
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), "<u8", len(shingles))
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int32)
-        n += len(shingles)
+    for hashes in blocks:
+        counts += np.unpackbits(hashes.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int32)
+        n += len(hashes)
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<i8")[0])
 
 
+def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
+    """The ``majority`` of the shingles' hashes."""
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), "<u8", len(shingles))
+                    for shingles in _shingles((text or "").encode(), words))
+
+
 def fingerprint_column(text: str) -> Column:
     @F.pandas_udf(T.LongType())
     def fingerprints(texts: pd.Series) -> pd.Series:
@@ -80,26 +85,35 @@ def _tie(nodes: DataFrame) -> DataFrame:
             .select(F.col("fp").alias("src"), F.col("hub").alias("dst")).distinct())
 
 
+def _segments(max_bits: int) -> list[tuple[int, int]]:
+    parts = max_bits // 2 + 1
+    edges = [64 * k // parts for k in range(parts + 1)]
+    return list(zip(edges, edges[1:]))
+
+
+def deletion_variants(rows: DataFrame, column: str = "fp", max_bits: int = MAX_BITS) -> DataFrame:
+    """Each row once per bit of the fingerprint in ``column``, with ``bit`` and ``rest``: the bit's segment with this bit blanked."""
+    segments = _segments(max_bits)
+    first_bit = "case " + " ".join(f"when bit < {e} then {s}" for s, e in segments) + " end"
+    mask = "case " + " ".join(f"when bit < {e} then {_signed((1 << (e - s)) - 1)}L" for s, e in segments) + " end"
+    return (rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bit"))
+            .selectExpr("*", f"shiftrightunsigned(`{column}`, {first_bit}) & {mask} & ~shiftleft(1L, bit - {first_bit}) as rest"))
+
+
 def _link(labelled: DataFrame, max_bits: int) -> DataFrame:
     """Edges between labels of fingerprints of at most ``max_bits`` differing bits.
 
     A pair is taken under one key only: that of its first segment with at most one
     differing bit, with this bit blanked (the segment's lowest, if none differs).
     """
-    parts = max_bits // 2 + 1
-    edges = [64 * k // parts for k in range(parts + 1)]
-    segments = list(zip(edges, edges[1:]))
-    first_bit = "case " + " ".join(f"when bit < {e} then {s}" for s, e in segments) + " end"
-    mask = "case " + " ".join(f"when bit < {e} then {_signed((1 << (e - s)) - 1)}L" for s, e in segments) + " end"
-    index = (labelled.select("fp", "label", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bit"))
-             .selectExpr("fp", "label", "bit", f"shiftrightunsigned(fp, {first_bit}) & {mask} & ~shiftleft(1L, bit - {first_bit}) as rest"))
+    index = deletion_variants(labelled.select("fp", "label"), "fp", max_bits)
     # Keys that one label holds alone link nothing new.
     group = Window.partitionBy("bit", "rest")
     shared = written(index.withColumns({"lo": F.min("label").over(group), "hi": F.max("label").over(group)})
                      .where("lo < hi").drop("lo", "hi"), "shared")
     x = "(a.fp ^ b.fp)"
     taken = ""
-    for s, e in segments:
+    for s, e in _segments(max_bits):
         own = f"({x} & {_signed(((1 << (e - s)) - 1) << s)}L)"
         taken += (f" when bit_count({own}) <= 1 then a.bit >= {s} and a.bit < {e} and "
                   f"case when {own} = 0 then a.bit = {s} else {own} = shiftleft(1L, a.bit) end")

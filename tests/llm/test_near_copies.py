@@ -57,6 +57,46 @@ def test_against_all_pairs(spark, monkeypatch, rounds):
     assert sorted(r.doc_id for r in N.keep_one(docs).collect()) == expected
 
 
+def in_reach(one, other):
+    """Whether a half of two fingerprints differs in at most one bit."""
+    x = (one ^ other) % (1 << 64)
+    return min((x >> 32).bit_count(), (x & 0xFFFFFFFF).bit_count()) <= 1
+
+
+def test_deletion_variants_find_what_they_reach(spark, monkeypatch):
+    """Without MinHash keys the groups are those of the alike pairs that share a variant of their fingerprints."""
+    monkeypatch.setattr(N, "_by_bands", lambda marked: marked.selectExpr("fp", "size", "0L as key").where("false"))
+    rng = random.Random(3)
+    texts = ["", "a"]
+    for size in (60, 200, 500):
+        for steps in (1, 2, 4, 8):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+            texts += [" ".join(words), edited(rng, words, steps), edited(rng, words, steps)]
+    sets = N.shingle_sets(texts)
+    prints = [N.fingerprint(s) for s in sets]
+    root, pairs, alike = list(range(len(texts))), 0, 0
+    for b in range(len(texts)):
+        for a in range(b):
+            if len(sets[a]) and len(sets[b]) and N.alike(sets[a], sets[b]):
+                alike += 1
+                if in_reach(prints[a], prints[b]):
+                    pairs += 1
+                    low, high = sorted((root[a], root[b]))
+                    root = [low if r == high else r for r in root]
+    assert 5 < pairs < alike
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in N.keep_one(docs).collect()) == sorted(set(root))
+
+
+def test_fingerprint_in_blocks(monkeypatch):
+    hashes = np.random.default_rng(1).integers(0, 1 << 63, 1000, dtype=np.uint64) * np.uint64(2)
+    whole = sum(1 << b for b in range(64) if 2 * int((hashes >> np.uint64(b) & np.uint64(1)).sum()) > 1000)
+    for size in (1, 7, 1 << 16):
+        monkeypatch.setattr(N, "COUNTED_HASHES", size)
+        assert N.fingerprint(hashes) % (1 << 64) == whole
+    assert N.fingerprint(hashes[:0]) == 0
+
+
 def test_bundled_against_all_pairs(spark, bundled):
     rows = sorted((r.doc_id, r.text) for r in bundled("documents").collect())
     roots = plain([t for _, t in rows])
