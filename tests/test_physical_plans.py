@@ -2,8 +2,10 @@
 
 import pytest
 
+import checks.dictionaries  # noqa: F401
 from checks.feeds import history, raw_feeds
 from checks.identity import crosswalk
+from checks.registry import QUERIES
 from checks.staged_tables import staged_table
 from rosterlake.plans.catalog import APPEND, ENTITIES, NEW_ONLY
 from rosterlake.plans.typed_load import build_rows
@@ -61,3 +63,11 @@ def test_staged_tables(spark, no_broadcast):
     check_joins(text)
     # The scan for hot keys reads what the key needs and no more.
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string>" in text
+
+
+def test_columns_are_dealt_out_before_they_are_grouped(spark, no_broadcast):
+    """A task that reads much holds no group per row."""
+    text = plan(QUERIES["schema_diff"](spark, SF))
+    assert text.count("REPARTITION_BY_COL") == 1
+    reading = text[text.index("REPARTITION_BY_COL"):]
+    assert "Aggregate" not in reading and text.count("Aggregate") == 2
