@@ -54,6 +54,12 @@ def test_history_is_shuffled_once(spark, no_broadcast, name):
     assert final.count("Exchange hashpartitioning") == 3
 
 
+def test_hot_keys_are_looked_for_before_the_distinct(spark, no_broadcast):
+    text = plan(build_rows(ENTITIES["list_membership"], raw_feeds(spark, SF, "list_membership"), history(spark, SF, "list_membership")))
+    # The scan for hot keys reads what the keys need and no more.
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string>" in text
+
+
 def test_crosswalk(spark, no_broadcast):
     check_joins(plan(crosswalk(spark, SF)))
 
