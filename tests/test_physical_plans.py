@@ -9,6 +9,7 @@ from checks.registry import QUERIES
 from checks.staged_tables import staged_table
 from rosterlake.plans.catalog import APPEND, ENTITIES, NEW_ONLY
 from rosterlake.plans.typed_load import build_rows
+from rosterlake.session import METHOD_LIMIT
 
 SF = "/root/testdata/sf0.001"
 
@@ -77,3 +78,19 @@ def test_columns_are_dealt_out_before_they_are_grouped(spark, no_broadcast):
     assert text.count("REPARTITION_BY_COL") == 1
     reading = text[text.index("REPARTITION_BY_COL"):]
     assert "Aggregate" not in reading and text.count("Aggregate") == 2
+
+
+def test_wide_projections_are_not_run_interpreted(spark):
+    key, limit = METHOD_LIMIT
+    entity, feeds = ENTITIES["clicks"], raw_feeds(spark, SF, "clicks")
+    assert spark.conf.get(key) == limit
+    try:
+        # A session that names a limit of its own, and one without the library's settings.
+        spark.conf.set(key, "65535")
+        fused = sorted(build_rows(entity, feeds).collect(), key=repr)
+        assert spark.conf.get(key) == "65535"
+        spark.conf.unset(key)
+        assert sorted(build_rows(entity, feeds).collect(), key=repr) == fused
+        assert spark.conf.get(key) == limit
+    finally:
+        spark.conf.set(key, limit)
