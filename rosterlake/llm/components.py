@@ -11,16 +11,18 @@ def _least(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("node").agg(F.min("label").alias("label"))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """``node, label`` for every node of ``edges(src, dst)``: the least node that it reaches.
 
     Each round a node, and the node it is labelled with, take the least label among their
     neighbours; then labels are replaced by their own labels. Labels only ever fall, so an
     unchanged sum ends the rounds, a logarithm of the longest path in number. Minima are
     formed before each shuffle, and the joins on a hub may be split by adaptive execution.
+    ``rows`` is the number of edges at most, where it is known.
     """
-    both = written(edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), "edges")
-    labels, before = written(_least(both.select(F.col("src").alias("node"), F.least("src", "dst").alias("label"))), "labels"), None
+    most = None if rows is None else 2 * rows  # of nodes and of labels
+    both = written(edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), "edges", most)
+    labels, before = written(_least(both.select(F.col("src").alias("node"), F.least("src", "dst").alias("label"))), "labels", most), None
     while True:
         total = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
         if total == before:
@@ -31,6 +33,6 @@ def components(edges: DataFrame) -> DataFrame:
         hooked = labels.join(near.withColumnRenamed("label", "near"), "node")
         lower = written(_least(hooked.select("node", F.least("label", "near").alias("label"))
                                .unionByName(hooked.where("near < label").select(F.col("label").alias("node"), F.col("near").alias("label")))),
-                        "lower")
+                        "lower", most)
         jump = lower.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        labels = written(lower.join(jump, "label").select("node", F.least("label", "next").alias("label")), "labels")
+        labels = written(lower.join(jump, "label").select("node", F.least("label", "next").alias("label")), "labels", most)

@@ -211,41 +211,42 @@ def _mixed(index: DataFrame, turn: int) -> DataFrame:
     return index.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), hub.alias("hub")).where("lo < hi").select("key", "hub")
 
 
-def _hub_links(index: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
-    """Edges between labels, from comparing each set with one hub of another label."""
+def _hub_links(index: DataFrame, sets: DataFrame, turn: int, most: int) -> DataFrame:
+    """Edges between labels, from comparing each set, ``most`` in number, with one hub of another label."""
     fits = F.least("size", "hub.size") * LEAST_LIKENESS[1] >= F.greatest("size", "hub.size") * LEAST_LIKENESS[0]
     asked = index.join(_mixed(index, turn), "key").where(F.col("label") != F.col("hub.label")).where(fits)
-    asked = written(asked.groupBy("fp", "label").agg(F.min("hub").alias("hub")), "asked")
+    asked = written(asked.groupBy("fp", "label").agg(F.min("hub").alias("hub")), "asked", most)
     # A hub that very many ask for is sent out several times, for a part of them each.
-    parts = written(asked.groupBy(F.col("hub.fp").alias("hub")).agg(F.ceil(F.count("*") / HUB_SETS).cast("int").alias("parts")), "hubs")
+    parts = written(asked.groupBy(F.col("hub.fp").alias("hub")).agg(F.ceil(F.count("*") / HUB_SETS).cast("int").alias("parts")), "hubs", most)
     members = asked.select("fp", "label", F.col("hub.fp").alias("hub"), F.col("hub.label").alias("other")).join(parts, "hub").join(sets, "fp").select(
         "hub", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("member"), "label", "other", "shingles")
     hubs = parts.join(sets, F.col("hub") == F.col("fp")).select(
         "hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("member"), F.lit(0).cast("long").alias("label"),
         F.lit(0).cast("long").alias("other"), "shingles")
-    return written(members.unionByName(hubs).repartition("hub", "part").sortWithinPartitions("hub", "part", "member").mapInArrow(_with_hub, EDGES).distinct(), "hub-links")
+    return written(members.unionByName(hubs).repartition("hub", "part").sortWithinPartitions("hub", "part", "member").mapInArrow(_with_hub, EDGES).distinct(), "hub-links", most)
 
 
-def _relabelled(labels: DataFrame, edges: DataFrame) -> DataFrame:
-    if edges.isEmpty():
+def _relabelled(labels: DataFrame, edges: DataFrame, most: int) -> DataFrame:
+    links = edges.count()
+    if not links:
         return labels
-    roots = components(edges).select(F.col("node").alias("label"), F.col("label").alias("root"))
-    return written(labels.join(roots, "label", "left").select("fp", F.coalesce("root", "label").alias("label")), "labels")
+    roots = components(edges, links).select(F.col("node").alias("label"), F.col("label").alias("root"))
+    return written(labels.join(roots, "label", "left").select("fp", F.coalesce("root", "label").alias("label")), "labels", most)
 
 
-def _rest_links(index: DataFrame, sets: DataFrame) -> DataFrame:
-    """Edges between labels, from comparing all sets of different labels in each cluster of the keys that join them."""
+def _rest_links(index: DataFrame, sets: DataFrame, most: int) -> DataFrame:
+    """Edges between labels, from comparing all sets of different labels in each cluster of the keys that join them; ``most`` is the number of sets."""
     mixed = index.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key", "lo")
     left = written(index.join(mixed, "key").select("fp", "label", "size", "lo").distinct(), "left")
-    stars = components(left.where("label != lo").select(F.col("label").alias("src"), F.col("lo").alias("dst")).distinct())
+    stars = components(left.where("label != lo").select(F.col("label").alias("src"), F.col("lo").alias("dst")).distinct(), left.count())
     named = left.select("fp", "label", "size").distinct().join(stars.select(F.col("node").alias("label"), F.col("label").alias("cluster")), "label")
-    named = written(named, "clusters")
-    groups = written(named.groupBy("cluster", "label").agg(F.count("*").alias("n"), F.sum("size").alias("shingles")), "groups")
+    named = written(named, "clusters", most)
+    groups = written(named.groupBy("cluster", "label").agg(F.count("*").alias("n"), F.sum("size").alias("shingles")), "groups", most)
     largest = groups.groupBy("cluster").agg(F.max(F.struct("n", "label")).alias("top")).select("cluster", F.col("top.label").alias("largest"))
     count = F.ceil(F.greatest(F.sum("n") / BLOCK_SETS, F.sum("shingles") / BLOCK_SHINGLES)).cast("int")
     counts = groups.join(largest, "cluster").groupBy("cluster", (F.col("label") == F.col("largest")).alias("main")).agg(count.alias("blocks"))
     blocks = written(counts.groupBy("cluster").agg(F.max(F.when(F.col("main"), F.col("blocks"))).alias("of_main"),
-                                                   F.max(F.when(~F.col("main"), F.col("blocks"))).alias("of_rest")).join(largest, "cluster"), "blocks")
+                                                   F.max(F.when(~F.col("main"), F.col("blocks"))).alias("of_rest")).join(largest, "cluster"), "blocks", most)
     # Blocks of the largest group are numbered first; they need not meet each other.
     dealt = F.pmod(F.xxhash64("fp"), F.when(F.col("label") == F.col("largest"), F.col("of_main")).otherwise(F.col("of_rest"))).cast("int")
     own = dealt + F.when(F.col("label") == F.col("largest"), 0).otherwise(F.col("of_main"))
@@ -256,18 +257,18 @@ def _rest_links(index: DataFrame, sets: DataFrame) -> DataFrame:
                    .mapInArrow(_compare, EDGES).distinct(), "rest-links")
 
 
-def _grouped(marked: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``fp, label`` of the sets that share a key with another, equal labels for linked sets."""
+def _grouped(marked: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
+    """``fp, label`` of the sets that share a key with another, equal labels for linked sets; ``most`` is the number of sets."""
     variants, bands = _shared(_by_variants(marked)), _shared(_by_bands(marked))
     keys = variants.unionByName(bands)
-    labels = written(keys.select("fp").distinct().select("fp", F.col("fp").alias("label")), "labels")
+    labels = written(keys.select("fp").distinct().select("fp", F.col("fp").alias("label")), "labels", most)
     text = F.coalesce(F.col("text"), F.lit(""))
     sets = written(marked.join(nodes.join(labels, "fp", "left_semi"), "fp").where(F.col("id").eqNullSafe(F.col("first")))
                    .select("fp", _set(text).alias("shingles")), "sets")
     for turn, kind in enumerate([variants] + [bands] * ROUNDS):
         index = written(kind.join(labels, "fp"), "index")
-        labels = _relabelled(labels, _hub_links(index, sets, turn))
-    return _relabelled(labels, _rest_links(written(keys.join(labels, "fp"), "index"), sets))
+        labels = _relabelled(labels, _hub_links(index, sets, turn, most), most)
+    return _relabelled(labels, _rest_links(written(keys.join(labels, "fp"), "index"), sets, most), most)
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -275,9 +276,10 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
     marked = written(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_column}`").alias("id"),
                                  _sketch(text).alias("sketch")).select("row", "id", "sketch.*"), "marked")
-    nodes = written(marked.groupBy("fp").agg(F.min("id").alias("first")), "nodes")
+    nodes = written(marked.groupBy("fp").agg(F.min("id").alias("first")), "nodes", marked.count())
     texts = marked.select("fp", "size", "bits", "keys", "id", F.col("row").getField(text_column).alias("text"))
-    grouped = _grouped(texts, nodes)
-    rooted = written(nodes.join(grouped, "fp", "left").select("fp", "first", F.coalesce("label", "fp").alias("label")), "rooted")
-    named = written(rooted.groupBy("label").agg(F.min("first").alias("first")), "named")
-    return one_of_each(marked.select("row", "id", "fp"), written(rooted.drop("first").join(named, "label").select("fp", "label", "first"), "groups"))
+    most = nodes.count()
+    grouped = _grouped(texts, nodes, most)
+    rooted = written(nodes.join(grouped, "fp", "left").select("fp", "first", F.coalesce("label", "fp").alias("label")), "rooted", most)
+    named = written(rooted.groupBy("label").agg(F.min("first").alias("first")), "named", most)
+    return one_of_each(marked.select("row", "id", "fp"), written(rooted.drop("first").join(named, "label").select("fp", "label", "first"), "groups", most))

@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from rosterlake.session import scratch_dir, shuffle_partitions
 
+ROWS_A_FILE = 10_000  # of a small table, on average
 ROW_BITS = 33  # monotonically_increasing_id() keeps the row's place in its partition below this bit
 
 
@@ -14,10 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows, written to the shared scratch folder and read back: a lost executor costs no recomputation."""
+def written(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """The rows, written to the shared scratch folder and read back: a lost executor costs no recomputation.
+
+    Where it is known that there are about ``rows`` at most, few rows are written as few files, whatever the number
+    of shuffle partitions: each file costs requests to the store, on local disks a process to set its permissions.
+    """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(max(1, -(-rows // ROWS_A_FILE)))).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

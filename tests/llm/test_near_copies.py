@@ -1,12 +1,13 @@
 """Near copies against all pairs, on made and bundled texts."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rosterlake.llm import near_copies as N
+from rosterlake.llm import near_copies as N, tables as T
 
 
 def plain(texts):
@@ -139,3 +140,24 @@ def test_edges_grow_with_the_sets(spark, monkeypatch):
         per_set.append(sum(counts) / copies)
         assert kept < copies / 2
     assert per_set[1] < 1.5 * per_set[0] and max(per_set) < 4
+
+
+def test_a_row_a_set_is_few_files_whatever_the_partitions(spark, monkeypatch):
+    rng, held = random.Random(5), {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    rows = []
+    for _ in range(40):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        rows += [" ".join(words), edited(rng, words, 1)]
+    paths, make = [], T.scratch_dir
+    monkeypatch.setattr(T, "scratch_dir", lambda session, label: paths.append((label, make(session, label))) or paths[-1][1])
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        kept = N.keep_one(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+        assert sorted(r.doc_id for r in kept.collect()) == sorted(set(plain(rows)))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {label: len(list(Path(path.removeprefix("file:")).glob("part-*"))) for label, path in paths}
+    assert all(files[label] <= 1 for label in ("nodes", "asked", "hubs", "labels", "lower", "rooted", "named", "groups")), files
