@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
-from rosterlake.llm.components import components
+from rosterlake.llm.components import components_of_written as components
 from rosterlake.llm.minhash import BLOCK_BYTES, SEED, _mix, shingle_hashes
 from rosterlake.llm.simhash import deletion_variants, majority, one_of_each
 from rosterlake.llm.tables import written
@@ -227,10 +227,9 @@ def _hub_links(index: DataFrame, sets: DataFrame, turn: int, most: int) -> DataF
 
 
 def _relabelled(labels: DataFrame, edges: DataFrame, most: int) -> DataFrame:
-    links = edges.count()
-    if not links:
+    if edges.isEmpty():
         return labels
-    roots = components(edges, links).select(F.col("node").alias("label"), F.col("label").alias("root"))
+    roots = components(edges).select(F.col("node").alias("label"), F.col("label").alias("root"))
     return written(labels.join(roots, "label", "left").select("fp", F.coalesce("root", "label").alias("label")), "labels", most)
 
 
@@ -238,7 +237,7 @@ def _rest_links(index: DataFrame, sets: DataFrame, most: int) -> DataFrame:
     """Edges between labels, from comparing all sets of different labels in each cluster of the keys that join them; ``most`` is the number of sets."""
     mixed = index.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key", "lo")
     left = written(index.join(mixed, "key").select("fp", "label", "size", "lo").distinct(), "left")
-    stars = components(left.where("label != lo").select(F.col("label").alias("src"), F.col("lo").alias("dst")).distinct(), left.count())
+    stars = components(written(left.where("label != lo").select(F.col("label").alias("src"), F.col("lo").alias("dst")).distinct(), "stars", left.count()))
     named = left.select("fp", "label", "size").distinct().join(stars.select(F.col("node").alias("label"), F.col("label").alias("cluster")), "label")
     named = written(named, "clusters", most)
     groups = written(named.groupBy("cluster", "label").agg(F.count("*").alias("n"), F.sum("size").alias("shingles")), "groups", most)

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rosterlake.llm import near_copies as N, tables as T
+from rosterlake.llm import components as C, near_copies as N, tables as T
 
 
 def plain(texts):
@@ -161,3 +161,16 @@ def test_a_row_a_set_is_few_files_whatever_the_partitions(spark, monkeypatch):
             spark.conf.set(k, v)
     files = {label: len(list(Path(path.removeprefix("file:")).glob("part-*"))) for label, path in paths}
     assert all(files[label] <= 1 for label in ("nodes", "asked", "hubs", "labels", "lower", "rooted", "named", "groups")), files
+
+
+def test_few_links_are_followed_without_a_shuffle(spark, monkeypatch):
+    """Tasks of the driver's do not grow with the shuffle partitions where there is little to share out."""
+    plans, make = [], C.written
+    monkeypatch.setattr(C, "written", lambda df, *a: plans.append(df._jdf.queryExecution().executedPlan().toString()) or make(df, *a))
+    edges = make(spark.createDataFrame([(k, k + 1) for k in range(300)] + [(1000, 999), (5000, 1000), (7, 7)], "src long, dst long"), "edges")
+    got = {r.node: r.label for r in N.components(edges).collect()}
+    assert all(got[k] == 0 for k in range(301)) and got[5000] == got[1000] == 999 and len(got) == 304
+    assert len(plans) > 4 and not [p for p in plans if "Exchange" in p]
+    monkeypatch.setattr(C, "ONE_TASK_EDGES", 10)
+    assert {r.node: r.label for r in N.components(edges).collect()} == got
+    assert "Exchange" in plans[-1]
