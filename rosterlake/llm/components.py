@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.llm.tables import written
+from rosterlake.llm.tables import unsent, written
 
 ONE_TASK_EDGES = 1 << 16  # at most; a shuffle of so few rows of two numbers costs more tasks than it saves time
 
@@ -30,7 +30,7 @@ def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
         return df.coalesce(1) if few else df
 
     def beside(df: DataFrame) -> DataFrame:
-        return df.hint("shuffle_hash") if few else df
+        return df.hint("shuffle_hash") if few else df if most is None else unsent(df, most)
 
     both = near_by(written(near_by(edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))).distinct(), "edges", most))
     labels, before = near_by(written(_least(both.select(F.col("src").alias("node"), F.least("src", "dst").alias("label"))), "labels", most)), None

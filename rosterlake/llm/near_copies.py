@@ -36,7 +36,7 @@ from pyspark.sql.window import Window
 from rosterlake.llm.components import components_of_written as components
 from rosterlake.llm.minhash import BLOCK_BYTES, SEED, _mix, shingle_hashes
 from rosterlake.llm.simhash import deletion_variants, majority, one_of_each
-from rosterlake.llm.tables import written
+from rosterlake.llm.tables import unsent, written
 
 LEAST_LIKENESS = (4, 5)  # a fraction, so that 0.8 itself is met exactly
 BANDS = 32
@@ -202,7 +202,7 @@ def _by_bands(marked: DataFrame) -> DataFrame:
 def _shared(index: DataFrame) -> DataFrame:
     """``key, fp, size`` of the keys that several sets share."""
     keys = index.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo < hi").select("key")
-    return written(index.join(keys, "key").distinct(), "shared-keys")
+    return written(index.join(unsent(keys), "key").distinct(), "shared-keys")
 
 
 def _mixed(index: DataFrame, turn: int) -> DataFrame:
@@ -214,10 +214,11 @@ def _mixed(index: DataFrame, turn: int) -> DataFrame:
 def _hub_links(index: DataFrame, sets: DataFrame, turn: int, most: int) -> DataFrame:
     """Edges between labels, from comparing each set, ``most`` in number, with one hub of another label."""
     fits = F.least("size", "hub.size") * LEAST_LIKENESS[1] >= F.greatest("size", "hub.size") * LEAST_LIKENESS[0]
-    asked = index.join(_mixed(index, turn), "key").where(F.col("label") != F.col("hub.label")).where(fits)
+    asked = index.join(unsent(_mixed(index, turn)), "key").where(F.col("label") != F.col("hub.label")).where(fits)
     asked = written(asked.groupBy("fp", "label").agg(F.min("hub").alias("hub")), "asked", most)
     # A hub that very many ask for is sent out several times, for a part of them each.
     parts = written(asked.groupBy(F.col("hub.fp").alias("hub")).agg(F.ceil(F.count("*") / HUB_SETS).cast("int").alias("parts")), "hubs", most)
+    parts = unsent(parts, parts.count())
     members = asked.select("fp", "label", F.col("hub.fp").alias("hub"), F.col("hub.label").alias("other")).join(parts, "hub").join(sets, "fp").select(
         "hub", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("member"), "label", "other", "shingles")
     hubs = parts.join(sets, F.col("hub") == F.col("fp")).select(
@@ -230,28 +231,29 @@ def _relabelled(labels: DataFrame, edges: DataFrame, most: int) -> DataFrame:
     if edges.isEmpty():
         return labels
     roots = components(edges).select(F.col("node").alias("label"), F.col("label").alias("root"))
-    return written(labels.join(roots, "label", "left").select("fp", F.coalesce("root", "label").alias("label")), "labels", most)
+    return written(labels.join(unsent(roots, roots.count()), "label", "left").select("fp", F.coalesce("root", "label").alias("label")), "labels", most)
 
 
 def _rest_links(index: DataFrame, sets: DataFrame, most: int) -> DataFrame:
     """Edges between labels, from comparing all sets of different labels in each cluster of the keys that join them; ``most`` is the number of sets."""
     mixed = index.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key", "lo")
-    left = written(index.join(mixed, "key").select("fp", "label", "size", "lo").distinct(), "left")
-    stars = components(written(left.where("label != lo").select(F.col("label").alias("src"), F.col("lo").alias("dst")).distinct(), "stars", left.count()))
-    named = left.select("fp", "label", "size").distinct().join(stars.select(F.col("node").alias("label"), F.col("label").alias("cluster")), "label")
+    left = written(index.join(unsent(mixed), "key").select("fp", "label", "size", "lo").distinct(), "left")
+    rows = left.count()
+    stars = components(written(left.where("label != lo").select(F.col("label").alias("src"), F.col("lo").alias("dst")).distinct(), "stars", rows))
+    named = left.select("fp", "label", "size").distinct().join(unsent(stars.select(F.col("node").alias("label"), F.col("label").alias("cluster")), rows), "label")
     named = written(named, "clusters", most)
     groups = written(named.groupBy("cluster", "label").agg(F.count("*").alias("n"), F.sum("size").alias("shingles")), "groups", most)
     largest = groups.groupBy("cluster").agg(F.max(F.struct("n", "label")).alias("top")).select("cluster", F.col("top.label").alias("largest"))
     count = F.ceil(F.greatest(F.sum("n") / BLOCK_SETS, F.sum("shingles") / BLOCK_SHINGLES)).cast("int")
-    counts = groups.join(largest, "cluster").groupBy("cluster", (F.col("label") == F.col("largest")).alias("main")).agg(count.alias("blocks"))
+    counts = groups.join(unsent(largest, rows), "cluster").groupBy("cluster", (F.col("label") == F.col("largest")).alias("main")).agg(count.alias("blocks"))
     blocks = written(counts.groupBy("cluster").agg(F.max(F.when(F.col("main"), F.col("blocks"))).alias("of_main"),
-                                                   F.max(F.when(~F.col("main"), F.col("blocks"))).alias("of_rest")).join(largest, "cluster"), "blocks", most)
+                                                   F.max(F.when(~F.col("main"), F.col("blocks"))).alias("of_rest")).join(unsent(largest, rows), "cluster"), "blocks", most)
     # Blocks of the largest group are numbered first; they need not meet each other.
     dealt = F.pmod(F.xxhash64("fp"), F.when(F.col("label") == F.col("largest"), F.col("of_main")).otherwise(F.col("of_rest"))).cast("int")
     own = dealt + F.when(F.col("label") == F.col("largest"), 0).otherwise(F.col("of_main"))
-    met = (named.join(blocks, "cluster").withColumn("own", own)
+    met = (named.join(unsent(blocks, blocks.count()), "cluster").withColumn("own", own)
            .withColumn("other", F.explode(F.expr("sequence(if(own < of_main, of_main, 0), of_main + of_rest - 1)"))).where("own != other")
-           .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp", "label").join(sets, "fp"))
+           .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp", "label").join(unsent(sets), "fp"))
     return written(met.select("cluster", "i", "j", "fp", "label", "shingles").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "fp")
                    .mapInArrow(_compare, EDGES).distinct(), "rest-links")
 
@@ -262,12 +264,12 @@ def _grouped(marked: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
     keys = variants.unionByName(bands)
     labels = written(keys.select("fp").distinct().select("fp", F.col("fp").alias("label")), "labels", most)
     text = F.coalesce(F.col("text"), F.lit(""))
-    sets = written(marked.join(nodes.join(labels, "fp", "left_semi"), "fp").where(F.col("id").eqNullSafe(F.col("first")))
+    sets = written(marked.join(unsent(nodes.join(unsent(labels, most), "fp", "left_semi"), most), "fp").where(F.col("id").eqNullSafe(F.col("first")))
                    .select("fp", _set(text).alias("shingles")), "sets")
     for turn, kind in enumerate([variants] + [bands] * ROUNDS):
-        index = written(kind.join(labels, "fp"), "index")
+        index = written(kind.join(unsent(labels, most), "fp"), "index")
         labels = _relabelled(labels, _hub_links(index, sets, turn, most), most)
-    return _relabelled(labels, _rest_links(written(keys.join(labels, "fp"), "index"), sets, most), most)
+    return _relabelled(labels, _rest_links(written(keys.join(unsent(labels, most), "fp"), "index"), sets, most), most)
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -279,6 +281,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     texts = marked.select("fp", "size", "bits", "keys", "id", F.col("row").getField(text_column).alias("text"))
     most = nodes.count()
     grouped = _grouped(texts, nodes, most)
-    rooted = written(nodes.join(grouped, "fp", "left").select("fp", "first", F.coalesce("label", "fp").alias("label")), "rooted", most)
+    rooted = written(nodes.join(unsent(grouped, most), "fp", "left").select("fp", "first", F.coalesce("label", "fp").alias("label")), "rooted", most)
     named = written(rooted.groupBy("label").agg(F.min("first").alias("first")), "named", most)
-    return one_of_each(marked.select("row", "id", "fp"), written(rooted.drop("first").join(named, "label").select("fp", "label", "first"), "groups", most))
+    groups = written(rooted.drop("first").join(unsent(named, most), "label").select("fp", "label", "first"), "groups", most)
+    return one_of_each(marked.select("row", "id", "fp"), unsent(groups, most))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from rosterlake.llm.tables import numbered, written
+from rosterlake.llm.tables import numbered, unsent, written
 from rosterlake.llm.tokens import tokenizer
 
 TIERS = (512, 1024, 2048, 4096)
@@ -206,5 +206,5 @@ def pack(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_c
     grouped = ranked.join(F.broadcast(firsts), "tier").select(  # one row per tier
         "sequence_id", F.floor((F.col("rank") - F.col("first")) / F.greatest(F.lit(step_tokens) / F.col("tier"), F.lit(1)))
         .alias("step_group"))
-    return placed.join(grouped, "sequence_id").select(
+    return placed.join(unsent(grouped), "sequence_id").select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group")

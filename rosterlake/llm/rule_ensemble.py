@@ -19,7 +19,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rosterlake.llm.tables import digits_hash, written
+from rosterlake.llm.tables import digits_hash, unsent, written
 
 TRAIN_ROWS = 20_000  # labelled documents that the rules are fitted on, at most
 TREES = 16
@@ -119,7 +119,7 @@ def train(docs: DataFrame, labels: DataFrame, label_column: str = "quality", id_
     wanted = (labels.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{label_column}`").cast("double").alias("label"))
               .where(F.col("label").isin(0.0, 1.0) & F.col("id").isNotNull() & ~held_out(F.col("id")))
               .groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("high")).where("label = high").drop("high")
-              .join(docs.select(F.col(f"`{id_column}`").alias("id")), "id", "left_semi")
+              .join(unsent(docs.select(F.col(f"`{id_column}`").alias("id"))), "id", "left_semi")
               .orderBy(digits_hash("id"), "id").limit(train_rows))
     # At most train_rows ids and labels.
     rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text")).join(

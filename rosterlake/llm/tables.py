@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 from rosterlake.session import scratch_dir, shuffle_partitions
 
 ROWS_A_FILE = 10_000  # of a small table, on average
+SENT_ROWS = 1 << 18  # of a table whose number of rows is known, at most, to be broadcast: some 30 MB of the driver's heap
 ROW_BITS = 33  # monotonically_increasing_id() keeps the row's place in its partition below this bit
 
 
@@ -26,6 +27,15 @@ def written(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unsent(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` as a side of a join that broadcasts neither side where ``df`` has more than SENT_ROWS ``rows``, or an unknown number.
+
+    Spark sizes a table by its files, which are compressed, and an exploded one by its rows before the explode, so that
+    what seems to be below its limit may not fit the driver's memory.
+    """
+    return df.hint("merge") if rows is None or rows > SENT_ROWS else df
+
+
 def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Adds the row's place in the global order, from 0.
 

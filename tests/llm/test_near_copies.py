@@ -1,6 +1,7 @@
 """Near copies against all pairs, on made and bundled texts."""
 
 import random
+import re
 from pathlib import Path
 
 import numpy as np
@@ -174,3 +175,57 @@ def test_few_links_are_followed_without_a_shuffle(spark, monkeypatch):
     monkeypatch.setattr(C, "ONE_TASK_EDGES", 10)
     assert {r.node: r.label for r in N.components(edges).collect()} == got
     assert "Exchange" in plans[-1]
+
+
+@pytest.fixture
+def joins(spark, monkeypatch):
+    """Name of each table written by near copies, and the kinds of joins that made it."""
+    found, make = [], N.written
+
+    def run(df, label, *a):
+        table = make(df, label, *a)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        found.append((label, set(re.findall(r"\w+Join|BroadcastExchange", plan))))
+        return table
+
+    for module in (N, C):
+        monkeypatch.setattr(module, "written", run)
+    return found
+
+
+@pytest.mark.parametrize("index", [N._by_variants, N._by_bands])
+def test_an_exploded_index_is_not_broadcast(spark, joins, index):
+    """After an explode Spark still counts the rows before it: 64 keys a set seem as small as the set's row."""
+    sets = [(fp, 9, fp // 2 * 0x9E3779B97F4A7C15 % (1 << 63), [fp // 2, -fp]) for fp in range(1, 500)]
+    keys = index(T.written(spark.createDataFrame(sets + sets, "fp long, size long, bits long, keys array<long>"), "marked"))
+    of = {}
+    for r in keys.distinct().collect():
+        of.setdefault(r.key, []).append((r.key, r.fp, r.size))
+    got = N._shared(keys).collect()
+    assert sorted(tuple(r) for r in got) == sorted(row for rows in of.values() if len(rows) > 1 for row in rows)
+    assert got
+    assert joins == [("shared-keys", {"SortMergeJoin"})]
+
+
+def test_no_table_of_many_rows_is_broadcast(spark, monkeypatch, joins):
+    """Files of a table are smaller than its rows; beyond SENT_ROWS the number of rows decides, not their size."""
+    monkeypatch.setattr(T, "SENT_ROWS", 3)
+    monkeypatch.setattr(C, "ONE_TASK_EDGES", 3)
+    monkeypatch.setattr(N, "ROUNDS", 0)
+    rng, texts = random.Random(5), []
+    for size in (40, 100, 300):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        texts += [edited(rng, words, rng.randint(0, size // 20)) for _ in range(30)]
+    kept = N.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(plain(texts)))
+    # What is left out lists hubs, clusters or repeated ids, of which there are few here.
+    made = [(label, kinds) for label, kinds in joins if label not in ("hub-links", "blocks", "rest-links", "clusters", "repeated")]
+    assert {"shared-keys", "sets", "index", "asked", "labels", "lower", "left", "rooted", "groups"} <= {label for label, _ in made}
+    assert not [x for x in made if "BroadcastExchange" in x[1]]
+    assert "BroadcastHashJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tables_of_few_rows_may_be_broadcast(spark):
+    few = spark.range(5)
+    kinds = [few.join(T.unsent(few, rows), "id")._jdf.queryExecution().executedPlan().toString() for rows in (5, T.SENT_ROWS, T.SENT_ROWS + 1, None)]
+    assert ["BroadcastHashJoin" in k for k in kinds] == [True, True, False, False] and all("SortMergeJoin" in k for k in kinds[2:])

@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,3 +44,15 @@ def test_scores_of_quality_stay_in_the_scan(spark, bundled):
     model = R.RuleModel([(R.Rule((("symbols", 0.5, float("inf")),)), -1.0)], 1.0)
     plan = plan_of(R.scored(bundled("documents"), model, F.col("doc_id")))
     assert "Exchange" not in plan and not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_pieces_and_ids_are_not_broadcast(spark, bundled, monkeypatch):
+    """Packed files of a row a piece or a document tell less than its rows take in the driver."""
+    from rosterlake.llm import packing as P, rule_ensemble as R
+    monkeypatch.setattr(P, "tokenizer", lambda path: type("Letters", (), {"encode_batch": lambda self, texts: [np.frombuffer(t.encode(), np.uint8).astype("<u2") for t in texts]})())
+    plan = plan_of(P.pack(bundled("documents").limit(5), "none"))
+    assert re.search(r"SortMergeJoin \[sequence_id", plan) and not re.search(r"BroadcastHashJoin \[sequence_id", plan)
+    plans, make = [], R.written
+    monkeypatch.setattr(R, "written", lambda df, label: plans.append((label, plan_of(df))) or make(df, label))
+    R.train(bundled("documents"), bundled("labels"))
+    assert [label for label, plan in plans if "SortMergeJoin" in plan] == ["labelled"] and "BroadcastExchange" not in plans[0][1]
